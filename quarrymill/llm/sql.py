@@ -91,12 +91,12 @@ FROM documents d LEFT JOIN best b USING (doc_id)
 
 NEAR_DEDUP = f"""
 WITH RECURSIVE words AS (SELECT doc_id, {WORDS.format(LOWER.format("coalesce(text, '')"))} AS w FROM documents
-), shingles AS (
+), shingles AS MATERIALIZED (
   SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE len(w) > 0
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
-), links AS (
+), links AS MATERIALIZED (
   SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * p.n >= 75 * (x.n + y.n - p.n)
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
