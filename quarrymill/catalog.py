@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quarrymill.plans import hosts, privacy, relations, texts, web
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+PLANS = (texts, privacy, web, relations, hosts)
+QUERIES = {name: f for plan in PLANS for name, f in plan.QUERIES.items()}
+ORACLE_SQL = {name: sql for plan in PLANS for name, sql in plan.ORACLE_SQL.items()}
