@@ -12,36 +12,41 @@ from quarrymill.llm.common import packed, unpacked
 
 SPACE = r"[\x20\x09-\x0D]"
 WINDOW = 8
-SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_bangs")
+SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_bangs", "n_adjacent")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes for a document where ``good`` holds, against it where ``bad`` holds, else abstains. SQL over the signals."""
+    """Votes 1 (good) or -1 (bad) where the SQL over the signals holds, else abstains."""
 
     name: str
-    good: str
-    bad: str
+    vote: int
+    when: str
 
 
+#: Each fault has a rule that knows it and says nothing of documents without it; one rule vouches for a text that has none of them.
 RULES = (
-    Rule("length", "n_words >= 50", "n_words < 25"),
-    Rule("symbols", "100 * n_symbols <= 5 * n_words", "100 * n_symbols > 20 * n_words"),
-    Rule("line_copies", "100 * n_dup_lines <= 5 * n_lines", "100 * n_dup_lines > 30 * n_lines"),
-    Rule("repeats", "100 * n_repeat_words <= 5 * n_words", "100 * n_repeat_words > 20 * n_words"),
-    Rule("word_length", "word_chars >= 3 * n_words and word_chars <= 10 * n_words", "word_chars < 2 * n_words or word_chars > 14 * n_words"),
-    Rule("capitals", "100 * n_upper <= 20 * word_chars", "100 * n_upper > 50 * word_chars"),
-    Rule("bangs", "100 * n_bangs <= 5 * n_words", "100 * n_bangs > 25 * n_words"),
+    Rule("clean", 1, "100 * n_symbols <= 8 * n_words and 100 * n_dup_lines <= 15 * n_lines and 100 * n_repeat_words <= 15 * n_words and 100 * n_adjacent <= 15 * n_words and 100 * n_upper <= 30 * word_chars and 100 * n_bangs <= 10 * n_words"),
+    Rule("symbols", -1, "100 * n_symbols > 20 * n_words"),
+    Rule("line_copies", -1, "n_lines >= 4 and 100 * n_dup_lines > 40 * n_lines"),
+    Rule("repeats", -1, "100 * n_repeat_words > 25 * n_words"),
+    Rule("stutter", -1, "100 * n_adjacent > 30 * n_words"),
+    Rule("word_length", -1, "word_chars < 2 * n_words or word_chars > 18 * n_words"),
+    Rule("capitals", -1, "100 * n_upper > 50 * word_chars"),
+    Rule("bangs", -1, "100 * n_bangs > 25 * n_words"),
 )
+#: What each rule is believed to have got right before any document is seen, of so many votes; and the bounds of its accuracy.
+RIGHT, OF, LEAST_ACCURACY, MOST_ACCURACY = 8.0, 10.0, 0.55, 0.999
 
 
 @dataclass(frozen=True)
 class RuleModel:
-    """Share of good documents, and for each rule the chance of a vote for or against, given a vote, in good and bad documents."""
+    """For each rule the chance that a vote of its is right."""
 
-    prior: float
-    good: tuple[tuple[float, float], ...]
-    bad: tuple[tuple[float, float], ...]
+    accuracy: tuple[float, ...]
+
+    def weights(self) -> list[float]:
+        return [math.log(a / (1 - a)) for a in self.accuracy]
 
 
 def with_signals(docs: DataFrame) -> DataFrame:
@@ -69,12 +74,13 @@ def with_signals(docs: DataFrame) -> DataFrame:
         "n_lines": F.size("lines"),
         "n_upper": F.regexp_count(text, F.lit("[A-Z]")),
         "n_bangs": F.regexp_count(text, F.lit("[!]")),
+        "n_adjacent": F.size(F.filter("words", lambda w, i: F.coalesce(w == F.get("words", i - 1), F.lit(False)))),
     }
     return df.withColumns({k: v.cast("bigint") for k, v in signals.items()}).drop("words", "lines", "hashes", "placed", "places")
 
 
 def votes() -> list[Column]:
-    return [F.when(F.expr(r.bad), -1).when(F.expr(r.good), 1).otherwise(0).cast("tinyint") for r in RULES]
+    return [F.when(F.expr(r.when), r.vote).otherwise(0).cast("tinyint") for r in RULES]
 
 
 def base_failed() -> Column:
@@ -82,48 +88,29 @@ def base_failed() -> Column:
 
 
 def fit(signals: DataFrame, rounds: int = 40) -> RuleModel:
-    """Expectation-maximisation over the counts of vote patterns, at most 3 ** len(RULES) rows whatever the corpus.
+    """Expectation-maximisation over the counts of vote patterns, at most 2 ** len(RULES) rows whatever the corpus.
 
-    Each rule has, in good and in bad documents, its own chance of voting right when it votes; abstentions tell nothing. It starts
-    from documents without a vote against them as good, and adds one vote to each count so that no chance is 0. An empty
-    table gives a prior of 0.5 and rules that tell nothing.
+    Documents are good or bad with equal chances before the votes; given that, rules vote independently, each right with its accuracy.
+    Accuracies start at RIGHT / OF, which counts as OF votes more, and stay within bounds, so that no rule turns into its opposite.
     """
     voted = signals.select(*[v.alias(f"v{i}") for i, v in enumerate(votes())])
     names = [f"v{i}" for i in range(len(RULES))]
-    patterns = [(tuple(r[:-1]), r[-1]) for r in voted.groupBy(*names).count().collect()]
-    patterns.sort()
-    posterior = {v: 0.1 if -1 in v else 0.9 for v, _ in patterns}
-    model = RuleModel(0.5, ((0.5, 0.5),) * len(RULES), ((0.5, 0.5),) * len(RULES))
-    for _ in range(rounds if patterns else 0):
-        total = sum(n for _, n in patterns)
-        prior = (1 + sum(n * posterior[v] for v, n in patterns)) / (2 + total)
-        tables = []
-        for weight in (lambda v: posterior[v], lambda v: 1 - posterior[v]):
-            rates = []
-            for j in range(len(RULES)):
-                up = 1 + sum(n * weight(v) for v, n in patterns if v[j] == 1)
-                down = 1 + sum(n * weight(v) for v, n in patterns if v[j] == -1)
-                rates.append((up / (up + down), down / (up + down)))
-            tables.append(tuple(rates))
-        model = RuleModel(prior, tables[0], tables[1])
-        posterior = {v: 1 / (1 + math.exp(-max(-500.0, min(500.0, log_odds(model, v))))) for v, _ in patterns}
+    patterns = sorted((tuple(r[:-1]), r[-1]) for r in voted.groupBy(*names).count().collect())
+    model = RuleModel((RIGHT / OF,) * len(RULES))
+    for _ in range(rounds):
+        weights = model.weights()
+        good = [(v, n, 1 / (1 + math.exp(-sum(w * x for w, x in zip(weights, v, strict=True))))) for v, n in patterns]
+        right = [RIGHT + sum(n * (p if v[j] == 1 else 1 - p) for v, n, p in good if v[j]) for j in range(len(RULES))]
+        total = [OF + sum(n for v, n, _ in good if v[j]) for j in range(len(RULES))]
+        model = RuleModel(tuple(min(MOST_ACCURACY, max(LEAST_ACCURACY, r / t)) for r, t in zip(right, total, strict=True)))
     return model
 
 
-def log_odds(model: RuleModel, vote: tuple[int, ...]) -> float:
-    out = math.log(model.prior / (1 - model.prior))
-    for v, good, bad in zip(vote, model.good, model.bad, strict=True):
-        if v:
-            k = 0 if v == 1 else 1
-            out += math.log(good[k] / bad[k])
-    return out
-
-
 def good_chance(model: RuleModel) -> Column:
-    """The posterior probability that a document is good, from the signals."""
-    out = F.lit(math.log(model.prior / (1 - model.prior)))
-    for vote, good, bad in zip(votes(), model.good, model.bad, strict=True):
-        out = out + F.when(vote == 1, math.log(good[0] / bad[0])).when(vote == -1, math.log(good[1] / bad[1])).otherwise(0.0)
+    """The posterior probability that a document is good, from the signals; a half without votes."""
+    out = F.lit(0.0)
+    for vote, weight in zip(votes(), model.weights(), strict=True):
+        out = out + vote * weight
     return 1 / (1 + F.exp(-out))
 
 

@@ -6,7 +6,7 @@ import re
 
 from quarrymill.llm.chat_format import BETWEEN, CLOSE, OPEN
 from quarrymill.llm.license_scan import LEAST, TEMPLATES, size_bounds, template_bigrams
-from quarrymill.llm.quality_rules import RULES
+from quarrymill.llm.quality_rules import LEAST_ACCURACY, MOST_ACCURACY, OF, RIGHT, RULES
 
 WS = "(chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13))"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -30,12 +30,11 @@ FROM marked GROUP BY doc_id
 
 def quality_rules_sql(rounds: int = 40) -> str:
     n = range(len(RULES))
-    vote = lambda r: f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END"
-    total = lambda j, v, p: f"1 + sum(n * {p} * (v{j} = {v})::INT) OVER ()"
-    ahead = ", ".join(f"{total(j, v, p)} AS {g}{s}{j}" for j in n for s, v in (("u", 1), ("d", -1)) for g, p in (("g", "p"), ("b", "(1 - p)")))
-    odds = " + ".join(
-        f"CASE v{j} WHEN 1 THEN ln((gu{j} / (gu{j} + gd{j})) / (bu{j} / (bu{j} + bd{j}))) WHEN -1 THEN ln((gd{j} / (gu{j} + gd{j})) / (bd{j} / (bu{j} + bd{j}))) ELSE 0 END" for j in n
-    )
+    vote = lambda r: f"CASE WHEN {r.when} THEN {r.vote} ELSE 0 END"
+    rate = lambda j: f"least({MOST_ACCURACY}::DOUBLE, greatest({LEAST_ACCURACY}::DOUBLE, ({RIGHT} + sum(n * CASE v{j} WHEN 1 THEN p WHEN -1 THEN 1 - p ELSE 0 END) OVER ()) / ({OF} + sum(n * abs(v{j})) OVER ())))"
+    ahead = ", ".join(f"{rate(j)} AS a{j}" for j in n)
+    odds = " + ".join(f"v{j} * ln(a{j} / (1 - a{j}))" for j in n)
+    first = " + ".join(f"v{j} * ln({RIGHT / OF} / (1 - {RIGHT / OF}))" for j in n)
     vs = ", ".join(f"v{j}" for j in n)
     return rf"""
 WITH RECURSIVE base AS (
@@ -50,14 +49,13 @@ WITH RECURSIVE base AS (
 ), signals AS (
   SELECT b.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines,
-    len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '!')) AS n_bangs
+    len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '!')) AS n_bangs, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i-1])) AS n_adjacent
   FROM base b LEFT JOIN repeated r USING (doc_id)
 ), voted AS (SELECT *, {", ".join(f"{vote(r)} AS v{j}" for j, r in enumerate(RULES))} FROM signals
 ), em AS (
-  SELECT 0 AS k, {vs}, count(*)::DOUBLE AS n, CASE WHEN {" OR ".join(f"v{j} = -1" for j in n)} THEN 0.1::DOUBLE ELSE 0.9::DOUBLE END AS p FROM voted GROUP BY {vs}
+  SELECT 0 AS k, {vs}, count(*)::DOUBLE AS n, 1 / (1 + exp(-({first})::DOUBLE)) AS p FROM voted GROUP BY {vs}
   UNION ALL
-  SELECT k + 1, {vs}, n, 1 / (1 + exp(-greatest(-500, least(500, ln(share / (1 - share)) + {odds}))))
-  FROM (SELECT *, (1 + sum(n * p) OVER ()) / (2 + sum(n) OVER ()) AS share, {ahead} FROM em WHERE k < {rounds})
+  SELECT k + 1, {vs}, n, 1 / (1 + exp(-({odds}))) FROM (SELECT *, {ahead} FROM em WHERE k < {rounds})
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
