@@ -29,7 +29,7 @@ RULES = (
     Rule("clean", 1, "100 * n_symbols <= 8 * n_words and 100 * n_dup_lines <= 15 * n_lines and 100 * n_repeat_words <= 15 * n_words and 100 * n_adjacent <= 15 * n_words and 100 * n_upper <= 30 * word_chars and 100 * n_bangs <= 10 * n_words"),
     Rule("symbols", -1, "100 * n_symbols > 20 * n_words"),
     Rule("line_copies", -1, "n_lines >= 4 and 100 * n_dup_lines > 40 * n_lines"),
-    Rule("repeats", -1, "100 * n_repeat_words > 25 * n_words"),
+    Rule("repeats", -1, "100 * n_repeat_words > 30 * n_words"),
     Rule("stutter", -1, "100 * n_adjacent > 30 * n_words"),
     Rule("word_length", -1, "word_chars < 2 * n_words or word_chars > 18 * n_words"),
     Rule("capitals", -1, "100 * n_upper > 50 * word_chars"),
