@@ -1,0 +1,175 @@
+"""Operators on small hand-checked tables."""
+
+import hashlib
+import io
+import json
+import tarfile
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarrymill.functions import language, pii, text, url
+from quarrymill.operators import chunks, coverage, dedup, leakage, metrics, sampling, split
+from quarrymill.sources import sinks, tables
+from quarrymill.streaming import hosts
+
+
+def one(spark, expr, value):
+    return spark.createDataFrame([(value,)], "x string").select(expr.alias("y")).first()["y"]
+
+
+@pytest.mark.parametrize("value,expected", [(None, ""), ("a\r\nb\rc", "a\nb\nc"), ("  a \t b  \n\n\n\n c ", "a b\n\nc"), ("a\x00b\x7f", "ab")])
+def test_normalize(spark, value, expected):
+    assert one(spark, text.normalize_text(F.col("x")), value) == expected
+
+
+def test_url_cases(spark):
+    a, b = (one(spark, url.url_hash(F.col("x")), u) for u in ("https://Example.com:443/path?q=1", "https://example.com/path?q=1"))
+    assert a == b == hashlib.sha256(b"https://example.com/path?q=1").hexdigest()
+    assert one(spark, url.url_hash(F.col("x"), True), "http://e.com/a") == one(spark, url.url_hash(F.col("x"), True), "https://e.com/a")
+    assert one(spark, url.url_hash(F.col("x")), "not a url") is None and one(spark, url.url_hash(F.col("x")), None) is None
+    assert one(spark, url.normalized(F.col("x")), "HTTP://User@E.com:80//a//b?utm_source=x&b=2&a=1#f") == "http://e.com/a/b?a=1&b=2"
+    assert one(spark, url.public(F.col("x")), "https://u:p@e.com:8443/a?b#c") == "https://e.com:8443/a"
+    assert one(spark, url.page_number(F.col("x")), "http://e.com/x/page/12/") == 12
+    assert [one(spark, url.admission(F.col("x")), u) for u in ("ftp://e.com/", "http://1.2.3.4/", "x", "http://e.com/?page=99", "http://e.com/a.css", "http://e.com/a")] == ["unsupported_scheme", "ip_literal", "invalid_url", "deep_pagination", "embedded_asset", "accept"]
+    assert one(spark, url.kind(F.col("x")), "http://e.com/a/b.JPG?x=1") == "image"
+
+
+def test_language_cases(spark):
+    assert one(spark, language.normalized_code(F.col("x")), " NL ") == "nl"
+    words = language.words_of(F.col("x"))
+    best = language.best_marker_language(language.marker_hits(words), words)
+    assert one(spark, best["language"], "Dit is de tekst van een pagina die niet voor het project is") == "nl"
+    assert one(spark, best["language"], "zzz qqq") == "und"
+    r = spark.createDataFrame([("en", 0.99, "nl", 0.8)], "a string, b double, c string, d double").select(language.reconciled(*map(F.col, "abcd")).alias("r")).first()["r"]
+    assert (r.language, r.mismatch) == ("nl", True)
+    assert one(spark, language.range_language(F.col("x"))["language"], "это текст") == "ru"
+
+
+def test_pii_cases(spark):
+    assert one(spark, pii.emails(F.col("x")), "mail a.b@c.org, x@y") == ["a.b@c.org"]
+    assert one(spark, pii.ipv4(F.col("x")), "10.0.0.1 and 300.1.1.1 and 1.2.3.4.5") == ["10.0.0.1"]
+    assert one(spark, pii.cards(F.col("x")), "4111 1111 1111 1111 and 4111 1111 1111 1112") == ["4111111111111111"]
+    assert one(spark, pii.ibans(F.col("x")), "GB82WEST12345698765432 and GB82WEST12345698765433") == ["GB82WEST12345698765432"]
+    assert one(spark, pii.phones(F.col("x")), "+32 470 12 34 56 on 2024-01-02") == ["+32 470 12 34 56"]
+    assert one(spark, pii.redacted(F.col("x")), "a@b.org at 10.0.0.1") == "[REDACTED_EMAIL_ADDRESS] at [REDACTED_IP_ADDRESS]"
+
+
+def test_candidates(spark):
+    rows = [("lower", 0.6, "A", "a"), ("better", 0.9, "A", "b"), ("copy", 0.8, "B", "b"), ("blank", 0.1, " ", "")]
+    df = spark.createDataFrame(rows, "id string, q double, url string, exact string")
+    kept = dedup.dedupe_candidates(df, "url", "exact", "id", [F.desc("q"), F.col("id")])
+    assert sorted(r.id for r in kept.collect()) == ["better", "blank"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 57])
+def test_exact_split(spark, n):
+    keys = [f"k{i}" for i in range(n)]
+    got = {r.key: r.split for r in split.exact_split(spark.createDataFrame([(k,) for k in keys * 2], "key string"), "key").collect()}
+    order = sorted(keys, key=lambda k: (hashlib.sha256(k.encode()).hexdigest(), k))
+    n_val, n_test = split.target_counts(n, 0.1, 0.1)
+    assert got == {k: "val" if i < n_val else "test" if i < n_val + n_test else "train" for i, k in enumerate(order)}
+    assert (n_val, n_test) == {0: (0, 0), 1: (0, 0), 2: (0, 0), 3: (1, 1), 10: (1, 1), 57: (5, 5)}[n]
+
+
+def test_rebalance_keeps_groups_whole(spark):
+    df = spark.createDataFrame([(f"g{i // 3}", "train") for i in range(30)] + [("v", "val")], "family string, split string")
+    out = split.rebalanced(df, "family", "split", 4)
+    assert split.crossing_groups(out, "family").count() == 0
+    counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    assert sum(counts.values()) == 31 and counts["val"] >= 4 and counts["test"] >= 4
+
+
+def test_near_pairs_against_brute_force(spark):
+    import random
+
+    rng = random.Random(1)
+    base = [[rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(40)] for _ in range(8)]
+    left = [(i, " ".join(w)) for i, w in enumerate(base)]
+    right = [(100 + i, " ".join(w[:k] + ["new"] + w[k + 1 :])) for i, (w, k) in enumerate(zip(base, (0, 5, 10, 20, 39, 15, 2, 3), strict=True))] + [(200, ""), (201, None)]
+    a, b = spark.createDataFrame(left, "l long, text string"), spark.createDataFrame(right, "r long, text string")
+    sh = lambda t: {tuple((t or "").lower().split()[i : i + 4]) for i in range(max(1, len((t or "").split()) - 3))} if (t or "").split() else set()
+    want = {(i, j) for i, s in left for j, t in right if sh(s) and sh(t) and len(sh(s) & sh(t)) / len(sh(s) | sh(t)) >= 0.8}
+    assert want and {(r.l, r.r) for r in leakage.near_pairs(a, b, "l", "r", "text", 0.8).collect()} == want
+
+
+def test_chunks(spark):
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(70)) + "\n \nlast one"), (2, None), (3, "")], "id long, text string")
+    got = [(r.paragraph, r.chunk, r.n_tokens) for r in chunks.chunk_documents(df, "id", "text", 32, 8).orderBy("paragraph", "chunk").collect()]
+    assert got == [(0, 0, 32), (0, 1, 32), (0, 2, 22), (1, 0, 2)]
+
+
+def test_sampling(spark):
+    df = spark.createDataFrame([(i, "t", f"f{i % 3}") for i in range(90)], "id long, task string, family string")
+    w = sampling.sample_weights(df, "task", "family", F.lit(1.0))
+    assert {round(r.weight, 6) for r in w.collect()} == {round(1 / 30, 6)}
+    a, b = (sorted(r.id for r in sampling.weighted_sample(d, "id", "weight", 10, 7).collect()) for d in (w, w.repartition(7)))
+    assert a == b and len(a) == 10
+
+
+def test_metrics_and_coverage(spark):
+    w = spark.range(1).select(metrics.wilson(F.lit(0.0), F.lit(0.0)).alias("a"), metrics.wilson(F.lit(8.0), F.lit(10.0)).alias("b")).first()
+    assert tuple(w.a) == (0, 0) and round(w.b.low, 4) == 0.4902 and round(w.b.high, 4) == 0.9433
+    kids, parents = spark.createDataFrame([(1,), (2,), (None,)], "k long"), spark.createDataFrame([(1,), (1,)], "p long")
+    assert [r.k for r in coverage.orphans(kids, parents, "k", "p").collect()] == [2]
+
+
+def test_jsonl_and_versions(spark, tmp_path):
+    path = tmp_path / "rows.jsonl"
+    path.write_text('{"id": 1, "v": "3.0"}\nnot json\n{"id": "x", "v": "3.0"}\n\n{"id": 2, "v": "9"}\n' + json.dumps({"id": 3, "v": "z" * 200}) + "\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    good, bad = tables.read_jsonl(spark, str(path), schema, most_bytes=100)
+    assert sorted(r.id for r in good.collect()) == [1, 2]
+    assert sorted(r.reason for r in bad.collect()) == ["malformed", "malformed", "too_long"]
+    with pytest.raises(Exception, match="unsupported schema version: 9"):
+        tables.require_version(good, "v", ("3.0",)).collect()
+    with pytest.raises(Exception, match="revoked"):
+        tables.without_revoked(good, good.where("id = 2"), "id").collect()
+
+
+def test_xml_sources(spark):
+    site = '<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><url><loc> http://e.com/a </loc></url></urlset>'
+    feed = "<rss><channel><item><title>T</title><link>http://e.com/1</link></item></channel></rss>"
+    docs = spark.createDataFrame([(site,), ("<sitemapindex><sitemap><loc>http://e.com/s.xml</loc></sitemap></sitemapindex>",)], "xml string")
+    assert {(r.url, r.kind) for r in tables.sitemap_locations(docs, "xml").collect()} == {("http://e.com/a", "page"), ("http://e.com/s.xml", "sitemap")}
+    assert [(r.title, r.link) for r in tables.feed_entries(spark.createDataFrame([(feed,)], "xml string"), "xml").collect()] == [("T", "http://e.com/1")]
+
+
+def test_shards(spark):
+    df = spark.createDataFrame([(i, "train" if i else "val", "é") for i in range(25)], "id long, split string, text string")
+    shards = sinks.tar_shards(df, "id", "split", 10).collect()
+    assert sorted((s.name, s.n_samples) for s in shards) == [("train-000000.tar", 10), ("train-000001.tar", 10), ("train-000002.tar", 4), ("val-000000.tar", 1)]
+    names = [m.name for s in shards for m in tarfile.open(fileobj=io.BytesIO(bytes(s.body)))]
+    assert len(set(names)) == 25 and all(hashlib.sha256(bytes(s.body)).hexdigest() == s.sha256 for s in shards)
+    assert sinks.same_rows(df, df.repartition(3)).count() == 0 and sinks.same_rows(df, df.limit(20)).first()["n"] == 5
+
+
+def test_steps():
+    def play(step, rows):
+        state, out = (), []
+        for t, v in rows:
+            state, o = step(state, t, v)
+            out.append(o)
+        return out
+
+    assert play(hosts.circuit_step(2, 10), [(0, True), (1, True), (2, False), (12, True), (13, False), (30, False), (31, True)]) == ["closed", "closed", "open", "half_open", "open", "half_open", "closed"]
+    assert play(hosts.suppression_step(2, 10), [(0, "refused"), (1, "ok"), (2, "refused"), (3, "refused"), (5, "ok"), (14, "ok")]) == ["admitted"] * 4 + ["suppressed", "admitted"]
+    assert play(hosts.seen_step(10), [(0, 1), (5, 1), (14, 1), (30, 1)]) == ["new", "seen", "seen", "new"]
+    assert play(hosts.budget_step(10), [(0, 6), (1, 6), (2, 4)]) == ["admitted", "over_budget", "admitted"]
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    rows = [(i, i % 3, float(i), bool(i % 2)) for i in range(60)]
+    schema = "event_id long, host long, t double, failed boolean"
+    src = str(tmp_path / "src")
+    for part in (rows[:30], rows[30:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = hosts.stream_fold(stream, "host", "t", "failed", hosts.circuit_step(2, 5), "event_id", 2)
+    q = out.writeStream.format("memory").queryName("folded").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = {r.event_id: r.state_out for r in spark.table("folded").collect()}
+    batch = hosts.ordered_fold(spark.createDataFrame(rows, schema), "host", ["t", "event_id"], "t", "failed", hosts.circuit_step(2, 5), "event_id")
+    assert got == {r.event_id: r.state_out for r in batch.collect()} and len(got) == 60
