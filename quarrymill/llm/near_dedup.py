@@ -14,7 +14,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import cut, map_batches, packed, unpacked
+from quarrymill.llm.common import map_batches, packed, unpacked
+from quarrymill.operators.lineage import Scratch
 
 WORDS = 5
 COORDINATES, ROWS = 128, 4
@@ -157,21 +158,24 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return map_batches(both, "a long, b long", start)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component (smallest id reachable) of all ends of the edges a, b; a node's neighbours are never gathered.
 
     Each round takes the smallest label of the neighbours, then the label's own label, until nothing changes.
     """
-    both = cut(edges.union(edges.select("b", "a")).toDF("id", "near").distinct())
-    labels = cut(both.groupBy("id").agg(F.least(F.min("near"), F.col("id")).alias("component")))
+    both = scratch.keep(edges.union(edges.select("b", "a")).toDF("id", "near").distinct())
+    labels = scratch.keep(both.groupBy("id").agg(F.least(F.min("near"), F.col("id")).alias("component")))
     while True:
         near = both.join(labels.select(F.col("id").alias("near"), "component"), "near").groupBy("id").agg(F.min("component").alias("lower"))
         lowered = labels.join(near, "id").select("id", F.least("component", "lower").alias("lower"), "component")
         jump = labels.select(F.col("id").alias("lower"), F.col("component").alias("jumped"))
-        new = cut(lowered.join(jump, "lower", "left").select("id", F.least("lower", F.coalesce("jumped", "lower")).alias("component"), (F.least("lower", F.coalesce("jumped", "lower")) < F.col("component")).alias("changed")))
-        labels = new.select("id", "component")
+        lowest = F.least("lower", F.coalesce("jumped", "lower"))
+        new = scratch.keep(lowered.join(jump, "lower", "left").select("id", lowest.alias("component"), (lowest < F.col("component")).alias("changed")))
+        scratch.drop(labels)
+        labels = new
         if new.where("changed").isEmpty():
-            return labels
+            scratch.drop(both)
+            return labels.select("id", "component")
 
 
 def open_buckets(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -195,49 +199,49 @@ def cross_pairs(m: DataFrame, buckets: DataFrame) -> DataFrame:
     return pairs.select("a", F.col("y.id").alias("b")).distinct()
 
 
-def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int, given: DataFrame) -> DataFrame:
+def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int, given: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component of the representatives (rows of ``signed``: id, signature) that are linked with others, also by the
     links ``given`` (a, b)."""
-    members = cut(signed.select("id", F.explode(band_keys(0)).alias("key")).join(signed.select("id", F.explode(band_keys(0)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key", "left_semi").select("key", "id"))
-    sets = cut(shingle_sets(docs.join(members.select("id").distinct(), "id", "left_semi"), words))
+    members = scratch.keep(signed.select("id", F.explode(band_keys(0)).alias("key")).join(signed.select("id", F.explode(band_keys(0)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key", "left_semi").select("key", "id"))
+    sets = scratch.keep(shingle_sets(docs.join(members.select("id").distinct(), "id", "left_semi"), words))
     edges, tested, labels = given, None, None
 
     def test(pairs: DataFrame) -> None:
         nonlocal edges, tested, labels
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs = scratch.keep(pairs)
         tested = pairs if tested is None else tested.union(pairs)
-        found = cut(linked(pairs, sets, least))
-        edges = cut(edges.union(found))
-        labels = components(edges)
+        found = scratch.keep(linked(pairs, sets, least))
+        edges = scratch.keep(edges.union(found))
+        labels = components(edges, scratch)
 
     for level in range(DEALS):
         m, buckets = open_buckets(members, labels)
         test(star(m, buckets))
         m, buckets = open_buckets(members, labels)
-        m, buckets = m, cut(buckets)
+        buckets = scratch.keep(buckets)
         pairs = cross_pairs(m, buckets)
         test(pairs)
         large = buckets.where(F.col("n") > SMALL_BUCKET).select("key")
         if large.isEmpty():
             return labels
         m, still = open_buckets(members.join(large, "key", "left_semi"), labels)
-        members = cut(m.join(still.select("key"), "key", "left_semi").select("key", "id"))
+        members = scratch.keep(m.join(still.select("key"), "key", "left_semi").select("key", "id"))
         if level + 1 < DEALS:
             anew = members.join(signed, "id").select(F.col("key").alias("within"), "id", F.explode(band_keys(level + 1)).alias("band"))
-            members = cut(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct())
+            members = scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct())
     done = None  # the exact rest: each member of a bucket that is still open leads once
     while True:
         m, buckets = open_buckets(members, labels)
         ahead = m.join(buckets.select("key"), "key", "left_semi")
         if done is not None:
             ahead = ahead.join(done, "key", "left").where("led is null or id > led")
-        lead = cut(ahead.groupBy("key").agg(F.min("id").alias("leader")))
+        lead = scratch.keep(ahead.groupBy("key").agg(F.min("id").alias("leader")))
         if lead.isEmpty():
             return labels
         test(star(m, lead).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         led = lead.select("key", F.col("leader").alias("led"))
-        done = led if done is None else cut(done.union(led).groupBy("key").agg(F.max("led").alias("led")))
+        done = led if done is None else scratch.keep(done.union(led).groupBy("key").agg(F.max("led").alias("led")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST) -> DataFrame:
@@ -262,12 +266,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def document_components(texts: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """Columns id, n_shingles, component: one row for each id of ``texts`` (id, text)."""
     texts = texts.where("id is not null")
-    signed = cut(signatures(texts, words))
+    scratch = Scratch(texts.sparkSession)
+    signed = scratch.keep(signatures(texts, words))
     classes = signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-    member = cut(signed.select("id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2"], "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")))
+    member = scratch.keep(signed.select("id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2"], "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")))
     reps = signed.where("n_shingles > 0").join(member.where("id = rep and n_shingles > 0").select("id").distinct(), "id", "left_semi").select("id", "signature")
     first = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("id", "a")
-    given = cut(member.join(first, "id").where("rep <> a").select("a", F.col("rep").alias("b")))  # rows of one id with different texts
-    labels = near_components(reps, texts, words, least, given).withColumnRenamed("id", "rep")
+    given = scratch.keep(member.join(first, "id").where("rep <> a").select("a", F.col("rep").alias("b")))  # rows of one id with different texts
+    labels = near_components(reps, texts, words, least, given, scratch).withColumnRenamed("id", "rep")
     found = member.join(labels, "rep", "left").select("id", "n_shingles", F.coalesce("component", "rep").alias("component"))
     return found.groupBy("id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component").alias("component"))
