@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quarrymill.plans import hosts, privacy, relations, texts, web
+from quarrymill.plans import curation, hosts, privacy, relations, texts, web
 
-PLANS = (texts, privacy, web, relations, hosts)
+PLANS = (texts, privacy, web, relations, hosts, curation)
 QUERIES = {name: f for plan in PLANS for name, f in plan.QUERIES.items()}
 ORACLE_SQL = {name: sql for plan in PLANS for name, sql in plan.ORACLE_SQL.items()}
