@@ -21,9 +21,11 @@ WORDS = 5
 COORDINATES, ROWS = 128, 4
 #: Least similarity in hundredths.
 LEAST = 75
-#: Buckets with up to so many representatives in more than one component are tested pair by pair.
-SMALL_BUCKET = 24
-#: How often the members of a large bucket are dealt anew by other bands before each in turn is compared with the rest.
+#: Least number of equal coordinates for a candidate pair to be counted on the full sets; a pair of 0.75 has fewer in 4 of 10^11 cases.
+AGREE = 64
+#: A bucket is tested in full if that takes at most so many pairs for each of its members.
+PAIRS_EACH = 8
+#: How often the members of other buckets are dealt anew by other bands before each in turn is compared with the rest.
 DEALS = 3
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 EMPTY = np.zeros(0, dtype=np.uint64)
@@ -134,10 +136,12 @@ def band_keys(level: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(level * 1000 + b), *[pick(b * ROWS + r) for r in range(ROWS)]) for b in range(COORDINATES // ROWS)])
 
 
-def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """Of columns a, b those pairs with 100 * intersection >= least * union, on the full sets."""
-    left = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
-    both = left.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
+def linked(pairs: DataFrame, signed: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Of columns a, b those pairs with 100 * intersection >= least * union on the full sets, of those with AGREE equal coordinates."""
+    of = lambda df, side, c, name: df.select(F.col("id").alias(side), F.col(c).alias(name))
+    near = pairs.join(of(signed, "b", "signature", "_y"), "b").join(of(signed, "a", "signature", "_x"), "a")
+    near = near.where(F.size(F.filter(F.zip_with("_x", "_y", lambda x, y: x == y), lambda same: same)) >= AGREE).select("a", "b")
+    both = near.join(of(sets, "b", "shingles", "of_b"), "b").join(of(sets, "a", "shingles", "of_a"), "a").select("a", "b", "of_a", "of_b")
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -178,70 +182,87 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return labels.select("id", "component")
 
 
-def open_buckets(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Members (key, id) with component, and the buckets (key, n, leader) whose members are in more than one component."""
+def open_buckets(members: DataFrame, labels: DataFrame | None, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Members (key, id, component), and the buckets whose members are in more than one component: key, leader (smallest id), main (its
+    largest component), cross (pairs of members of different components), n."""
     m = members.withColumn("component", F.col("id")) if labels is None else members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    buckets = m.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("leader"), F.count("*").alias("n")).where("low < high").select("key", "leader", "n")
-    return m, buckets
+    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("first").alias("leader"), F.max(F.struct("n", "component")).alias("main"))
+    buckets = whole.withColumn("cross", (F.col("n") * F.col("n") - F.col("same")) / 2).where("cross > 0")
+    return m, scratch.keep(buckets.select("key", "leader", F.col("main.component").alias("main"), "cross", "n"))
 
 
 def star(m: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Pairs of each member of an open bucket with the bucket's leader."""
-    return m.join(buckets.select("key", "leader"), "key").where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    """Pairs a < b of each member of an open bucket with the bucket's leader."""
+    met = m.join(buckets.select("key", "leader"), "key").where("leader <> id")
+    return met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
 
 
 def cross_pairs(m: DataFrame, buckets: DataFrame) -> DataFrame:
-    """All pairs across components in buckets of at most SMALL_BUCKET members."""
-    small = m.join(buckets.where(F.col("n") <= SMALL_BUCKET).select("key"), "key", "left_semi")
-    held = small.groupBy("key").agg(F.collect_list(F.struct("id", "component")).alias("held"))
-    one = held.select("held", F.explode("held").alias("x"))
-    pairs = one.select(F.col("x.id").alias("a"), F.explode(F.filter("held", lambda y: (y["id"] > F.col("x.id")) & (y["component"] != F.col("x.component")))).alias("y"))
-    return pairs.select("a", F.col("y.id").alias("b")).distinct()
+    """All pairs a < b across components of these buckets: members outside the main component meet the others."""
+    all_of = m.join(buckets.select("key", "main"), "key")
+    minor = all_of.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("of_x"))
+    met = minor.join(all_of.select("key", "id", "component", "main"), "key").where("of_x <> component and (component = main or x < id)")
+    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+
+
+class Links:
+    """Pairs that were tested, the links found, and the components they make."""
+
+    def __init__(self, signed: DataFrame, sets: DataFrame, given: DataFrame, least: int, scratch: Scratch):
+        self.signed, self.sets, self.edges, self.least, self.scratch = signed, sets, given, least, scratch
+        self.tested: DataFrame | None = None
+        self.labels = components(given, scratch)
+
+    def test(self, pairs: DataFrame) -> None:
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = self.scratch.keep(pairs)
+        self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        found = self.scratch.keep(linked(pairs, self.signed, self.sets, self.least))
+        if not found.isEmpty():
+            self.edges = self.scratch.keep(self.edges.union(found))
+            self.labels = components(self.edges, self.scratch)
 
 
 def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int, given: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component of the representatives (rows of ``signed``: id, signature) that are linked with others, also by the
     links ``given`` (a, b)."""
-    members = scratch.keep(signed.select("id", F.explode(band_keys(0)).alias("key")).join(signed.select("id", F.explode(band_keys(0)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key", "left_semi").select("key", "id"))
+    banded = scratch.keep(signed.select("id", F.explode(band_keys(0)).alias("key")))
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
+    scratch.drop(banded)
     sets = scratch.keep(shingle_sets(docs.join(members.select("id").distinct(), "id", "left_semi"), words))
-    edges, tested, labels = given, None, None
-
-    def test(pairs: DataFrame) -> None:
-        nonlocal edges, tested, labels
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs)
-        tested = pairs if tested is None else tested.union(pairs)
-        found = scratch.keep(linked(pairs, sets, least))
-        edges = scratch.keep(edges.union(found))
-        labels = components(edges, scratch)
-
-    for level in range(DEALS):
-        m, buckets = open_buckets(members, labels)
-        test(star(m, buckets))
-        m, buckets = open_buckets(members, labels)
-        buckets = scratch.keep(buckets)
-        pairs = cross_pairs(m, buckets)
-        test(pairs)
-        large = buckets.where(F.col("n") > SMALL_BUCKET).select("key")
-        if large.isEmpty():
-            return labels
-        m, still = open_buckets(members.join(large, "key", "left_semi"), labels)
-        members = scratch.keep(m.join(still.select("key"), "key", "left_semi").select("key", "id"))
-        if level + 1 < DEALS:
-            anew = members.join(signed, "id").select(F.col("key").alias("within"), "id", F.explode(band_keys(level + 1)).alias("band"))
-            members = scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct())
-    done = None  # the exact rest: each member of a bucket that is still open leads once
+    links = Links(signed, sets, given, least, scratch)
+    for level in range(1, DEALS + 1):
+        m, buckets = open_buckets(members, links.labels, scratch)
+        links.test(star(m, buckets))
+        m, buckets = open_buckets(members, links.labels, scratch)
+        links.test(cross_pairs(m, buckets.where(F.col("cross") <= PAIRS_EACH * F.col("n"))))
+        wide = buckets.where(F.col("cross") > PAIRS_EACH * F.col("n"))
+        if wide.isEmpty():
+            return links.labels
+        rest = members.join(wide.select("key"), "key", "left_semi")
+        if level < DEALS:
+            anew = rest.join(signed, "id").select(F.col("key").alias("within"), "id", F.explode(band_keys(level)).alias("band"))
+            dealt = scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct())
+            shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+            members = scratch.keep(dealt.join(shared, "key", "left_semi").select("key", "id"))
+            scratch.drop(dealt)
+        else:
+            members = scratch.keep(rest)
+    led = None  # the exact rest: each member of a bucket that is still open leads once
     while True:
-        m, buckets = open_buckets(members, labels)
-        ahead = m.join(buckets.select("key"), "key", "left_semi")
-        if done is not None:
-            ahead = ahead.join(done, "key", "left").where("led is null or id > led")
+        m, buckets = open_buckets(members, links.labels, scratch)
+        ahead = m.join(buckets.select("key", "main"), "key").where("component <> main")
+        if led is not None:
+            ahead = ahead.join(led, ["key", "id"], "left_anti")
         lead = scratch.keep(ahead.groupBy("key").agg(F.min("id").alias("leader")))
         if lead.isEmpty():
-            return labels
-        test(star(m, lead).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        led = lead.select("key", F.col("leader").alias("led"))
-        done = led if done is None else scratch.keep(done.union(led).groupBy("key").agg(F.max("led").alias("led")))
+            return links.labels
+        links.test(star(m, lead))
+        now = lead.select("key", F.col("leader").alias("id"))
+        led = now if led is None else scratch.keep(led.union(now))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST) -> DataFrame:
@@ -270,7 +291,7 @@ def document_components(texts: DataFrame, words: int = WORDS, least: int = LEAST
     signed = scratch.keep(signatures(texts, words))
     classes = signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
     member = scratch.keep(signed.select("id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2"], "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")))
-    reps = signed.where("n_shingles > 0").join(member.where("id = rep and n_shingles > 0").select("id").distinct(), "id", "left_semi").select("id", "signature")
+    reps = scratch.keep(signed.where("n_shingles > 0").join(member.where("id = rep and n_shingles > 0").select("id").distinct(), "id", "left_semi").select("id", "signature"))
     first = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("id", "a")
     given = scratch.keep(member.join(first, "id").where("rep <> a").select("a", F.col("rep").alias("b")))  # rows of one id with different texts
     labels = near_components(reps, texts, words, least, given, scratch).withColumnRenamed("id", "rep")

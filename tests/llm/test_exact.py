@@ -166,8 +166,8 @@ def test_near_dedup(spark, monkeypatch):
     rows += [(100, None), (101, ""), (102, "two words"), (103, "Two  WORDS"), (104, LONG), (105, LONG), (106, rows[0][1])]
     rng.shuffle(rows)
     sets, component = brute_components(rows)
-    for small in (near_dedup.SMALL_BUCKET, 1):  # with 1, every open bucket counts as large
-        monkeypatch.setattr(near_dedup, "SMALL_BUCKET", small)
+    for each in (near_dedup.PAIRS_EACH, 0):  # with 0, no open bucket is tested in full at once
+        monkeypatch.setattr(near_dedup, "PAIRS_EACH", each)
         got = near(frame(spark, rows)).collect()
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), component[i], component[i] == i) for i in sets}
 
