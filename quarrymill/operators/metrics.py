@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.sources.ship import ship
+
 
 def wilson(hits: Column, n: Column, z: float = 1.96) -> Column:
     """Struct low, high: the score interval of a share; 0 and 0 without cases."""
@@ -39,6 +41,7 @@ def retrieval_best(queries: DataFrame, items: DataFrame, ident: str, vector: str
     The queries go to all tasks in blocks of QUERY_BLOCK at most, and each task gives one row for each query, so neither pairs nor all
     queries at once are held.
     """
+    ship(items.sparkSession)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     shape = [ident, vector, label]
     out = None

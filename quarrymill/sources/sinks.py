@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.operators.split import ranked_keys
+from quarrymill.sources.ship import ship
 
 SHARD_SCHEMA = "split string, shard long, name string, n_samples long, n_bytes long, sha256 string, body binary"
 
@@ -47,6 +48,7 @@ def tar_shards(df: DataFrame, ident: str, split: str, per_shard: int = 1000) ->
 
     A shard has ``per_shard`` samples at most, which bounds what a task holds. Writing the bodies is left to the caller's sink.
     """
+    ship(df.sparkSession)
     samples = numbered_shards(df, ident, split, per_shard).select(F.col(split).alias("split"), "shard", F.col(ident).cast("string").alias("member"), F.to_json(F.struct(*sorted(df.columns))).alias("body"))
 
     def pack(group: pa.Table) -> pa.Table:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from quarrymill.sources.ship import ship
+
 #: A step takes the state (a tuple of numbers), the time in seconds and the row's value, and gives the new state and an output.
 Step = Callable[[tuple, float, object], tuple[tuple, object]]
 
@@ -94,6 +96,7 @@ def ordered_fold(df: DataFrame, key: str, order: list[str], seconds: str, value:
     Rows are sorted inside the partitions of a key and read batch by batch with the state of the current key alone, so that no key's rows
     are held together.
     """
+    ship(df.sparkSession)
     types = dict(df.dtypes)
     sorted_rows = df.select(ident, key, F.col(seconds).alias("_t"), F.col(value).alias("_v"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).repartition(key).sortWithinPartitions(key, *[f"_o{i}" for i in range(len(order))]).select(ident, key, "_t", "_v")
 
@@ -116,6 +119,7 @@ def stream_fold(stream: DataFrame, key: str, seconds: str, value: str, step: Ste
 
     Rows of one micro-batch are taken in the order of time and id; late rows of a later batch are taken as they come.
     """
+    ship(stream.sparkSession)
     types = dict(stream.dtypes)
     state_type = ", ".join(f"s{i} double" for i in range(width))
     millis = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
