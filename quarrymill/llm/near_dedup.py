@@ -183,18 +183,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def open_buckets(members: DataFrame, labels: DataFrame | None, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Members (key, id, component), and the buckets whose members are in more than one component: key, leader (smallest id), main (its
-    largest component), cross (pairs of members of different components), n."""
+    """Members (key, id, component), and the buckets whose members are in more than one component: key, leader (smallest id) and its
+    component led_by, main (the largest component), cross (pairs of members of different components), n."""
     m = members.withColumn("component", F.col("id")) if labels is None else members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("first").alias("leader"), F.max(F.struct("n", "component")).alias("main"))
+    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min(F.struct("first", "component")).alias("leader"), F.max(F.struct("n", "component")).alias("main"))
     buckets = whole.withColumn("cross", (F.col("n") * F.col("n") - F.col("same")) / 2).where("cross > 0")
-    return m, scratch.keep(buckets.select("key", "leader", F.col("main.component").alias("main"), "cross", "n"))
+    return m, scratch.keep(buckets.select("key", F.col("leader.first").alias("leader"), F.col("leader.component").alias("led_by"), F.col("main.component").alias("main"), "cross", "n"))
 
 
 def star(m: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Pairs a < b of each member of an open bucket with the bucket's leader."""
-    met = m.join(buckets.select("key", "leader"), "key").where("leader <> id")
+    """Pairs a < b of each open bucket's leader with the members that are not in its component yet."""
+    met = m.join(buckets.select("key", "leader", "led_by"), "key").where("led_by <> component")
     return met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
 
 
@@ -257,7 +257,7 @@ def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int,
         ahead = m.join(buckets.select("key", "main"), "key").where("component <> main")
         if led is not None:
             ahead = ahead.join(led, ["key", "id"], "left_anti")
-        lead = scratch.keep(ahead.groupBy("key").agg(F.min("id").alias("leader")))
+        lead = scratch.keep(ahead.groupBy("key").agg(F.min(F.struct("id", "component")).alias("l")).select("key", F.col("l.id").alias("leader"), F.col("l.component").alias("led_by")))
         if lead.isEmpty():
             return links.labels
         links.test(star(m, lead))

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import SPACES, cut, map_batches, packed, unpacked
+from quarrymill.llm.common import SPACES, cut, map_batches, packed
+from quarrymill.sources.ship import ship
 
 STATISTICS = (
     "log_chars", "log_words", "word_length", "upper", "digits", "non_ascii", "symbols", "pipes", "bangs", "stops", "commas", "other_marks",
@@ -112,6 +113,7 @@ def sums(labelled: DataFrame, make, width: int) -> np.ndarray:
             i, j = np.indices(total.shape).reshape(2, -1)
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total.ravel())], names=["i", "j", "v"])
 
+    ship(labelled.sparkSession)
     cells = labelled.select("x", F.col("y").cast("double")).mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
     out = np.zeros((1 + max((c["i"] for c in cells), default=0), width))
     for c in cells:
