@@ -16,6 +16,8 @@ from quarrymill.sources.ship import ship
 SPACES = b" \t\n\x0b\x0c\r"
 #: Rows without an id sort after all others.
 LAST_ID = 2**63 - 1
+#: Rows that a step gets at once.
+SLICE = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,14 +46,15 @@ def unpacked(df: DataFrame, columns: list[str], **new) -> DataFrame:
 
 
 def map_batches(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
-    """``start()`` runs once a task and returns what maps one Arrow batch to another."""
+    """``start()`` runs once a task and returns what maps one Arrow batch to another; it gets SLICE rows at once, so that a task holds
+    little besides the batch that Spark has sent."""
 
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+            for at in range(0, batch.num_rows, SLICE):
+                yield step(batch.slice(at, SLICE))
 
     return df.mapInArrow(run, schema)
