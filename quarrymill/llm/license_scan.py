@@ -57,9 +57,26 @@ def size_bounds(n: int, least: int) -> tuple[int, int]:
     return -(-least * n // (200 - least)), n * (200 - least) // least
 
 
-def bigrams(unit: Column) -> Column:
-    words = F.filter(F.split(F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), MARK), lambda w: w != "")
-    return F.when(F.size(words) >= 2, F.array_distinct(F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))).otherwise(F.array().cast("array<string>"))
+def words_in(unit: Column) -> Column:
+    return F.filter(F.split(F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), MARK), lambda w: w != "")
+
+
+def bigrams(words: Column) -> Column:
+    """Of a variable of words: an expression would be computed anew for each use."""
+    pairs = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(F.size(words) >= 2, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+
+
+def markers(grams: list[str], least: int) -> set[str]:
+    """Words of which a notice of the template has one at least: so many of its bigrams hold one of them that a unit without any of these
+    bigrams can't reach the coefficient. The longest words come first, as they are the rarest."""
+    may_lack = len(grams) - -(-least * (size_bounds(len(grams), least)[0] + len(grams)) // 200)
+    chosen: set[str] = set()
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+        if sum(not chosen.isdisjoint(g.split()) for g in grams) > may_lack:
+            break
+        chosen.add(word)
+    return chosen
 
 
 def license_scan(docs: DataFrame, text_col: str = "text", templates: dict[str, tuple[str, ...]] = TEMPLATES, least: int = LEAST) -> DataFrame:
@@ -67,7 +84,7 @@ def license_scan(docs: DataFrame, text_col: str = "text", templates: dict[str, t
 
     Compared are each line, each paragraph (between empty lines) and the whole text. A unit is a notice of a template if Dice's
     coefficient of their sets of word bigrams is ``least`` hundredths or more; only templates whose size can reach that are compared.
-    Everything happens inside the row, without a shuffle; the templates are literals of the plan, so their number must stay small.
+    Texts without any of the words that a notice must have are passed over (see markers). Everything happens inside the row, without a shuffle; the templates are literals of the plan, so their number must stay small.
 
     Null and empty texts have no notice, a null licence and a score of 0. Ties go to the first template by name. Repeated rows get equal
     results; input columns of the same names are replaced.
@@ -76,13 +93,16 @@ def license_scan(docs: DataFrame, text_col: str = "text", templates: dict[str, t
     low = min((size_bounds(len(g), least)[0] for _, g in known), default=1)
     high = max((size_bounds(len(g), least)[1] for _, g in known), default=0)
     heads = F.array(*[F.lit(x) for x in sorted({b for _, g in known for b in g})]) if known else F.array().cast("array<string>")
-    text = F.coalesce("text", F.lit(""))
-    lines, paragraphs = F.split(text, "\n"), F.split(text, r"\n[\x20\x09-\x0D]*\n")
-    units = F.array_distinct(F.concat(lines, F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>")), F.array(text)))
+    needed = sorted({w for _, g in known for w in markers(g, least)})
+    text = F.when(F.col("text").rlike("(?i)(?:" + "|".join(needed) + ")"), F.col("text")).otherwise(F.lit("")) if known else F.lit("")
+    rows = packed(docs, text=docs[f"`{text_col}`"]).select("row", F.coalesce(text, F.lit("")).alias("text"))
+    paragraphs = F.split("text", r"\n[\x20\x09-\x0D]*\n")
+    units = F.array_distinct(F.concat(F.split("text", "\n"), F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>")), F.array("text")))
     # n words have at most n - 1 bigrams, and need 2 n - 1 characters
-    units = F.filter(units, lambda u: F.length(u) >= 2 * low + 1)
-    grams = F.filter(F.transform(units, bigrams), lambda g: (F.size(g) >= low) & (F.size(g) <= high))
-    rows = packed(docs, text=docs[f"`{text_col}`"]).select("row", F.filter(grams, lambda g: F.arrays_overlap(g, heads)).alias("grams"))
+    rows = rows.select("row", F.filter(units, lambda u: F.length(u) >= 2 * low + 1).alias("units"))
+    rows = rows.select("row", F.transform("units", words_in).alias("worded"))
+    rows = rows.select("row", F.filter(F.transform("worded", bigrams), lambda g: (F.size(g) >= low) & (F.size(g) <= high)).alias("grams"))
+    rows = rows.select("row", F.filter("grams", lambda g: F.arrays_overlap(g, heads)).alias("grams"))
 
     def matches(g: Column) -> Column:
         found = []

@@ -252,6 +252,10 @@ def test_licenses(spark):
     got = {r.doc_id: r for r in license_scan.license_scan(frame(spark, rows)).collect()}
     assert [got[i].license for i in range(1, 8)] == ["mit", "mit", None, None, None, "mit", "cc-by-nc-4.0"]
     assert got[7].licenses == ["cc-by-nc-4.0", "mit"] and got[7].n_notices == 2 and got[4].license_score == 0
+    for t in (t for ts in license_scan.TEMPLATES.values() for t in ts):
+        grams, marks = license_scan.template_bigrams(t), license_scan.markers(license_scan.template_bigrams(t), 80)
+        rest = [g for g in grams if marks.isdisjoint(g.split())]
+        assert all(200 * len(rest) < 80 * (len(grams) + n) for n in range(max(len(rest), license_scan.size_bounds(len(grams), 80)[0]), 4 * len(grams)))
     for n in range(1, 40):
         lo, hi = license_scan.size_bounds(n, 80)
         assert all((200 * min(n, m) >= 80 * (n + m)) == (lo <= m <= hi) for m in range(1, 120))
