@@ -113,18 +113,20 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """Columns id, shingles (sorted 64-bit hashes as binary)."""
+    """Columns id, shingles (array of distinct 64-bit hashes)."""
 
     def start():
         shingler = Shingler(words)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingler(words_of(text)).tobytes() for text in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            sets = [shingler(words_of(text)) for text in batch.column(1).to_pylist()]
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]), pa.int32())
+            flat = np.concatenate([EMPTY, *sets]).view(np.int64)
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["id", "shingles"])
 
         return step
 
-    return map_batches(docs.select("id", F.col("text").cast("binary")), "id long, shingles binary", start)
+    return map_batches(docs.select("id", F.col("text").cast("binary")), "id long, shingles array<long>", start)
 
 
 def band_keys(level: int) -> Column:
@@ -137,29 +139,16 @@ def band_keys(level: int) -> Column:
 
 
 def linked(pairs: DataFrame, signed: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """Of columns a, b those pairs with 100 * intersection >= least * union on the full sets, of those with AGREE equal coordinates."""
+    """Of columns a, b those pairs with 100 * intersection >= least * union on the full sets, of those with AGREE equal coordinates.
+
+    The sets meet row by row in the JVM: an Arrow batch of pairs of long texts would have no bound."""
     of = lambda df, side, c, name: df.select(F.col("id").alias(side), F.col(c).alias(name))
     near = pairs.join(of(signed, "b", "signature", "_y"), "b").join(of(signed, "a", "signature", "_x"), "a")
     near = near.where(F.size(F.filter(F.zip_with("_x", "_y", lambda x, y: x == y), lambda same: same)) >= AGREE).select("a", "b")
-    both = near.join(of(sets, "b", "shingles", "of_b"), "b").join(of(sets, "a", "shingles", "of_a"), "a").select("a", "b", "of_a", "of_b")
-
-    def start():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
-                n, m = len(x), len(y)
-                if 100 * min(n, m) < least * max(n, m):
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= least * (n + m - both))
-            keep = pa.array(keep, pa.bool_())
-            return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-        return step
-
-    return map_batches(both, "a long, b long", start)
+    both = near.join(of(sets, "b", "shingles", "_y"), "b").join(of(sets, "a", "shingles", "_x"), "a")
+    n, m = F.size("_x"), F.size("_y")
+    alike = F.lit(100) * F.least(n, m) >= F.lit(least) * F.greatest(n, m)
+    return both.where(alike & (F.lit(100 + least) * F.size(F.array_intersect("_x", "_y")) >= F.lit(least) * (n + m))).select("a", "b")
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
