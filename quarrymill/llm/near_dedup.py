@@ -1,7 +1,8 @@
 """Near-duplicate documents: circulant MinHash, bands, exact Jaccard similarity of the full shingle sets, components.
 
-Exact copies are one class from the start. Of each band's bucket, not all pairs are tested: members are linked to the smallest, and
-what this leaves in different components is tested in full where the bucket is small, and dealt anew by other bands where it is large.
+Exact copies are one class from the start. Of each band's bucket, not all pairs are tested: members outside its largest component meet
+one member of that, in a few rounds with another one each. What this leaves in different components is tested in full where that is
+in proportion to the bucket, and dealt anew by other bands where it isn't.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ COORDINATES, ROWS = 128, 4
 LEAST = 75
 #: Least number of equal coordinates for a candidate pair to be counted on the full sets; a pair of 0.75 has fewer in 4 of 10^11 cases.
 AGREE = 64
-#: A bucket is tested in full if that takes at most so many pairs for each of its members.
-PAIRS_EACH = 8
+#: A bucket is tested in full if that takes at most so many pairs for each of its members. Dealing it anew costs as many rows or more.
+PAIRS_EACH = 64
+#: Rounds in which members outside a bucket's largest component meet one of its members.
+MEETINGS = 3
 #: How often the members of other buckets are dealt anew by other bands before each in turn is compared with the rest.
 DEALS = 3
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -138,17 +141,25 @@ def band_keys(level: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(level * 1000 + b), *[pick(b * ROWS + r) for r in range(ROWS)]) for b in range(COORDINATES // ROWS)])
 
 
-def linked(pairs: DataFrame, signed: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+def sketch() -> Column:
+    """The lowest byte of each coordinate: equal coordinates stay equal, and others are so once in 256 times."""
+    return F.transform("signature", lambda x: F.shiftright(F.shiftleft(x, 24), 24).cast("tinyint"))
+
+
+def linked(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     """Of columns a, b those pairs with 100 * intersection >= least * union on the full sets, of those with AGREE equal coordinates.
 
-    The sets meet row by row in the JVM: an Arrow batch of pairs of long texts would have no bound."""
+    The sets meet row by row in the JVM: an Arrow batch of pairs of long texts would have no bound.
+    """
     of = lambda df, side, c, name: df.select(F.col("id").alias(side), F.col(c).alias(name))
-    near = pairs.join(of(signed, "b", "signature", "_y"), "b").join(of(signed, "a", "signature", "_x"), "a")
-    near = near.where(F.size(F.filter(F.zip_with("_x", "_y", lambda x, y: x == y), lambda same: same)) >= AGREE).select("a", "b")
+    near = pairs.join(of(sketches, "b", "sketch", "_y"), "b").join(of(sketches, "a", "sketch", "_x"), "a")
+    near = scratch.keep(near.where(F.size(F.filter(F.zip_with("_x", "_y", lambda x, y: x == y), lambda same: same)) >= AGREE).select("a", "b"))
     both = near.join(of(sets, "b", "shingles", "_y"), "b").join(of(sets, "a", "shingles", "_x"), "a")
     n, m = F.size("_x"), F.size("_y")
     alike = F.lit(100) * F.least(n, m) >= F.lit(least) * F.greatest(n, m)
-    return both.where(alike & (F.lit(100 + least) * F.size(F.array_intersect("_x", "_y")) >= F.lit(least) * (n + m))).select("a", "b")
+    found = scratch.keep(both.where(alike & (F.lit(100 + least) * F.size(F.array_intersect("_x", "_y")) >= F.lit(least) * (n + m))).select("a", "b"))
+    scratch.drop(near)
+    return found
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -171,19 +182,22 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return labels.select("id", "component")
 
 
-def open_buckets(members: DataFrame, labels: DataFrame | None, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Members (key, id, component), and the buckets whose members are in more than one component: key, leader (smallest id) and its
-    component led_by, main (the largest component), cross (pairs of members of different components), n."""
-    m = members.withColumn("component", F.col("id")) if labels is None else members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min(F.struct("first", "component")).alias("leader"), F.max(F.struct("n", "component")).alias("main"))
+def open_buckets(members: DataFrame, labels: DataFrame, turn: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Members (key, id, component), and the buckets whose members are in more than one component: key, main (the largest component),
+    leader (one of its members, another one each turn), cross (pairs of members of different components), n.
+
+    Leaders are the first in an order of all ids, so that buckets with the same members have the same leaders."""
+    m = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id")).alias("first"))
+    largest = F.max(F.struct("n", (-F.col("component")).alias("lowest"), F.col("first.id").alias("leader")))
+    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), largest.alias("l"))
     buckets = whole.withColumn("cross", (F.col("n") * F.col("n") - F.col("same")) / 2).where("cross > 0")
-    return m, scratch.keep(buckets.select("key", F.col("leader.first").alias("leader"), F.col("leader.component").alias("led_by"), F.col("main.component").alias("main"), "cross", "n"))
+    return m, scratch.keep(buckets.select("key", (-F.col("l.lowest")).alias("main"), "l.leader", "cross", "n"))
 
 
 def star(m: DataFrame, buckets: DataFrame) -> DataFrame:
     """Pairs a < b of each open bucket's leader with the members that are not in its component yet."""
-    met = m.join(buckets.select("key", "leader", "led_by"), "key").where("led_by <> component")
+    met = m.join(buckets.select("key", "leader", "main"), "key").where("main <> component")
     return met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
 
 
@@ -198,8 +212,8 @@ def cross_pairs(m: DataFrame, buckets: DataFrame) -> DataFrame:
 class Links:
     """Pairs that were tested, the links found, and the components they make."""
 
-    def __init__(self, signed: DataFrame, sets: DataFrame, given: DataFrame, least: int, scratch: Scratch):
-        self.signed, self.sets, self.edges, self.least, self.scratch = signed, sets, given, least, scratch
+    def __init__(self, sketches: DataFrame, sets: DataFrame, given: DataFrame, least: int, scratch: Scratch):
+        self.sketches, self.sets, self.edges, self.least, self.scratch = sketches, sets, given, least, scratch
         self.tested: DataFrame | None = None
         self.labels = components(given, scratch)
 
@@ -208,45 +222,50 @@ class Links:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = self.scratch.keep(pairs)
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        found = self.scratch.keep(linked(pairs, self.signed, self.sets, self.least))
+        found = linked(pairs, self.sketches, self.sets, self.least, self.scratch)
         if not found.isEmpty():
-            self.edges = self.scratch.keep(self.edges.union(found))
+            self.edges = self.edges.union(found)
             self.labels = components(self.edges, self.scratch)
 
 
+def shared_keys(banded: DataFrame, scratch: Scratch) -> DataFrame:
+    """Columns key, id of the buckets with several members."""
+    shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    members = scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
+    scratch.drop(banded)
+    return members
+
+
 def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int, given: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component of the representatives (rows of ``signed``: id, signature) that are linked with others, also by the
     links ``given`` (a, b)."""
-    banded = scratch.keep(signed.select("id", F.explode(band_keys(0)).alias("key")))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
-    scratch.drop(banded)
-    sets = scratch.keep(shingle_sets(docs.join(members.select("id").distinct(), "id", "left_semi"), words))
-    links = Links(signed, sets, given, least, scratch)
-    for level in range(1, DEALS + 1):
-        m, buckets = open_buckets(members, links.labels, scratch)
-        links.test(star(m, buckets))
-        m, buckets = open_buckets(members, links.labels, scratch)
+    members = shared_keys(scratch.keep(signed.select("id", F.explode(band_keys(0)).alias("key"))), scratch)
+    needed = scratch.keep(members.select("id").distinct())
+    sets = scratch.keep(shingle_sets(docs.join(needed, "id", "left_semi"), words))
+    sketches = scratch.keep(signed.join(needed, "id", "left_semi").select("id", sketch().alias("sketch")))
+    links = Links(sketches, sets, given, least, scratch)
+    for level in range(DEALS + 1):
+        for turn in range(MEETINGS):
+            m, buckets = open_buckets(members, links.labels, turn, scratch)
+            if buckets.isEmpty():
+                return links.labels
+            links.test(star(m, buckets))
+        m, buckets = open_buckets(members, links.labels, 0, scratch)
         links.test(cross_pairs(m, buckets.where(F.col("cross") <= PAIRS_EACH * F.col("n"))))
         wide = buckets.where(F.col("cross") > PAIRS_EACH * F.col("n"))
         if wide.isEmpty():
             return links.labels
-        rest = members.join(wide.select("key"), "key", "left_semi")
+        members = scratch.keep(members.join(wide.select("key"), "key", "left_semi"))
         if level < DEALS:
-            anew = rest.join(signed, "id").select(F.col("key").alias("within"), "id", F.explode(band_keys(level)).alias("band"))
-            dealt = scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct())
-            shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-            members = scratch.keep(dealt.join(shared, "key", "left_semi").select("key", "id"))
-            scratch.drop(dealt)
-        else:
-            members = scratch.keep(rest)
-    led = None  # the exact rest: each member of a bucket that is still open leads once
+            anew = members.join(signed, "id").select(F.col("key").alias("within"), "id", F.explode(band_keys(level + 1)).alias("band"))
+            members = shared_keys(scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct()), scratch)
+    led = None  # the exact rest: each member of a bucket that is still open and outside the largest component leads once
     while True:
-        m, buckets = open_buckets(members, links.labels, scratch)
+        m, buckets = open_buckets(members, links.labels, 0, scratch)
         ahead = m.join(buckets.select("key", "main"), "key").where("component <> main")
         if led is not None:
             ahead = ahead.join(led, ["key", "id"], "left_anti")
-        lead = scratch.keep(ahead.groupBy("key").agg(F.min(F.struct("id", "component")).alias("l")).select("key", F.col("l.id").alias("leader"), F.col("l.component").alias("led_by")))
+        lead = scratch.keep(ahead.groupBy("key").agg(F.min(F.struct("id", "component")).alias("l")).select("key", F.col("l.id").alias("leader"), F.col("l.component").alias("main")))
         if lead.isEmpty():
             return links.labels
         links.test(star(m, lead))
