@@ -1,8 +1,8 @@
 """Near-duplicate documents: circulant MinHash, bands, exact Jaccard similarity of the full shingle sets, components.
 
 Exact copies are one class from the start. Of each band's bucket, not all pairs are tested: members outside its largest component meet
-one member of that, in a few rounds with another one each. What this leaves in different components is tested in full where that is
-in proportion to the bucket, and dealt anew by other bands where it isn't.
+the one of that which shares most with others. What this leaves in different components is tested in full where that is in proportion to
+the bucket, and dealt anew by other bands where it isn't.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ LEAST = 75
 AGREE = 64
 #: A bucket is tested in full if that takes at most so many pairs for each of its members. Dealing it anew costs as many rows or more.
 PAIRS_EACH = 64
-#: Rounds in which members outside a bucket's largest component meet one of its members.
-MEETINGS = 3
 #: How often the members of other buckets are dealt anew by other bands before each in turn is compared with the rest.
 DEALS = 3
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -182,13 +180,16 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return labels.select("id", "component")
 
 
-def open_buckets(members: DataFrame, labels: DataFrame, turn: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def open_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Members (key, id, component), and the buckets whose members are in more than one component: key, main (the largest component),
-    leader (one of its members, another one each turn), cross (pairs of members of different components), n.
-
-    Leaders are the first in an order of all ids, so that buckets with the same members have the same leaders."""
-    m = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id")).alias("first"))
+    leader (one of its members), cross (pairs of members of different components), n.
+
+    The leader is the member that shares most buckets with most others, as the text that others are edits of does; buckets with the
+    same members so have the same leader."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    shares = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("shares"))
+    m = members.join(labels, "id", "left").join(shares, "id").select("key", "id", F.coalesce("component", "id").alias("component"), "shares")
+    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct((-F.col("shares")).alias("order"), "id")).alias("first"))
     largest = F.max(F.struct("n", (-F.col("component")).alias("lowest"), F.col("first.id").alias("leader")))
     whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), largest.alias("l"))
     buckets = whole.withColumn("cross", (F.col("n") * F.col("n") - F.col("same")) / 2).where("cross > 0")
@@ -245,12 +246,9 @@ def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int,
     sketches = scratch.keep(signed.join(needed, "id", "left_semi").select("id", sketch().alias("sketch")))
     links = Links(sketches, sets, given, least, scratch)
     for level in range(DEALS + 1):
-        for turn in range(MEETINGS):
-            m, buckets = open_buckets(members, links.labels, turn, scratch)
-            if buckets.isEmpty():
-                return links.labels
-            links.test(star(m, buckets))
-        m, buckets = open_buckets(members, links.labels, 0, scratch)
+        m, buckets = open_buckets(members, links.labels, scratch)
+        links.test(star(m, buckets))
+        m, buckets = open_buckets(members, links.labels, scratch)
         links.test(cross_pairs(m, buckets.where(F.col("cross") <= PAIRS_EACH * F.col("n"))))
         wide = buckets.where(F.col("cross") > PAIRS_EACH * F.col("n"))
         if wide.isEmpty():
@@ -261,7 +259,7 @@ def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int,
             members = shared_keys(scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct()), scratch)
     led = None  # the exact rest: each member of a bucket that is still open and outside the largest component leads once
     while True:
-        m, buckets = open_buckets(members, links.labels, 0, scratch)
+        m, buckets = open_buckets(members, links.labels, scratch)
         ahead = m.join(buckets.select("key", "main"), "key").where("component <> main")
         if led is not None:
             ahead = ahead.join(led, ["key", "id"], "left_anti")
