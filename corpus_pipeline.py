@@ -16,7 +16,7 @@ from quarrymill.llm.quality_rules import quality_rules
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return quality_rules(docs).where("kept").select(docs.columns)
+    return cut(quality_rules(docs)).where("kept").select(docs.columns)
 
 
 def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
