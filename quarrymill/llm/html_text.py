@@ -29,6 +29,8 @@ MARKS = frozenset(
 )
 #: Lines summed together, and the characters of text, without links, that a window has at a surge.
 WINDOW, SURGE = 3, 80
+#: Text outside of articles has a surge of this part of the largest article at least; of several articles, smaller ones are teasers.
+SHARE = 8
 
 
 def is_outside(tag: str, attributes: str, in_article: bool) -> bool:
@@ -43,20 +45,22 @@ def is_outside(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """The page's lines without markup: text, its characters outside links, and whether it stands in an article element.
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """The page's lines without markup: text, its characters outside links, and the number of the article or main element
+    in which it stands, 0 for none.
 
     What stands in other elements than the article's leaves an empty line, which divides the text around it.
     """
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, int, int]] = []
     text: list[str] = []
-    plain = links = articles = 0
+    plain = links = articles = region = 0
     outside: list[str] = []  # open elements from the outermost that is no part of an article
 
     def flush() -> None:
         nonlocal plain
         line = " ".join(html.unescape("".join(text)).split())
-        out.append((line, plain if line else 0, articles > 0))
+        if line:
+            out.append((line, plain, region if articles else 0))
         text.clear()
         plain = 0
 
@@ -82,7 +86,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                         pass
             continue
         if tag == "a":
-            links = 0 if closing else 1
+            links = 0 if closing or "href" not in m[3].lower() else 1
         if tag in INLINE:
             continue
         if tag == "br":
@@ -90,36 +94,54 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         flush()
         if tag in ARTICLE:
+            region += not closing and not articles
             articles = max(0, articles + (-1 if closing else 1))
         if not closing and tag not in VOID and not m[4] and is_outside(tag, m[3], articles > 0):
             outside.append(tag)
             links = 0
-            out.append(("", 0, articles > 0))
+            out.append(("", 0, region if articles else 0))
     take(page[at:])
     flush()
     return out
 
 
 def main_text(page: str | None) -> str:
-    """Lines between surge and dive. Where the page names its article, that is the text; otherwise a surge is a window of
-    WINDOW lines with SURGE characters outside links, and it dives where a window has none."""
-    lines = lines_of(page or "")
-    if any(inside and text for text, _, inside in lines):
-        return " ".join(text for text, _, inside in lines if inside and text)
-    lines = [(text, n) for text, n, _ in lines if text or n]
-    sums = [sum(n for _, n in lines[i : i + WINDOW]) for i in range(len(lines))]
-    kept, i = [], 0
-    while i < len(lines):
-        if sums[i] < SURGE or not lines[i][1]:
-            i += 1
-            continue
-        end = i
-        while end < len(lines) and sums[end] > 0:
-            end += 1
-        while end > i and not lines[end - 1][1]:
-            end -= 1
-        kept += [text for text, _ in lines[i:end]]
-        i = end + 1
+    """Lines between surge and dive, on every page. A surge is a window of WINDOW lines with SURGE characters outside links, and
+    it dives where a window has none. No window reaches over a gap or into or out of an article.
+
+    An article's characters weigh SURGE each, so that short ones surge too; of several, those under the largest text by SHARE
+    weigh nothing. Outside of articles a surge is scaled to the largest article.
+    """
+    runs: list[list[tuple[str, int, int]]] = [[]]
+    for line in lines_of(page or ""):
+        if not line[0] or runs[-1] and runs[-1][-1][2] != line[2]:
+            runs.append([])
+        if line[0]:
+            runs[-1].append(line)
+    sizes: dict[int, int] = {}
+    for run in runs:
+        for _, n, region in run:
+            sizes[region] = sizes.get(region, 0) + n
+    body = sizes.pop(0, 0)
+    surge = max(SURGE, max(sizes.values(), default=0) / SHARE)
+    largest = max([body if body >= surge else 0, *sizes.values()])
+    kept = []
+    for run in filter(None, runs):
+        region = run[0][2]
+        weight = 1 if not region else SURGE if len(sizes) == 1 or sizes[region] * SHARE >= largest else 0
+        least, i = SURGE if region else surge, 0
+        sums = [weight * sum(n for _, n, _ in run[i : i + WINDOW]) for i in range(len(run))]
+        while i < len(run):
+            if sums[i] < least or not region and not run[i][1]:
+                i += 1
+                continue
+            end = i
+            while end < len(run) and sums[end] > 0:
+                end += 1
+            while end > i and not run[end - 1][1]:
+                end -= 1
+            kept += [text for text, _, _ in run[i:end]]
+            i = end + 1
     return " ".join(kept)
 
 

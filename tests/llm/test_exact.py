@@ -138,6 +138,18 @@ def test_html(spark):
     assert {(r.page_id, r.n_chars) for r in html_text.html_text(pages).collect()} == {(1, 34), (2, 0), (3, 0)}
 
 
+BODY = "<p>" + "real body words here " * 20 + "</p>"
+WORDS = ("real body words here " * 20).strip()
+
+
+def test_html_windows_run_on_every_page():
+    teasers = "<div><article><h3>One</h3>teaser</article><article>Two teaser</article></div>"
+    assert html_text.main_text(f"<body>{BODY}{teasers}</body>") == WORDS
+    assert html_text.main_text(f"<div>{BODY}</div><aside>side</aside><p>Copyright 2020 Example</p>") == WORDS
+    assert html_text.main_text(f"<article>{BODY}<ul><li><a href=a>A</a><li><a href=b>B</a></ul></article><p>Copyright 2020</p>") == WORDS
+    assert html_text.main_text("<article><h1><a href=x>Title</a></h1><p>Hi.</p><aside>side</aside><p>So.</p></article><p>Copyright</p>") == "Title Hi. So."
+
+
 def brute_components(rows, words=5, least=75):
     sets = {}
     for i, t in rows:
