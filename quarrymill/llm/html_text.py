@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from quarrymill.llm.common import map_batches, packed, unpacked
 
 #: Elements whose content is no markup, and comments, declarations and CDATA.
-RAW = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg|math|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+RAW = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?:script|style|noscript|template|textarea|title|iframe|svg|math|object|select)(?![\w:-])(?:[^>]*[\s\"'])?/>"
+    r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|object|select)(?![\w:-])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)",
+    re.S | re.I,
+)
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(/?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.S | re.I)
 #: Elements that don't end a line.
@@ -27,34 +31,97 @@ MARKS = frozenset(
     "cookie cookies consent notice notices alert popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended comment comments "
     "reply replies disqus form search pagination pager toolbar skip contentinfo complementary dialog".split()
 )
+#: Elements that never hold the page's text, even if it is most of it; a wrapper with <main> in it is kept all the same.
+NEVER = OUTSIDE - {"form", "fieldset"}
+#: Elements whose end tag may be left out: what start tags end them, and the elements that these don't reach beyond.
+IMPLIED = {
+    "p": (frozenset("p div ul ol dl table section article main aside nav header footer form fieldset h1 h2 h3 h4 h5 h6 pre blockquote hr address details figure figcaption menu dialog".split()), frozenset("button td th caption".split())),
+    "li": (frozenset(["li"]), frozenset("ul ol menu".split())),
+    "dt": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "dd": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "td": (frozenset("td th tr tbody tfoot".split()), frozenset(["table"])),
+    "th": (frozenset("td th tr tbody tfoot".split()), frozenset(["table"])),
+    "tr": (frozenset("tr tbody tfoot".split()), frozenset(["table"])),
+    "head": (frozenset("body header nav main article section div p".split()), frozenset()),
+}
+ENDS = {start: tuple(tag for tag, (starts, _) in IMPLIED.items() if start in starts) for starts, _ in IMPLIED.values() for start in starts}
 #: Lines summed together, and the characters of text, without links, that a window has at a surge.
 WINDOW, SURGE = 3, 80
 #: Text outside of articles has a surge of this part of the largest article at least; of several articles, smaller ones are teasers.
 SHARE = 8
 
 
-def is_outside(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in OUTSIDE or tag == "header" and not in_article:
-        return True
+def is_outside(tag: str, attributes: str, in_article: bool) -> str:
+    """Why the element is no part of an article: hidden, its kind of element, a mark, or an empty string."""
+    marked = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return "hidden"
         if name in ("class", "id", "role") and not MARKS.isdisjoint(re.split(r"[^a-z]+", value)) and tag not in ("body", "html", *ARTICLE):
+            marked = True
+    if tag in OUTSIDE or tag == "header" and not in_article:
+        return "element"
+    return "mark" if marked else ""
+
+
+def ends_of(tags: list[tuple[int, int, bool, str, str, bool]]) -> list[int]:
+    """For each start tag the index of the first tag after its element. An end tag that is left out is implied by the end of
+    the elements around it, or by a start tag that ends p, li and their like."""
+    ends, stack = [i + 1 for i in range(len(tags))], []
+    count: dict[str, int] = {}
+
+    def pop(until: str, end: int) -> None:
+        while True:
+            tag, i = stack.pop()
+            count[tag] -= 1
+            ends[i] = end + 1 if tag == until and tags[end][2] and tags[end][3] == tag else end
+            if tag == until:
+                return
+
+    def reached(tag: str) -> bool:
+        """Whether one is open, with none of what it doesn't reach beyond above it."""
+        if not count.get(tag):
+            return False
+        bounds = IMPLIED[tag][1] if tag in IMPLIED else ()
+        if not any(count.get(x) for x in bounds):
             return True
-    return False
+        for open_tag, _ in reversed(stack):
+            if open_tag == tag:
+                return True
+            if open_tag in bounds:
+                return False
+        return False
+
+    for k, (_, _, closing, tag, _, single) in enumerate(tags):
+        if tag in INLINE or tag in VOID and tag != "hr":
+            continue
+        if closing:
+            if reached(tag):
+                pop(tag, k)
+            continue
+        for ended in ENDS.get(tag, ()):
+            if reached(ended):
+                pop(ended, k)
+        if not single and tag not in VOID:
+            stack.append((tag, k))
+            count[tag] = count.get(tag, 0) + 1
+    for _, i in stack:
+        ends[i] = len(tags)
+    return ends
 
 
 def lines_of(page: str) -> list[tuple[str, int, int]]:
     """The page's lines without markup: text, its characters outside links, and the number of the article or main element
     in which it stands, 0 for none.
 
-    What stands in other elements than the article's leaves an empty line, which divides the text around it.
+    What stands in other elements than the article's leaves an empty line, which divides the text around it. A form or a block
+    with a mark in its class, id or role is not left out if it holds <main>, half of the text of all articles, or, on a page
+    without any, half of the page's text outside links.
     """
     out: list[tuple[str, int, int]] = []
     text: list[str] = []
     plain = links = articles = region = 0
-    outside: list[str] = []  # open elements from the outermost that is no part of an article
 
     def flush() -> None:
         nonlocal plain
@@ -66,40 +133,62 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
 
     def take(part: str) -> None:
         nonlocal plain
-        if part and not outside:
+        if part:
             text.append(part)
             if not links:
                 plain += len(part.strip())
 
-    page, at = RAW.sub(" ", page), 0
-    for m in TAG.finditer(page):
-        take(page[at : m.start()])
-        at = m.end()
-        closing, tag = m[1], m[2].lower()
-        if outside:
-            if tag not in VOID and not m[4]:
-                if not closing:
-                    if tag == outside[0] or tag in OUTSIDE or tag in ARTICLE:
-                        outside.append(tag)
-                elif tag in outside:
-                    while outside.pop() != tag:
-                        pass
-            continue
+    page = RAW.sub(" ", page)
+    tags = [(m.start(), m.end(), bool(m[1]), m[2].lower(), m[3], bool(m[4]) or m[3].endswith("/")) for m in TAG.finditer(page)]
+    ends = ends_of(tags)
+    # Before each tag: characters outside links, those of them in articles, and <main> elements so far.
+    sums, at, linked, depth, all_plain, in_articles, mains = [], 0, False, 0, 0, 0, 0
+    for start, end, closing, tag, attributes, single in tags:
+        n = 0 if linked else len(page[at:start].strip())
+        all_plain, in_articles, at = all_plain + n, in_articles + (n if depth else 0), end
+        sums.append((all_plain, in_articles, mains))
         if tag == "a":
-            links = 0 if closing or "href" not in m[3].lower() else 1
+            linked = not closing and "href" in attributes.lower()
+        elif tag in ARTICLE and not single:
+            depth, mains = max(0, depth + (-1 if closing else 1)), mains + (tag == "main" and not closing)
+    n = 0 if linked else len(page[at:].strip())
+    sums.append((all_plain + n, in_articles + (n if depth else 0), mains))
+    any_article = any(tag in ARTICLE and not closing for _, _, closing, tag, _, _ in tags)
+
+    def holds_text(k: int, tag: str) -> bool:
+        (plain_0, article_0, main_0), (plain_1, article_1, main_1) = sums[k], sums[ends[k]]
+        if main_1 > main_0:
+            return True
+        if tag in NEVER or tag == "header":
+            return False
+        if any_article:
+            return article_1 > article_0 and 2 * (article_1 - article_0) >= sums[-1][1]
+        return 2 * (plain_1 - plain_0) > sums[-1][0]
+
+    at = k = 0
+    while k < len(tags):
+        start, end, closing, tag, attributes, single = tags[k]
+        take(page[at:start])
+        at, k = end, k + 1
+        if tag == "a":
+            links = 0 if closing or "href" not in attributes.lower() else 1
         if tag in INLINE:
             continue
         if tag == "br":
             take(" ")
             continue
         flush()
-        if tag in ARTICLE:
+        if not closing and tag not in VOID and not single:
+            why = is_outside(tag, attributes, articles > 0)
+            if why and (why == "hidden" or not holds_text(k - 1, tag)):
+                k = ends[k - 1]
+                at = tags[k - 1][1] if k and tags[k - 1][2] and tags[k - 1][3] == tag else tags[k][0] if k < len(tags) else len(page)
+                links = 0
+                out.append(("", 0, region if articles else 0))
+                continue
+        if tag in ARTICLE and not single:
             region += not closing and not articles
             articles = max(0, articles + (-1 if closing else 1))
-        if not closing and tag not in VOID and not m[4] and is_outside(tag, m[3], articles > 0):
-            outside.append(tag)
-            links = 0
-            out.append(("", 0, region if articles else 0))
     take(page[at:])
     flush()
     return out

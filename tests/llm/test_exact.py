@@ -150,6 +150,32 @@ def test_html_windows_run_on_every_page():
     assert html_text.main_text("<article><h1><a href=x>Title</a></h1><p>Hi.</p><aside>side</aside><p>So.</p></article><p>Copyright</p>") == "Title Hi. So."
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='content-sidebar-wrap'><main>{BODY}</main></div><div class='sidebar'><article>side</article></div>",
+        f"<div class='page has-sidebar'>{BODY}<div class='sidebar'>side</div></div>",
+        f"<div class='content ad-free'>{BODY}</div>",
+        f"<form id='all'>{BODY}</form>",
+        f"<article><div class='share-wrap'>{BODY}</div></article>",
+        f"<article><ul><li class='share'>Share</ul>{BODY}</article>",
+        f"<ul><li class='share'>Share<li>{WORDS}</ul>",
+        f"<article><p class='notice'>note{BODY}</article>",
+        f"<article><div class='notice'>note</article><article>{BODY}</article>",
+        f"<article><div class='notice'><ul><li>note</div>{BODY}</article>",
+        f"<article><svg class='i'/>{BODY}<svg><path/></svg></article>",
+        f"<article><svg/>{BODY}</article>",
+        f"<article hidden>no</article>{BODY}",
+    ],
+)
+def test_html_keeps_articles(page):
+    assert html_text.main_text(page) == WORDS
+
+
+def test_html_deep_pages_take_linear_time():
+    assert html_text.main_text("<div class='ad'><ul><li><p>x" * 20_000) == ""
+
+
 def brute_components(rows, words=5, least=75):
     sets = {}
     for i, t in rows:
