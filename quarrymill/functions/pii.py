@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
+import contextlib
+import datetime
+import ipaddress
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,9 +94,138 @@ def outcome(n_secret: Column, n_restricted: Column, categories: Column, n_identi
         .otherwise("accept")
     )
 
+# The findings of one text, with spans. Python's regular expressions; no pattern differs between the two.
+NATIONAL = r"(?<!\d)\d{2}[. /-]?\d{2}[. /-]?\d{2}[. /-]?\d{3}[. /-]?\d{2}(?!\d)"
+IBAN_BE = r"(?i)(?<![A-Z0-9])BE\d{2}(?:[ -]?\d){12}(?![A-Z0-9])"
+BORN = r"(?i)(?:geboren(?: op)?|geboortedatum|date de naissance|born(?: on)?|birth date|geburtsdatum)\s*[:=-]?\s*(\d{1,2}[./-]\d{1,2}[./-]\d{2,4})"
+IP = r"(?<![\w:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])"
+COORDINATES = r"(?<![\d.])-?\d{1,2}(?:\.\d{4,})\s*[,;]\s*-?\d{1,3}(?:\.\d{4,})(?![\d.])"
+WORD = r"[A-ZÀ-ÖØ-Ý][\wÀ-ÖØ-öø-ÿ'’-]+"
+PHRASES = {
+    "person_name": (rf"(?i)(?:naam|name|nom|patient|pati[eë]nt|client)\s*[:=-]\s*{WORD}(?:\s+{WORD}){{1,3}}", rf"(?i)(?:mr|mrs|ms|dr|meneer|mevrouw|monsieur|madame)\.?\s+{WORD}"),
+    "postal_address": (
+        rf"(?i)\b{WORD}(?:straat|laan|weg|steenweg|plein|kaai|dreef|markt|rue|avenue|boulevard|chauss[eé]e|straat)\s+\d{{1,5}}[A-Za-z]?(?:\s*(?:bus|box|bte)\s*\w+)?(?:,?\s*\d{{4,5}}\s+[A-ZÀ-ÖØ-Ý][\wÀ-ÖØ-öø-ÿ'’ -]+)?",
+        r"(?i)(?:adres|address|adresse)\s*[:=-]\s*[^\n]{8,100}",
+    ),
+    "organization": (r"(?i)(?:werkgever|employer|organisation|organization|bedrijf)\s*[:=-]\s*[^\n,;]{2,80}",),
+}
+RESTRICTED = frozenset("belgian_national_number passport_number payment_card".split())
+REIDENTIFYING = frozenset("person_name postal_address date_of_birth geographic_location organization ip_address".split())
+REDACTABLE = frozenset("person_name email_address phone_number postal_address geographic_location date_of_birth iban ip_address".split())
+#: Of findings of these types that overlap, the first in this order stays.
+EXCLUSIVE = "belgian_national_number payment_card iban date_of_birth passport_number ip_address phone_number".split()
+#: What a redacted span with several findings is named after.
+LABELS = "belgian_national_number payment_card iban date_of_birth passport_number email_address ip_address phone_number postal_address person_name geographic_location card_like".split()
+
+
+def only_digits(x: str) -> str:
+    return "".join(c for c in x if c.isdigit())
+
+
+def valid_national(x: str) -> bool:
+    """Belgian number: a date in either century and the check digits of either."""
+    d = only_digits(x)
+    if len(d) != 11 or d[6:9] == "000":
+        return False
+    for century in (1900, 2000):
+        with contextlib.suppress(ValueError):
+            datetime.date(century + int(d[:2]), int(d[2:4]), int(d[4:6]))
+            return int(d[9:]) in (97 - int(d[:9]) % 97, 97 - int("2" + d[:9]) % 97)
+    return False
+
+
+def valid_card(x: str) -> bool:
+    d = only_digits(x)
+    return 13 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def valid_iban(x: str) -> bool:
+    x = "".join(c for c in x if c.isalnum()).upper()
+    if not 15 <= len(x) <= 34 or not x[:2].isalpha() or not x.isascii():
+        return False
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def valid_ip(x: str) -> bool:
+    try:
+        ipaddress.ip_address(x.strip())
+    except ValueError:
+        return False
+    return True
+
+
+def valid_phone(x: str) -> bool:
+    d = only_digits(x)
+    return 8 <= len(d) <= 15 and len(set(d)) > 1 and not re.fullmatch(r"\d{1,4}[./-]\d{1,2}[./-]\d{1,4}", x.strip())
+
+
+def valid_coordinates(x: str) -> bool:
+    a, b = x.replace(";", ",").split(",")
+    return -90 <= float(a) <= 90 and -180 <= float(b) <= 180
+
+
+#: Type, pattern, group of the value, and what else it must be.
+DETECTORS = [
+    (kind, re.compile(p), group, ok)
+    for kind, p, group, ok in (
+        ("email_address", EMAIL, 0, None),
+        ("belgian_national_number", NATIONAL, 0, valid_national),
+        ("payment_card", CARD, 0, valid_card),
+        ("iban", IBAN_BE, 0, valid_iban),
+        ("iban", IBAN, 0, valid_iban),
+        ("date_of_birth", BORN, 1, None),
+        ("passport_number", PASSPORT, 1, None),
+        ("ip_address", IP, 0, valid_ip),
+        ("phone_number", PHONE, 0, valid_phone),
+        ("geographic_location", COORDINATES, 0, valid_coordinates),
+        *((kind, p, 0, None) for kind, found_by in PHRASES.items() for p in found_by),
+    )
+]
+
+
+def findings(text: str) -> list[tuple[str, int, int]]:
+    """Type, start and end of what identifies someone. Of overlapping structured findings the first by EXCLUSIVE stays; a phrase
+    counts as its whole sentence."""
+    out: set[tuple[str, int, int]] = set()
+    for kind, pattern, group, ok in DETECTORS:
+        for m in pattern.finditer(text):
+            if ok and not ok(m[group]):
+                continue
+            start, end = m.span(group)
+            if kind in PHRASES:
+                left = max(text.rfind(".", 0, start), text.rfind("\n", 0, start)) + 1
+                start, end = min(left, start), max(end, min((p for p in (text.find(".", end), text.find("\n", end)) if p >= 0), default=len(text) - 1) + 1)
+            out.add((kind, start, end))
+    kept: list[tuple[int, int]] = []
+    selected = [x for x in out if x[0] not in EXCLUSIVE]
+    for kind, start, end in sorted((x for x in out if x[0] in EXCLUSIVE), key=lambda x: (EXCLUSIVE.index(x[0]), x[1], -x[2])):
+        at = bisect.bisect_left(kept, (end,))
+        if at and kept[at - 1][1] > start:
+            continue
+        bisect.insort(kept, (start, end))
+        selected.append((kind, start, end))
+    return sorted(selected, key=lambda x: (x[1], x[0]))
+
+
+def types_of(text: Column) -> Column:
+    """Sorted types of the findings."""
+    return F.arrow_udf(lambda texts: pa.array([sorted({x[0] for x in findings(t or "")}) for t in texts.to_pylist()], pa.list_(pa.string())), "array<string>")(text)
+
+
+def redacted_text(text: str) -> str:
+    """Redactable findings, cards and all runs of digits that look like one replaced by their kind; overlapping ones together."""
+    spans = [x for x in findings(text) if x[0] in REDACTABLE or x[0] == "payment_card"] + [("card_like", *m.span()) for m in re.finditer(CARD, text)]
+    groups: list[list] = []
+    for kind, start, end in sorted(spans, key=lambda x: (x[1], x[2])):
+        if groups and start < groups[-1][2]:
+            groups[-1][0] = min(groups[-1][0], kind, key=LABELS.index)
+            groups[-1][2] = max(groups[-1][2], end)
+        else:
+            groups.append([kind, start, end])
+    for kind, start, end in reversed(groups):
+        text = f"{text[:start]}[REDACTED_{'PAYMENT_CARD' if kind == 'card_like' else kind.upper()}]{text[end:]}"
+    return text
+
 
 def redacted(text: Column) -> Column:
-    """Email addresses, then dotted quads, then card-like numbers replaced by their kind."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), EMAIL, "[REDACTED_EMAIL_ADDRESS]")
-    t = F.regexp_replace(t, IPV4, "[REDACTED_IP_ADDRESS]")
-    return F.regexp_replace(t, CARD, "[REDACTED_PAYMENT_CARD]")
+    return F.arrow_udf(lambda texts: pa.array([redacted_text(t or "") for t in texts.to_pylist()], pa.string()), "string")(text)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import pii
+from quarrymill.sources.ship import ship
 from quarrymill.sources.tables import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -84,14 +85,26 @@ WITH f AS (SELECT doc_id, (len({EMAIL_SQL}) > 0)::INT AS e, (len({IP_SQL}) > 0):
 SELECT CASE WHEN s > 0 THEN 'escalate' WHEN c > 0 THEN 'review' WHEN e + ip > 0 THEN 'remediate' ELSE 'accept' END AS outcome, count(*)::BIGINT AS n_docs FROM f GROUP BY ALL
 """)
 def pii_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcome by secrets, sensitive words, and email addresses and dotted quads."""
+    """Outcome by secrets, sensitive words, and email addresses and dotted quads: the part that SQL can express. All types are in
+    pii_outcome_all."""
     t = F.col("text")
     d = documents(spark, sf_dir).select(F.size(pii.secrets(t)).alias("s"), pii.sensitive(t).alias("c"), ((F.size(pii.emails(t)) > 0).cast("int") + (F.size(pii.ipv4(t)) > 0).cast("int")).alias("n"))
     return d.select(pii.outcome(F.col("s"), F.lit(0), F.col("c"), F.col("n"), F.col("n")).alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n_docs"))
 
 
+@query()
+def pii_outcome_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome by all types of findings: restricted ones reject, three re-identifying types are reviewed, redactable ones remediated."""
+    ship(spark)
+    t, kinds = F.col("text"), lambda which: F.size(F.array_intersect("k", F.array(*[F.lit(x) for x in sorted(which)])))
+    d = documents(spark, sf_dir).select(F.size(pii.secrets(t)).alias("s"), pii.sensitive(t).alias("c"), pii.types_of(t).alias("k"))
+    outcome = pii.outcome(F.col("s"), kinds(pii.RESTRICTED), F.col("c"), kinds(pii.REIDENTIFYING), kinds(pii.REDACTABLE))
+    return d.select(outcome.alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n_docs"))
+
+
 @query()
 def pii_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     d = documents(spark, sf_dir).select("doc_id", "text", pii.redacted(F.col("text")).alias("r"))
     return d.select("doc_id", F.sha2("r", 256).alias("redacted_sha256"), (F.col("r") != F.coalesce("text", F.lit(""))).alias("changed"), F.regexp_count("r", F.lit(r"\[REDACTED_")).cast("long").alias("n_redacted"))
 

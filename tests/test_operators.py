@@ -56,6 +56,35 @@ def test_pii_cases(spark):
     assert one(spark, pii.redacted(F.col("x")), "a@b.org at 10.0.0.1") == "[REDACTED_EMAIL_ADDRESS] at [REDACTED_IP_ADDRESS]"
 
 
+def test_pii_of_all_types(spark, tmp_path):
+    from quarrymill.plans import privacy
+
+    texts = {
+        "pay 4111 1111 1111 1111": ("reject", "pay [REDACTED_PAYMENT_CARD]"),
+        "passport number: AB123456": ("reject", "passport number: AB123456"),
+        "no. 85.07.30-033.28": ("reject", None),
+        "no. 85.07.30-033.29": ("remediate", "no. [REDACTED_PHONE_NUMBER]"),
+        "call +32 470 12 34 56": ("remediate", "call [REDACTED_PHONE_NUMBER]"),
+        "to GB82WEST12345698765432": ("remediate", "to [REDACTED_IBAN]"),
+        "to BE68 5390 0754 7034.": ("remediate", "to [REDACTED_IBAN]."),
+        "from ::1 and 2001:db8::7": ("remediate", "from [REDACTED_IP_ADDRESS] and [REDACTED_IP_ADDRESS]"),
+        "born on 1.2.1990": ("remediate", "born on [REDACTED_DATE_OF_BIRTH]"),
+        "born 1.2.1990\nemployer: Acme\nfrom 10.0.0.1": ("review", None),
+        "born 1.2.1990\nemployer: Acme": ("remediate", None),
+        "employer: Acme": ("accept", "employer: Acme"),
+        "on 2024-01-02 at 11111111": ("accept", "on 2024-01-02 at 11111111"),
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string").repartition(2)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.outcome: r.n_docs for r in privacy.pii_outcome_all(spark, str(tmp_path)).collect()}
+    want = [o for o, _ in texts.values()] + ["accept", "accept"]
+    assert got == {o: want.count(o) for o in set(want)}
+    for t, (_, r) in texts.items():
+        assert r is None or one(spark, pii.redacted(F.col("x")), t) == r
+    assert [f[0] for f in pii.findings("passport: BE68539007547034")] == ["iban"]
+
+
+
 def test_candidates(spark):
     rows = [("lower", 0.6, "A", "a"), ("better", 0.9, "A", "b"), ("copy", 0.8, "B", "b"), ("blank", 0.1, " ", "")]
     df = spark.createDataFrame(rows, "id string, q double, url string, exact string")
