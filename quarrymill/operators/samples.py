@@ -79,14 +79,17 @@ def packed_turns(turns: DataFrame, conv: str, turn: str, tokens: str, budget: in
 
 
 def hamming_pairs(df: DataFrame, ident: str, bits: str, most: int, width: int = 64) -> DataFrame:
-    """Pairs a < b of rows whose hashes (long) differ in at most ``most`` bits: they agree in one of most + 1 bands.
+    """Pairs a < b of rows whose hashes (long) differ in at most ``most`` bits: they agree in one of most + 1 bands,
+    which divide the width into parts as even as can be.
 
     Rows with equal hashes are one node, so that copies meet once; pairs are of the smallest ids.
     """
     nodes = df.where(F.col(bits).isNotNull()).groupBy(bits).agg(F.min(ident).alias("_id"))
-    band = -(-width // (most + 1))
-    mask = (1 << band) - 1
-    bands = F.array(*[F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(bits, i * band).bitwiseAND(F.lit(mask)).alias("v")) for i in range(most + 1)])
+    if not 0 <= most < width <= 64:
+        raise ValueError("most must be under width, and width 64 at most")
+    starts = [i * width // (most + 1) for i in range(most + 2)]
+    masked = lambda i, n: F.shiftrightunsigned(bits, starts[i]).bitwiseAND(F.lit((1 << n) - 1)) if n < 64 else F.col(bits)
+    bands = F.array(*[F.struct(F.lit(i).alias("i"), masked(i, starts[i + 1] - starts[i]).alias("v")) for i in range(most + 1)])
     keys = nodes.select(F.col("_id").alias("a"), F.col(bits).alias("_x"), F.explode(bands).alias("_k"))
     met = keys.join(keys.select(F.col("a").alias("b"), F.col("_x").alias("_y"), "_k"), "_k").where("a < b").withColumn("distance", F.bit_count(F.col("_x").bitwiseXOR(F.col("_y"))))
     return met.where(F.col("distance") <= most).select("a", "b", "distance").distinct()

@@ -260,3 +260,22 @@ def test_leader_clusters_and_selection(spark):
         taken |= set(keys) if accepted[i] else set()
     df = spark.createDataFrame(keyed, "id long, o long, keys array<string>")
     assert {r.id: r.accepted for r in select.select_first(df, "id", "o", "keys").collect()} == accepted
+
+
+@pytest.mark.parametrize("most", [0, 3, 8, 20])
+def test_hamming_pairs_against_brute_force(spark, most):
+    import random
+
+    from quarrymill.operators import samples
+
+    rng = random.Random(2)
+    rows = []
+    for i in range(12):
+        x = rng.getrandbits(63)
+        y = x
+        for band in range(8):  # one bit in each byte
+            y ^= 1 << (8 * band + rng.randrange(7))
+        rows += [(4 * i, x), (4 * i + 1, y), (4 * i + 2, y ^ 1 << rng.randrange(63)), (4 * i + 3, x ^ 3)]
+    want = {(a, b, (x ^ y).bit_count()) for a, x in rows for b, y in rows if a < b and 0 < (x ^ y).bit_count() <= most}
+    got = samples.hamming_pairs(spark.createDataFrame(rows, "id long, x long"), "id", "x", most)
+    assert {tuple(r) for r in got.collect()} == want
