@@ -25,6 +25,13 @@ def token_f1(left: Column, right: Column) -> Column:
     return F.when((F.size(left) == 0) & (F.size(right) == 0), 1.0).when(common == 0, 0.0).otherwise(2.0 * common / (F.size(left) + F.size(right)))
 
 
+def word_edits(left: Column, right: Column) -> Column:
+    """Levenshtein distance of two arrays of words: each distinct word of the pair becomes a character."""
+    words = F.array_distinct(F.concat(left, right))
+    as_text = lambda a, words: F.array_join(F.transform(a, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(words, w) + 65536), 8, "0")), "UTF-32")), "")
+    return F.transform(F.array(words), lambda d: F.levenshtein(as_text(left, d), as_text(right, d)))[0]
+
+
 def error_rate(df: DataFrame, edits: Column, length: Column) -> DataFrame:
     """Sum of edits by sum of reference lengths, each one at least."""
     return df.agg(F.sum(edits).cast("long").alias("edits"), F.sum(F.greatest(length, F.lit(1))).cast("long").alias("length")).select("edits", "length", (F.col("edits") / F.col("length")).alias("rate"))

@@ -141,7 +141,7 @@ WITH t AS (SELECT conv_id, turn, {ASCII} AS t FROM conversations)
 SELECT sum(levenshtein(a.t, b.t))::BIGINT AS edits, sum(greatest(length(b.t), 1))::BIGINT AS length, round(sum(levenshtein(a.t, b.t))::DOUBLE / sum(greatest(length(b.t), 1)), 6) AS rate FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
 """)
 def character_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Openings of each turn, in plain letters, against the next one's."""
+    """Openings of each turn, in plain letters, against the next one's: what SQL does in time. Whole turns are in text_error_rates."""
     t = F.substring(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z ]", ""), 1, 200)
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", t.alias("t"))
     after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("t").alias("v"))
@@ -149,6 +149,19 @@ def character_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate.withColumn("rate", F.round("rate", 6))
 
 
+@query()
+def text_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each whole turn against the next one: edits of characters and of words, by the lengths of the next ones."""
+    t = F.coalesce("text", F.lit(""))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", t.alias("t"))
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("t").alias("v"))
+    pairs = c.join(after, ["conv_id", "turn"]).select("t", "v", text.space_tokens(F.col("t")).alias("a"), text.space_tokens(F.col("v")).alias("b"))
+    rates = []
+    for unit, edits, length in (("character", F.levenshtein("t", "v"), F.length("v")), ("word", metrics.word_edits(F.col("a"), F.col("b")), F.size("b"))):
+        rates.append(metrics.error_rate(pairs, edits, length).select(F.lit(unit).alias("unit"), "edits", "length", F.round("rate", 6).alias("rate")))
+    return rates[0].unionByName(rates[1])
+
+
 @query("""
 WITH c AS (SELECT source, count(*) FILTER (WHERE quality = 1)::DOUBLE AS k, count(*)::DOUBLE AS n FROM documents JOIN labels USING (doc_id) GROUP BY source)
 SELECT source, k::BIGINT AS n_good, n::BIGINT AS n_labelled, round(greatest(0, (k / n + 3.8416 / (2 * n)) / (1 + 3.8416 / n) - 1.96 * sqrt(k / n * (1 - k / n) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n)), 6) AS low,

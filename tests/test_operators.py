@@ -279,3 +279,21 @@ def test_hamming_pairs_against_brute_force(spark, most):
     want = {(a, b, (x ^ y).bit_count()) for a, x in rows for b, y in rows if a < b and 0 < (x ^ y).bit_count() <= most}
     got = samples.hamming_pairs(spark.createDataFrame(rows, "id long, x long"), "id", "x", most)
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_text_error_rates_of_whole_turns(spark, tmp_path):
+    from quarrymill.plans import relations
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    turns = ["same words " * 30 + "één andere staart", "same words " * 30 + "einde", "", None, "One two\nthree", "one three two four"]
+    spark.createDataFrame([(1, i, t) for i, t in enumerate(turns)], "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    pairs = [(a or "", b or "") for a, b in zip(turns, turns[1:])]
+    want = {"character": (sum(edits(a, b) for a, b in pairs), sum(max(1, len(b)) for _, b in pairs)), "word": (sum(edits(a.split(), b.split()) for a, b in pairs), sum(max(1, len(b.split())) for _, b in pairs))}
+    assert {r.unit: (r.edits, r.length) for r in relations.text_error_rates(spark, str(tmp_path)).collect()} == want
