@@ -65,12 +65,30 @@ LONG = "source IN ('src0', 'src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7
 
 @query(NEAR_SQL.format(a=shingles_sql("documents", "doc_id", LONG), b=shingles_sql("documents", "doc_id", f"NOT ({LONG})"), on="", x="left_id", y="right_id", least=0.92))
 def near_duplicates_between_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of the first ten sources against those of the others, by shingles of four words."""
+    """Documents of the first ten sources against those of the others, by shingles of four words, similar by 0.92 as its SQL has
+    it. All pairs of sources, by five words and 0.75, are in near_duplicates_of_all_sources."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(LONG).alias("first"))
     left, right = d.where("first").select(F.col("doc_id").alias("left_id"), "text"), d.where("not first").select(F.col("doc_id").alias("right_id"), "text")
     return leakage.near_pairs(left, right, "left_id", "right_id", "text", 0.92).withColumn("similarity", F.round("similarity", 6))
 
 
+@query()
+def near_duplicates_of_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal texts, by their smallest ids, that are similar by 0.75 in shingles of five words, each class with itself
+    included, and how many pairs of documents of different sources they stand for; none is made."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.array_join(text.space_tokens(F.lower(F.coalesce("text", F.lit("")))), " ").alias("text")).where("text <> ''")
+    members = d.groupBy(F.sha2("text", 256).alias("key"), "source").agg(F.count("*").alias("n"), F.min("doc_id").alias("id"), F.min("text").alias("text"))
+    classes = members.groupBy("key").agg(F.min("id").alias("id"), F.min("text").alias("text"), F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("m"))
+    side = lambda name, c: classes.select(F.col("id").alias(name), c)
+    near = leakage.near_pairs(side("left_id", "text"), side("right_id", "text"), "left_id", "right_id", "text", 0.75, 5).where("left_id <= right_id")
+    total = lambda c: F.aggregate(F.map_values(c), F.lit(0).cast("long"), lambda a, n: a + n)
+    same = F.aggregate(F.map_entries("x"), F.lit(0).cast("long"), lambda a, e: a + e["value"] * F.coalesce(F.try_element_at("y", e["key"]), F.lit(0)))
+    pairs = total(F.col("x")) * total(F.col("y")) - same
+    met = near.join(side("left_id", F.col("m").alias("x")), "left_id").join(side("right_id", F.col("m").alias("y")), "right_id")
+    n = F.when(F.col("left_id") == F.col("right_id"), (pairs / 2).cast("long")).otherwise(pairs)
+    return met.select("left_id", "right_id", "n_both", F.round("similarity", 6).alias("similarity"), n.alias("n_pairs")).where("n_pairs > 0")
+
+
 @query(f"SELECT key AS family, list_aggregate(list_sort(list(DISTINCT split)), 'string_agg', ',') AS splits FROM (SELECT sha256({FOLD_SQL}) AS key, CASE WHEN f < 0.8 THEN 'train' WHEN f < 0.9 THEN 'val' ELSE 'test' END AS split FROM (SELECT text, ('0x' || substr(sha256(doc_id::VARCHAR), 1, 16))::UBIGINT::DOUBLE / 18446744073709551615::DOUBLE AS f FROM documents)) GROUP BY key HAVING count(DISTINCT split) > 1")
 def family_cross_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Families of equal text that a split by id divides."""

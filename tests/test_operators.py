@@ -297,3 +297,22 @@ def test_text_error_rates_of_whole_turns(spark, tmp_path):
     pairs = [(a or "", b or "") for a, b in zip(turns, turns[1:])]
     want = {"character": (sum(edits(a, b) for a, b in pairs), sum(max(1, len(b)) for _, b in pairs)), "word": (sum(edits(a.split(), b.split()) for a, b in pairs), sum(max(1, len(b.split())) for _, b in pairs))}
     assert {r.unit: (r.edits, r.length) for r in relations.text_error_rates(spark, str(tmp_path)).collect()} == want
+
+
+def test_near_duplicates_of_all_sources(spark, tmp_path):
+    from quarrymill.plans import relations
+
+    words = [f"w{i}" for i in range(60)]
+    near, other = " ".join(words[:30] + ["new"] + words[31:]), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, " ".join(words), "src0"), (2, near, "src1"), (3, near.upper(), "src1"), (4, near, "src15"), (5, other, "src2"), (6, other, "src2"), (7, other + " end", "src2"), (8, "", "src3"), (9, None, "src4"), (10, "a b", "src5"), (11, "a  b", "src6")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t, _ in rows if (w := (t or "").lower().split())}
+    want: dict = {}
+    first = lambda i: min(j for j, t, _ in rows if (t or "").lower().split() == (rows[i - 1][1] or "").lower().split())
+    for i, _, s in rows:
+        for j, _, u in rows:
+            if i < j and s != u and i in sets and j in sets and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.75:
+                key = tuple(sorted((first(i), first(j))))
+                want[key] = want.get(key, 0) + 1
+    got = {(r.left_id, r.right_id): r.n_pairs for r in relations.near_duplicates_of_all_sources(spark, str(tmp_path)).collect()}
+    assert want == {(1, 2): 3, (2, 2): 2, (10, 10): 1} and got == want
