@@ -1,13 +1,14 @@
 """Near-duplicate documents: circulant MinHash, bands, exact Jaccard similarity of the full shingle sets, components.
 
-Exact copies are one class from the start. Of each band's bucket, not all pairs are tested: members outside its largest component meet
-the one of that which shares most with others. What this leaves in different components is tested in full where that is in proportion to
-the bucket, and dealt anew by other bands where it isn't.
+Exact copies are one class from the start. Of each band's bucket, not all pairs are tested: first, each member meets the one that shares
+most with others. Members that this leaves in different components of a bucket are candidates only if they also share one of their rarest
+shingles, at places that leave room for enough others (prefix and positional filter, which no similar pair fails). Both steps
+are one pass each; there are no rounds over the pairs of a bucket.
 """
 
 from __future__ import annotations
 
-import random
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,14 @@ WORDS = 5
 COORDINATES, ROWS = 128, 4
 #: Least similarity in hundredths.
 LEAST = 75
-#: Least number of equal coordinates for a candidate pair to be counted on the full sets; a pair of 0.75 has fewer in 4 of 10^11 cases.
+#: Least number of equal coordinates for a candidate pair to be counted on the full sets. With independent coordinates, a pair of 0.75 has
+#: fewer in 4 of 10^11 cases; those of circulant signatures vary less (Li and Li, C-MinHash, 2022).
 AGREE = 64
-#: A bucket is tested in full if that takes at most so many pairs for each of its members. Dealing it anew costs as many rows or more.
-PAIRS_EACH = 64
-#: How often the members of other buckets are dealt anew by other bands before each in turn is compared with the rest.
-DEALS = 3
+#: Cells of the table that counts shingles of open documents by their hashes. It only orders shingles by rarity, so its fixed size bounds
+#: what the driver and each task hold and costs no pair.
+CELLS = 1 << 20
+#: Sizes of sets are put in classes that grow by this ratio; a shingle is a candidate key for each class of sizes that the partner may have.
+RATIO = 1.2
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 EMPTY = np.zeros(0, dtype=np.uint64)
 
@@ -130,13 +133,10 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return map_batches(docs.select("id", F.col("text").cast("binary")), "id long, shingles array<long>", start)
 
 
-def band_keys(level: int) -> Column:
-    """One 64-bit key for each band of ROWS coordinates; every level groups the coordinates in another, fixed way."""
-    order = list(range(COORDINATES))
-    if level:
-        random.Random(level).shuffle(order)
-    pick = lambda i: F.get("signature", F.lit(order[i]))
-    return F.array(*[F.xxhash64(F.lit(level * 1000 + b), *[pick(b * ROWS + r) for r in range(ROWS)]) for b in range(COORDINATES // ROWS)])
+def band_keys() -> Column:
+    """One 64-bit key for each band of ROWS coordinates."""
+    pick = lambda i: F.get("signature", F.lit(i))
+    return F.array(*[F.xxhash64(F.lit(b), *[pick(b * ROWS + r) for r in range(ROWS)]) for b in range(COORDINATES // ROWS)])
 
 
 def sketch() -> Column:
@@ -163,112 +163,152 @@ def linked(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, least: int, s
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component (smallest id reachable) of all ends of the edges a, b; a node's neighbours are never gathered.
 
-    Each round takes the smallest label of the neighbours, then the label's own label, until nothing changes.
+    Large-star and small-star (Kiveris and others, Connected components in MapReduce and beyond, 2014) in turn: larger, then smaller
+    neighbours of a node are linked with its smallest neighbour instead, until each is linked with its component's smallest id. The rounds
+    grow as the square of a logarithm at most.
     """
-    both = scratch.keep(edges.union(edges.select("b", "a")).toDF("id", "near").distinct())
-    labels = scratch.keep(both.groupBy("id").agg(F.least(F.min("near"), F.col("id")).alias("component")))
+    star = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    before = None
     while True:
-        near = both.join(labels.select(F.col("id").alias("near"), "component"), "near").groupBy("id").agg(F.min("component").alias("lower"))
-        lowered = labels.join(near, "id").select("id", F.least("component", "lower").alias("lower"), "component")
-        jump = labels.select(F.col("id").alias("lower"), F.col("component").alias("jumped"))
-        lowest = F.least("lower", F.coalesce("jumped", "lower"))
-        new = scratch.keep(lowered.join(jump, "lower", "left").select("id", lowest.alias("component"), (lowest < F.col("component")).alias("changed")))
-        scratch.drop(labels)
-        labels = new
-        if new.where("changed").isEmpty():
-            scratch.drop(both)
-            return labels.select("id", "component")
-
-
-def open_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Members (key, id, component), and the buckets whose members are in more than one component: key, main (the largest component),
-    leader (one of its members), cross (pairs of members of different components), n.
-
-    The leader is the member that shares most buckets with most others, as the text that others are edits of does; buckets with the
-    same members so have the same leader."""
+        both = star.union(star.select("v", "u"))
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lowest.where("m < u").select("u", "m")).distinct()
+        large = scratch.keep(large)
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(smallest.select("u", F.col("m").alias("v"))).distinct()
+        after = scratch.keep(small)
+        scratch.drop(star, large)
+        star, now = after, after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            roots = star.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))
+            return star.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
+        before = now
+
+
+def joined_labels(labels: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """``labels`` after more edges: only the components that these join are looked at."""
+    of = lambda side: labels.select(F.col("id").alias(side), F.col("component").alias(f"{side}_of"))
+    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_of", "a").alias("a"), F.coalesce("b_of", "b").alias("b"))
+    moved = components(between, scratch).select(F.col("id").alias("component"), F.col("component").alias("lower"))
+    old = labels.join(moved, "component", "left").select("id", F.coalesce("lower", "component").alias("component"))
+    new = moved.join(labels.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), F.col("lower").alias("component"))
+    return old.union(new)
+
+
+def stars(members: DataFrame) -> DataFrame:
+    """Pairs a < b of each bucket's leader with its other members. The leader is the member that shares most buckets with most others, as
+    the text that others are edits of does; buckets with the same members so have the same leader."""
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     shares = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("shares"))
-    m = members.join(labels, "id", "left").join(shares, "id").select("key", "id", F.coalesce("component", "id").alias("component"), "shares")
-    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct((-F.col("shares")).alias("order"), "id")).alias("first"))
-    largest = F.max(F.struct("n", (-F.col("component")).alias("lowest"), F.col("first.id").alias("leader")))
-    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), largest.alias("l"))
-    buckets = whole.withColumn("cross", (F.col("n") * F.col("n") - F.col("same")) / 2).where("cross > 0")
-    return m, scratch.keep(buckets.select("key", (-F.col("l.lowest")).alias("main"), "l.leader", "cross", "n"))
+    leaders = members.join(shares, "id").groupBy("key").agg(F.min(F.struct((-F.col("shares")).alias("order"), "id")).alias("first"))
+    met = members.join(leaders.select("key", F.col("first.id").alias("leader")), "key").where("leader <> id")
+    return met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
 
 
-def star(m: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Pairs a < b of each open bucket's leader with the members that are not in its component yet."""
-    met = m.join(buckets.select("key", "leader", "main"), "key").where("main <> component")
-    return met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Columns id, component, minor of the members of buckets with several components; minor: outside the largest in one of them, as one
+    of any two members in different components is."""
+    m = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("l"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("l.component").alias("main"))
+    return m.join(largest, "key").groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("minor"))
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many of all shingles fall in each of CELLS cells; at most CELLS rows reach the driver, whatever the corpus."""
+    cells = sets.select(F.explode("shingles").alias("s")).select((F.shiftright("s", 20).bitwiseAND(F.lit(CELLS - 1))).cast("int").alias("cell"))
+    counted = cells.groupBy("cell").agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+    out = np.zeros(CELLS, dtype=np.int32)
+    out[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    return out
 
 
-def cross_pairs(m: DataFrame, buckets: DataFrame) -> DataFrame:
-    """All pairs a < b across components of these buckets: members outside the main component meet the others."""
-    all_of = m.join(buckets.select("key", "main"), "key")
-    minor = all_of.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("of_x"))
-    met = minor.join(all_of.select("key", "id", "component", "main"), "key").where("of_x <> component and (component = main or x < id)")
-    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+def size_classes(largest: int) -> np.ndarray:
+    """The least size of each class."""
+    bounds = [1]
+    while bounds[-1] <= largest:
+        bounds.append(max(bounds[-1] + 1, math.ceil(bounds[-1] * RATIO)))
+    return np.array(bounds, dtype=np.int64)
 
 
-class Links:
-    """Pairs that were tested, the links found, and the components they make."""
+def prefix_keys(sets: DataFrame, counts: np.ndarray, least: int) -> DataFrame:
+    """Columns key, id, component, minor, n, place, side: for each class of sizes that a partner may have, the rarest shingles of the set
+    of which two similar sets must share one.
 
-    def __init__(self, sketches: DataFrame, sets: DataFrame, given: DataFrame, least: int, scratch: Scratch):
-        self.sketches, self.sets, self.edges, self.least, self.scratch = sketches, sets, given, least, scratch
-        self.tested: DataFrame | None = None
-        self.labels = components(given, scratch)
+    Two sets of n and m shingles with a similarity of least / 100 share least * (n + m) / (100 + least) at least; of these the rarest
+    is among the first n + 1 less that of either, in any order that is the same for all. ``place`` counts from 0 in that order. The key holds
+    both classes; side is -1, 0 or 1 where the own class is the lower, the same, or the higher one.
+    """
+    counted = sets.sparkSession.sparkContext.broadcast(counts)
 
-    def test(self, pairs: DataFrame) -> None:
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = self.scratch.keep(pairs)
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        found = linked(pairs, self.sketches, self.sets, self.least, self.scratch)
-        if not found.isEmpty():
-            self.edges = self.edges.union(found)
-            self.labels = components(self.edges, self.scratch)
+    def start():
+        table, bounds = counted.value, size_classes(1 << 40)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            lists, at = batch.column(3), 0
+            flat, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(lists.value_lengths().to_numpy())
+            keys, sizes, places, sides, rows = [], [], [], [], []
+            for row, end in enumerate(ends.tolist()):
+                s, n, at = flat[at:end], end - at, end
+                s = s[np.lexsort((s, table[(s >> np.uint64(20)).astype(np.int64) & (CELLS - 1)]))]
+                low, high = -(-least * n // 100), 100 * n // least
+                own, first, last = np.searchsorted(bounds, [n, low, high], side="right").tolist()
+                for c in range(first, last + 1):
+                    length = n + 1 + (-least * (n + max(low, int(bounds[c - 1])))) // (100 + least)
+                    if length > 0:
+                        keys.append((s[:length] ^ np.uint64((min(c, own) << 12 | max(c, own)) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93))
+                        sizes.append(np.full(length, n))
+                        places.append(np.arange(length))
+                        sides.append(np.full(length, (own > c) - (own < c)))
+                        rows.append(np.full(length, row))
+            merge = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+            index = pa.array(merge(rows, np.int64))
+            taken = [batch.column(i).take(index) for i in range(3)]
+            numbers = [pa.array(merge(keys, np.uint64).view(np.int64)), *taken, pa.array(merge(sizes, np.int32)), pa.array(merge(places, np.int32)), pa.array(merge(sides, np.int8))]
+            return pa.RecordBatch.from_arrays(numbers, names=["key", "id", "component", "minor", "n", "place", "side"])
+
+        return step
+
+    return map_batches(sets.select("id", "component", "minor", "shingles"), "key long, id long, component long, minor boolean, n int, place int, side byte", start)
+
+
+def prefix_pairs(sets: DataFrame, least: int, scratch: Scratch) -> DataFrame:
+    """Pairs a < b of different components, one of them minor, that can reach the similarity by a shared rare shingle: as it may be the
+    rarest that they share, both must have enough shingles from its place on. ``sets``: id, component, minor, shingles."""
+    keys = scratch.keep(prefix_keys(sets, shingle_counts(sets), least))
+    x, y = keys.where("minor").alias("x"), keys.alias("y")
+    room = F.lit(100 + least) * F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) >= F.lit(least) * (F.col("x.n") + F.col("y.n"))
+    met = x.join(y, F.expr("x.key = y.key and x.component <> y.component and x.side = -y.side and (not y.minor or x.id < y.id)") & room)
+    found = scratch.keep(met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+    scratch.drop(keys)
+    return found
 
 
 def shared_keys(banded: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns key, id of the buckets with several members."""
     shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    members = scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
-    scratch.drop(banded)
-    return members
+    return scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
 
 
 def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int, given: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component of the representatives (rows of ``signed``: id, signature) that are linked with others, also by the
     links ``given`` (a, b)."""
-    members = shared_keys(scratch.keep(signed.select("id", F.explode(band_keys(0)).alias("key"))), scratch)
-    needed = scratch.keep(members.select("id").distinct())
+    banded = scratch.keep(signed.select("id", F.explode(band_keys()).alias("key")))
+    members = shared_keys(banded, scratch)
+    scratch.drop(banded)
+    needed = members.select("id").distinct()
     sets = scratch.keep(shingle_sets(docs.join(needed, "id", "left_semi"), words))
     sketches = scratch.keep(signed.join(needed, "id", "left_semi").select("id", sketch().alias("sketch")))
-    links = Links(sketches, sets, given, least, scratch)
-    for level in range(DEALS + 1):
-        m, buckets = open_buckets(members, links.labels, scratch)
-        links.test(star(m, buckets))
-        m, buckets = open_buckets(members, links.labels, scratch)
-        links.test(cross_pairs(m, buckets.where(F.col("cross") <= PAIRS_EACH * F.col("n"))))
-        wide = buckets.where(F.col("cross") > PAIRS_EACH * F.col("n"))
-        if wide.isEmpty():
-            return links.labels
-        members = scratch.keep(members.join(wide.select("key"), "key", "left_semi"))
-        if level < DEALS:
-            anew = members.join(signed, "id").select(F.col("key").alias("within"), "id", F.explode(band_keys(level + 1)).alias("band"))
-            members = shared_keys(scratch.keep(anew.select(F.xxhash64("within", "band").alias("key"), "id").distinct()), scratch)
-    led = None  # the exact rest: each member of a bucket that is still open and outside the largest component leads once
-    while True:
-        m, buckets = open_buckets(members, links.labels, scratch)
-        ahead = m.join(buckets.select("key", "main"), "key").where("component <> main")
-        if led is not None:
-            ahead = ahead.join(led, ["key", "id"], "left_anti")
-        lead = scratch.keep(ahead.groupBy("key").agg(F.min(F.struct("id", "component")).alias("l")).select("key", F.col("l.id").alias("leader"), F.col("l.component").alias("main")))
-        if lead.isEmpty():
-            return links.labels
-        links.test(star(m, lead))
-        now = lead.select("key", F.col("leader").alias("id"))
-        led = now if led is None else scratch.keep(led.union(now))
+    pairs = scratch.keep(stars(members))
+    edges = linked(pairs, sketches, sets, least, scratch)
+    labels = scratch.keep(components(given.union(edges), scratch))
+    scratch.drop(pairs, edges)
+    opened = scratch.keep(open_members(members, labels).join(sets, "id"))
+    pairs = prefix_pairs(opened, least, scratch)
+    edges = linked(pairs, sketches, sets, least, scratch)
+    out = scratch.keep(joined_labels(labels, edges, scratch))
+    scratch.drop(members, sets, sketches, pairs, edges, labels, opened)
+    return out
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST) -> DataFrame:

@@ -191,7 +191,7 @@ def brute_components(rows, words=5, least=75):
     return sets, component
 
 
-def test_near_dedup(spark, monkeypatch):
+def test_near_dedup(spark):
     rng = random.Random(2)
     rows = []
     for _ in range(6):  # chains of edits, so that groups are linked through their middle only
@@ -204,10 +204,8 @@ def test_near_dedup(spark, monkeypatch):
     rows += [(100, None), (101, ""), (102, "two words"), (103, "Two  WORDS"), (104, LONG), (105, LONG), (106, rows[0][1])]
     rng.shuffle(rows)
     sets, component = brute_components(rows)
-    for each in (near_dedup.PAIRS_EACH, 0):  # with 0, no open bucket is tested in full
-        monkeypatch.setattr(near_dedup, "PAIRS_EACH", each)
-        got = near(frame(spark, rows)).collect()
-        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), component[i], component[i] == i) for i in sets}
+    got = near(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), component[i], component[i] == i) for i in sets}
 
 
 def test_near_dedup_awkward(spark):
