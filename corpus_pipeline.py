@@ -7,16 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm.byte_bpe import bpe_decode, bpe_encode
-from quarrymill.llm.common import cut, table
+from quarrymill.llm.common import table
 from quarrymill.llm.decontaminate import decontaminate
 from quarrymill.llm.line_dedup import line_dedup
 from quarrymill.llm.near_dedup import near_dedup
 from quarrymill.llm.quality_rules import quality_rules
+from quarrymill.operators.lineage import Scratch
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return cut(quality_rules(docs)).where("kept").select(docs.columns)
+    return quality_rules(docs).where("kept").select(docs.columns)
 
 
 def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Each stage's rows are written as Parquet in the shared folder and read again by the next."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        docs = scratch.keep(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
