@@ -39,7 +39,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules(documents(spark, sf_dir), with_text=False).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

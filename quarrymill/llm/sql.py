@@ -6,7 +6,7 @@ import re
 
 from quarrymill.llm.chat_format import BETWEEN, CLOSE, OPEN
 from quarrymill.llm.license_scan import LEAST, TEMPLATES, size_bounds, template_bigrams
-from quarrymill.llm.quality_rules import LEAST_ACCURACY, MOST_ACCURACY, OF, RIGHT, RULES
+from quarrymill.llm.quality_rules import BELIEVED, LEAST_PRIOR, MOST_PRIOR, PRIOR, ROUNDS, RULES
 
 WS = "(chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13))"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -28,13 +28,15 @@ FROM marked GROUP BY doc_id
 """
 
 
-def quality_rules_sql(rounds: int = 40) -> str:
+def quality_rules_sql(rounds: int = ROUNDS) -> str:
     n = range(len(RULES))
-    vote = lambda r: f"CASE WHEN {r.when} THEN {r.vote} ELSE 0 END"
-    rate = lambda j: f"least({MOST_ACCURACY}::DOUBLE, greatest({LEAST_ACCURACY}::DOUBLE, ({RIGHT} + sum(n * CASE v{j} WHEN 1 THEN p WHEN -1 THEN 1 - p ELSE 0 END) OVER ()) / ({OF} + sum(n * abs(v{j})) OVER ())))"
-    ahead = ", ".join(f"{rate(j)} AS a{j}" for j in n)
-    odds = " + ".join(f"v{j} * ln(a{j} / (1 - a{j}))" for j in n)
-    first = " + ".join(f"v{j} * ln({RIGHT / OF} / (1 - {RIGHT / OF}))" for j in n)
+    vote = lambda r: " ".join(["CASE", *([f"WHEN {r.good} THEN 1"] if r.good else []), *([f"WHEN {r.bad} THEN -1"] if r.bad else []), "ELSE 0 END"])
+    share = lambda j, vote, start, p: f"({BELIEVED * start}::DOUBLE + sum(CASE v{j} WHEN {vote} THEN n * {p} ELSE 0 END) OVER ()) / ({BELIEVED}::DOUBLE + sum(n * {p}) OVER ())"
+    shares = [(f"{side}{j}_{kind}", share(j, vote, start[k], p)) for j, r in enumerate(RULES) for side, vote, start in (("g", 1, r.good_votes), ("b", -1, r.bad_votes)) for k, (kind, p) in enumerate((("good", "p"), ("bad", "(1 - p)")))]
+    prior = f"least({MOST_PRIOR}::DOUBLE, greatest({LEAST_PRIOR}::DOUBLE, ({BELIEVED * PRIOR}::DOUBLE + sum(n * p) OVER ()) / ({BELIEVED}::DOUBLE + sum(n) OVER ()))) AS prior"
+    ahead = ", ".join([prior, *[f"{sql} AS {name}" for name, sql in shares]])
+    odds = "ln(prior / (1 - prior)) + " + " + ".join(f"CASE v{j} WHEN 1 THEN ln(g{j}_good / g{j}_bad) WHEN -1 THEN ln(b{j}_good / b{j}_bad) ELSE 0 END" for j in n)
+    first = f"ln({PRIOR / (1 - PRIOR)}::DOUBLE) + " + " + ".join(f"CASE v{j} WHEN 1 THEN ln({r.good_votes[0] / r.good_votes[1]}::DOUBLE) WHEN -1 THEN ln({r.bad_votes[0] / r.bad_votes[1]}::DOUBLE) ELSE 0 END" for j, r in enumerate(RULES))
     vs = ", ".join(f"v{j}" for j in n)
     return rf"""
 WITH RECURSIVE base AS (
@@ -49,7 +51,7 @@ WITH RECURSIVE base AS (
 ), signals AS (
   SELECT b.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines,
-    len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '!')) AS n_bangs, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i-1])) AS n_adjacent
+    len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '!')) AS n_bangs, len(regexp_extract_all(text, '[.?!]')) AS n_stops, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i-1])) AS n_adjacent
   FROM base b LEFT JOIN repeated r USING (doc_id)
 ), voted AS (SELECT *, {", ".join(f"{vote(r)} AS v{j}" for j, r in enumerate(RULES))} FROM signals
 ), em AS (

@@ -124,6 +124,42 @@ def test_quality_signals(spark):
     assert quality_rules.quality_rules(frame(spark, [])).count() == 0
 
 
+def pattern(**votes):
+    """A vote pattern of RULES; rules that aren't named abstain."""
+    names = [r.name for r in quality_rules.RULES]
+    assert set(votes) <= set(names)
+    return tuple(votes.get(n, 0) for n in names)
+
+
+FINE = {"varied": 1, "sentences": 1, "length": 1}
+
+
+def test_estimates_decide_conflicts():
+    """The same conflicting votes are followed or outweighed, as the rule agrees with others elsewhere or not; all-must-pass rejects both."""
+    disputed = pattern(**FINE, line_copies=-1)
+    faulty = [(pattern(**FINE, symbols=-1, symbol_share=-1, line_copies=-1), 100), (pattern(**FINE, plain=1), 1000)]
+    careless = [(pattern(**FINE, symbols=-1, symbol_share=-1), 100), (pattern(**FINE, plain=1), 900), (disputed, 100)]
+    trusted, doubted = quality_rules.estimated([*faulty, (disputed, 1)]), quality_rules.estimated(careless)
+    assert trusted.odds(disputed) < 0 < doubted.odds(disputed)
+    at = [r.name for r in quality_rules.RULES].index("line_copies")
+    assert trusted.accuracy()[at][1] > 0.95 > doubted.accuracy()[at][1]
+
+
+def test_verdicts(spark):
+    """Verdicts against all-must-pass: faulty texts go, texts with a doubtful vote only stay, short ones fail the base."""
+    rng = random.Random(5)
+    prose = lambda n: ". ".join(" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(8)).capitalize() for _ in range(n // 8)) + "."
+    copied = [p + ("\n" + p.split(". ")[0]) for p in (prose(160).replace(". ", ".\n", 1) for _ in range(4))]
+    texts = {"fine": [prose(200) for _ in range(60)], "short": [prose(40) for _ in range(20)], "symbols": [prose(100).replace(" ", "## ") for _ in range(8)], "shouts": [prose(100).upper().replace(" ", "!! ") for _ in range(8)], "base": ["few words only."], "copied": copied}
+    kinds = [k for k, v in texts.items() for _ in v]
+    rows = quality_rules.quality_rules(frame(spark, list(enumerate(t for v in texts.values() for t in v)))).collect()
+    kept = {k: {r.kept for r in rows if kinds[r.doc_id] == k} for k in texts}
+    assert kept == {"fine": {True}, "short": {True}, "symbols": {False}, "shouts": {False}, "base": {False}, "copied": {True}}
+    votes = spark.createDataFrame([(r.doc_id, *[r[c] for c in quality_rules.SIGNALS]) for r in rows], ["doc_id", *quality_rules.SIGNALS]).select("doc_id", *quality_rules.votes()).collect()
+    assert {kinds[v[0]] for v in votes if -1 in v[1:]} == {"short", "symbols", "shouts", "base"}  # all-must-pass rejects the short ones, too
+    assert "text" not in quality_rules.quality_rules(frame(spark, [(1, "x")]), with_text=False).columns
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var x="</p>";</script></head><body><nav><ul><li><a href=x>Menu</a></li></ul></nav><!-- <p>no</p> -->
 <div class="ad">Buy</div><article><h1>Head &amp; <i>sh</i>oulders</h1><p><b>One
  two<br>three<p>Is.</p><div class="comments"><p>I disagree</p></div><aside>side</aside></article><footer>&copy; f</footer></body></html>"""
