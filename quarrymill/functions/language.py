@@ -25,6 +25,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}{2,})"), 1)
 
 
+def marker_words(words: Column) -> Column:
+    """The few words that any language counts, so that each language doesn't look at all words again."""
+    return F.filter(words, lambda w: w.isin(sorted({m for markers in MARKERS.values() for m in markers.split()})))
+
+
 def marker_hits(words: Column) -> dict[str, Column]:
     def among(markers: str) -> Column:
         return F.size(F.filter(words, lambda w: w.isin(sorted(set(markers.split())))))
@@ -32,13 +37,14 @@ def marker_hits(words: Column) -> dict[str, Column]:
     return {lang: among(m) for lang, m in MARKERS.items()}
 
 
-def best_marker_language(hits: dict[str, Column], words: Column) -> Column:
-    """Struct language, confidence, mixed: most hits win, two at least, and none wins a tie at the top."""
+def best_marker_language(hits: dict[str, Column], n_words: Column) -> Column:
+    """Struct language, confidence, mixed: most hits win, two at least, and none wins a tie at the top. Hits should be columns, as an
+    expression would be computed anew for each use."""
     ordered = F.reverse(F.array_sort(F.array(*[F.struct(h.alias("n"), F.lit(-i).alias("at"), F.lit(lang).alias("lang")) for i, (lang, h) in enumerate(hits.items())])))
     best, second = ordered[0], ordered[1]["n"]
     total = sum(list(hits.values())[1:], list(hits.values())[0])
     mixed = (second > 0) & (second >= best["n"] * 0.65)
-    share = F.greatest(F.least(F.lit(0.99), F.greatest(F.lit(0.35), best["n"] / F.greatest(F.lit(1), total))), F.least(F.lit(0.95), best["n"] / F.greatest(F.lit(6), F.size(words))))
+    share = F.greatest(F.least(F.lit(0.99), F.greatest(F.lit(0.35), best["n"] / F.greatest(F.lit(1), total))), F.least(F.lit(0.95), best["n"] / F.greatest(F.lit(6), n_words)))
     sure = F.bround(F.when(mixed, F.least(share, F.lit(0.75))).otherwise(share), 4)
     language = F.when(best["n"] >= 2, F.when((second > 0) & (second == best["n"]), F.lit(None)).otherwise(best["lang"])).when(total <= 0, "und")
     confidence = F.when(best["n"] >= 2, F.when((second > 0) & (second == best["n"]), 0.0).otherwise(sure)).when(total <= 0, 0.2).otherwise(0.0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarrymill.functions import language, text
 from quarrymill.operators.chunks import chunk_documents
 from quarrymill.operators.dedup import best_per_key, top_per_key
+from quarrymill.operators.lineage import Scratch
 from quarrymill.operators.split import exact_split, hash_split
 from quarrymill.sources.tables import table
 
@@ -86,9 +87,13 @@ WITH {SIGNALS_SQL}, best AS (SELECT * FROM bucketed WHERE bucket <> 'reject' QUA
 SELECT lang, bucket, split, count(*)::BIGINT AS n_docs, round(avg(score), 4) AS mean_score FROM split GROUP BY ALL
 """)
 def curation_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normal text, signals, score and reject reason, best of each exact text, exact-count split, counts."""
-    good = scored(table(spark, sf_dir, "documents")).where("bucket <> 'reject'").select("doc_id", "lang", "bucket", "score", F.sha2("t", 256).alias("exact_key"))
-    best = best_per_key(good, [F.col("exact_key")], [F.desc("score"), F.col("doc_id")]).withColumn("key", F.col("doc_id").cast("string"))
+    """Normal text, signals, score and reject reason, best of each exact text, exact-count split, counts.
+
+    Verdicts and choices are written once without the texts: a filter on them would be computed through the signals, and the split
+    reads its keys twice."""
+    scratch = Scratch(spark)
+    good = scratch.keep(scored(table(spark, sf_dir, "documents")).select("doc_id", "lang", "bucket", "score", F.sha2("t", 256).alias("exact_key"))).where("bucket <> 'reject'")
+    best = scratch.keep(best_per_key(good, [F.col("exact_key")], [F.desc("score"), F.col("doc_id")]).withColumn("key", F.col("doc_id").cast("string")))
     split = best.join(exact_split(best, "key"), "key")
     return split.groupBy("lang", "bucket", "split").agg(F.count("*").alias("n_docs"), F.round(F.avg("score"), 4).alias("mean_score"))
 
@@ -139,7 +144,8 @@ HITS_SQL = ", ".join(f"len(list_filter(w, lambda x: x IN ({quoted(sorted(set(m.s
 @query(rf"SELECT doc_id, len(w)::BIGINT AS n_words, {HITS_SQL} FROM (SELECT doc_id, regexp_extract_all(lower({TEXT}), '\p{{L}}{{2,}}') AS w FROM documents)")
 def language_latin_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", language.words_of(F.coalesce("text", F.lit(""))).alias("w"))
-    return d.select("doc_id", F.size("w").cast("long").alias("n_words"), *[h.cast("long").alias(f"hits_{k}") for k, h in language.marker_hits(F.col("w")).items()])
+    d = d.select("doc_id", F.size("w").cast("long").alias("n_words"), language.marker_words(F.col("w")).alias("m"))
+    return d.select("doc_id", "n_words", *[h.cast("long").alias(f"hits_{k}") for k, h in language.marker_hits(F.col("m")).items()])
 
 
 BEST_SQL = rf"""
@@ -153,7 +159,9 @@ WITH hits AS (SELECT doc_id, lang, len(w) AS n_words, {HITS_SQL} FROM (SELECT do
 @query(BEST_SQL + "SELECT lang, coalesce(CASE WHEN n1 >= 2 THEN CASE WHEN n2 > 0 AND n2 = n1 THEN NULL ELSE l END WHEN total <= 0 THEN 'und' END, 'none') AS detected, count(*)::BIGINT AS n_docs FROM best GROUP BY ALL")
 def language_vs_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("lang", language.words_of(F.coalesce("text", F.lit(""))).alias("w"))
-    best = language.best_marker_language(language.marker_hits(F.col("w")), F.col("w"))
+    d = d.select("lang", F.size("w").alias("n"), language.marker_words(F.col("w")).alias("m"))
+    d = d.select("lang", "n", *[h.alias(k) for k, h in language.marker_hits(F.col("m")).items()])
+    best = language.best_marker_language({k: F.col(k) for k in language.MARKERS}, F.col("n"))
     return d.select("lang", F.coalesce(best["language"], F.lit("none")).alias("detected")).groupBy("lang", "detected").agg(F.count("*").alias("n_docs"))
 
 

@@ -7,8 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Tables whose rows take long to work on, and up to what size they are dealt to all cores.
+TEXTS, DEALT_BYTES = ("documents", "pages"), 64 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A small table of texts is dealt row by row to all cores, as a file of one row group is read by one task alone. Filters and the
+    choice of columns still reach the scan. Larger tables stay as they are read."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return df.repartition(spark.sparkContext.defaultParallelism) if name in TEXTS and stored_bytes(spark, path) <= DEALT_BYTES else df
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, most_bytes: int = 1 << 20) -> tuple[DataFrame, DataFrame]:

@@ -39,7 +39,7 @@ def test_url_cases(spark):
 def test_language_cases(spark):
     assert one(spark, language.normalized_code(F.col("x")), " NL ") == "nl"
     words = language.words_of(F.col("x"))
-    best = language.best_marker_language(language.marker_hits(words), words)
+    best = language.best_marker_language(language.marker_hits(words), F.size(words))
     assert one(spark, best["language"], "Dit is de tekst van een pagina die niet voor het project is") == "nl"
     assert one(spark, best["language"], "zzz qqq") == "und"
     r = spark.createDataFrame([("en", 0.99, "nl", 0.8)], "a string, b double, c string, d double").select(language.reconciled(*map(F.col, "abcd")).alias("r")).first()["r"]
