@@ -7,10 +7,11 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.sources.ship import ship
+from quarrymill.sources.tables import table  # noqa: F401
 
 #: White space of the contracts: space and the control characters 0x09 to 0x0D.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -20,10 +21,6 @@ LAST_ID = 2**63 - 1
 SLICE = 512
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def cut(df: DataFrame) -> DataFrame:
     """A checkpoint in the shared folder that the session names; only where none is named, a local one is set."""
     spark = df.sparkSession
