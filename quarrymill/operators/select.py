@@ -31,11 +31,53 @@ def select_first(samples: DataFrame, ident: str, order: str, keys: str) -> DataF
     return done
 
 
-def within_quota(samples: DataFrame, key: str, order: str, most: int) -> DataFrame:
-    """The first ``most`` accepted samples of each key; only accepted ones are asked in, so only they count."""
-    if not most:
-        return samples
-    return samples.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("_rn") <= most).drop("_rn")
+def select_within_quotas(samples: DataFrame, ident: str, order: str, keys: str, quotas: dict[str, int]) -> DataFrame:
+    """Columns ident, verdict: 'accepted', 'duplicate' or 'quota_exceeded'.
+
+    Taken in ``order`` (distinct), a sample is a duplicate if an accepted one before it has one of its ``keys`` (array), and exceeds a
+    quota if as many accepted ones before it as that allows have its value in the quota's column (null is a value; 0 is no quota). Only
+    accepted samples count, so that neither can be decided without the other.
+
+    Each round accepts what has no undecided sample before it at any of its keys and would fit its quotas even if all undecided ones
+    before it did; and it rejects what clashes with accepted ones or comes after a full quota. Of a quota's value only the first
+    undecided samples are ranked, as many as it allows, which Spark keeps to that number in every task; so a hot value or key costs
+    no more than others. The rounds end, as the first undecided sample is always decided.
+    """
+    scratch = Scratch(samples.sparkSession)
+    quotas = {c: n for c, n in quotas.items() if n}
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_q{i}") for i, c in enumerate(quotas)]
+    undecided = scratch.keep(samples.select(F.col(ident).alias("_id"), F.col(order).alias("_at"), F.array_distinct(keys).alias("_keys"), *columns))
+    done = scratch.keep(undecided.select("_id", "_at", *[f"_q{i}" for i in range(len(quotas))]).limit(0).withColumn("verdict", F.lit("")))
+    while not undecided.isEmpty():
+        spread = undecided.select("_id", "_at", F.explode("_keys").alias("_key"))
+        later = scratch.keep(spread.join(spread.groupBy("_key").agg(F.min("_at").alias("_first")), "_key").where("_at > _first").select("_id").distinct())
+        fits = undecided.join(later, "_id", "left_anti")
+        accepted = done.where("verdict = 'accepted'")
+        for i, most in enumerate(quotas.values()):
+            q = f"_q{i}"
+            ranked = undecided.select("_id", "_at", q, F.row_number().over(Window.partitionBy(q).orderBy("_at")).alias("_rn")).where(F.col("_rn") <= most)
+            before = ranked.join(accepted.select(q, F.col("_at").alias("_then")), q).where("_then < _at").groupBy("_id").agg(F.count("*").alias("_before"))
+            room = ranked.join(before, "_id", "left").where(F.coalesce("_before", F.lit(0)) + F.col("_rn") <= most)
+            fits = fits.join(room.select("_id"), "_id", "left_semi")
+        new = scratch.keep(fits)
+        mark = lambda df, verdict: df.select(*[c for c in done.columns if c != "verdict"], F.lit(verdict).alias("verdict"))
+        all_accepted = scratch.keep(accepted.union(mark(new, "accepted")))
+        rest = undecided.join(new.select("_id"), "_id", "left_anti")
+        taken = new.select(F.explode("_keys").alias("_key")).distinct()
+        copies = scratch.keep(rest.join(rest.select("_id", F.explode("_keys").alias("_key")).join(taken, "_key", "left_semi").select("_id").distinct(), "_id", "left_semi"))
+        rest, over = rest.join(copies.select("_id"), "_id", "left_anti"), None
+        clear = rest.join(later, "_id", "left_anti")  # what may yet be a duplicate waits
+        for i, most in enumerate(quotas.values()):
+            q = f"_q{i}"
+            full = all_accepted.groupBy(q).agg(F.count("*").alias("_n"), F.max("_at").alias("_last")).where(F.col("_n") >= most)
+            ended = clear.join(full.select(q, "_last"), q).where("_at > _last").select("_id")
+            over = ended if over is None else over.union(ended)
+        exceeded = scratch.keep(rest.join(over.distinct(), "_id", "left_semi") if over is not None else rest.limit(0))
+        left = scratch.keep(rest.join(exceeded.select("_id"), "_id", "left_anti"))
+        decided = scratch.keep(done.union(mark(new, "accepted")).union(mark(copies, "duplicate")).union(mark(exceeded, "quota_exceeded")))
+        scratch.drop(undecided, done, new, all_accepted, copies, exceeded, later)
+        undecided, done = left, decided
+    return done.select(F.col("_id").alias(ident), "verdict")
 
 
 def similar_pairs(sets: DataFrame, ident: str, shingle_set: str, least: float) -> DataFrame:
