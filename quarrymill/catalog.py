@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quarrymill.plans import curation, hosts, privacy, records, relations, selection, texts, web
+from quarrymill.plans import curation, hosts, privacy, records, relations, selection, texts, web, wording
 
-PLANS = (texts, privacy, web, relations, hosts, curation, selection, records)
+PLANS = (texts, privacy, web, relations, hosts, curation, selection, records, wording)
 QUERIES = {name: f for plan in PLANS for name, f in plan.QUERIES.items()}
 ORACLE_SQL = {name: sql for plan in PLANS for name, sql in plan.ORACLE_SQL.items()}

@@ -87,3 +87,33 @@ def admission(url: Column, most_pages: int = 50) -> Column:
         .when(part(url, 3).rlike(r"(?i)\.(?:css|js|ico|woff2?|ttf|map)$"), "embedded_asset")
         .otherwise("accept")
     )
+
+
+def without_dots(path: Column) -> Column:
+    """A path from the root without . and .. segments."""
+    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
+    step = lambda out, p: F.when(p == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(p == ".", out).otherwise(F.concat(out, F.array(p)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends = F.element_at(parts, -1).isin(".", "..")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends & (F.size(kept) > 0), "/").otherwise(""))
+
+
+def resolved(base: Column, reference: Column, most: int = 8192) -> Column:
+    """A reference on a page as a whole URL. Null for a fragment alone, other schemes than http(s), more than ``most`` characters,
+    backslashes, control characters, and a user in the authority."""
+    ref = F.trim(reference)
+    root = F.concat(F.lower(part(base, 1)), F.lit("://"), F.lower(part(base, 2)))
+    folder = F.regexp_extract(part(base, 3), r"^(.*/)[^/]*$", 1)
+    folder = F.when(folder == "", "/").otherwise(folder)
+    path, rest = F.regexp_extract(ref, r"^([^?#]*)", 1), F.regexp_extract(ref, r"^[^?#]*(\?[^#]*)?", 1)
+    rest = F.coalesce(rest, F.lit(""))
+    whole = F.when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.regexp_extract(ref, r"^([^#]*)", 1)).when(ref.startswith("//"), F.concat(F.lower(part(base, 1)), F.lit(":"), F.regexp_extract(ref, r"^([^#]*)", 1)))
+    whole = whole.when(path == "", F.concat(root, part(base, 3), rest)).when(path.startswith("/"), F.concat(root, without_dots(path), rest)).otherwise(F.concat(root, without_dots(F.concat(folder, path)), rest))
+    bad = ref.isNull() | (ref == "") | ref.startswith("#") | (F.length(ref) > most) | ref.rlike(r"[\x00-\x1f\x7f\\]")
+    return F.when(~bad & whole.rlike("(?i)^https?://[^/?#@]+(?:[/?#]|$)"), whole)
+
+
+def asset_identity(url: Column) -> Column:
+    """Without fragment and tracking parameters, the others in order, so that one asset has one."""
+    kept = F.array_sort(F.filter(parameters(url), lambda p: ~F.lower(p).startswith("utm_") & ~F.lower(F.substring_index(p, "=", 1)).isin("fbclid", "gclid", "msclkid")))
+    return F.concat(F.lower(part(url, 1)), F.lit("://"), host(url), port(url), part(url, 3), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
