@@ -30,7 +30,7 @@ AGREE = 64
 #: what the driver and each task hold and costs no pair.
 CELLS = 1 << 20
 #: Sizes of sets are put in classes that grow by this ratio; a shingle is a candidate key for each class of sizes that the partner may have.
-RATIO = 1.2
+RATIO = 4 / 3
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 EMPTY = np.zeros(0, dtype=np.uint64)
 
@@ -232,12 +232,12 @@ def size_classes(largest: int) -> np.ndarray:
 
 
 def prefix_keys(sets: DataFrame, counts: np.ndarray, least: int) -> DataFrame:
-    """Columns key, id, component, minor, n, place, side: for each class of sizes that a partner may have, the rarest shingles of the set
-    of which two similar sets must share one.
+    """Columns key, id, component, packed: for each class of sizes that a partner may have, the rarest shingles of the set of which two
+    similar sets must share one. ``packed`` holds the size n, the room (shingles from this one on), the side and whether it is minor.
 
     Two sets of n and m shingles with a similarity of least / 100 share least * (n + m) / (100 + least) at least; of these the rarest
-    is among the first n + 1 less that of either, in any order that is the same for all. ``place`` counts from 0 in that order. The key holds
-    both classes; side is -1, 0 or 1 where the own class is the lower, the same, or the higher one.
+    is among the first n + 1 less that of either, in any order that is the same for all. The key holds both classes; side is 0, 1 or 2
+    where the own class is the lower, the same, or the higher one.
     """
     counted = sets.sparkSession.sparkContext.broadcast(counts)
 
@@ -247,7 +247,7 @@ def prefix_keys(sets: DataFrame, counts: np.ndarray, least: int) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             lists, at = batch.column(3), 0
             flat, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(lists.value_lengths().to_numpy())
-            keys, sizes, places, sides, rows = [], [], [], [], []
+            minor, keys, packs, rows = batch.column(2).to_pylist(), [], [], []
             for row, end in enumerate(ends.tolist()):
                 s, n, at = flat[at:end], end - at, end
                 s = s[np.lexsort((s, table[(s >> np.uint64(20)).astype(np.int64) & (CELLS - 1)]))]
@@ -257,28 +257,27 @@ def prefix_keys(sets: DataFrame, counts: np.ndarray, least: int) -> DataFrame:
                     length = n + 1 + (-least * (n + max(low, int(bounds[c - 1])))) // (100 + least)
                     if length > 0:
                         keys.append((s[:length] ^ np.uint64((min(c, own) << 12 | max(c, own)) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93))
-                        sizes.append(np.full(length, n))
-                        places.append(np.arange(length))
-                        sides.append(np.full(length, (own > c) - (own < c)))
+                        side = 1 + (own > c) - (own < c)
+                        packs.append((np.int64(n) << 33) | ((n - np.arange(length, dtype=np.int64)) << 3) | (side << 1) | minor[row])
                         rows.append(np.full(length, row))
             merge = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
             index = pa.array(merge(rows, np.int64))
-            taken = [batch.column(i).take(index) for i in range(3)]
-            numbers = [pa.array(merge(keys, np.uint64).view(np.int64)), *taken, pa.array(merge(sizes, np.int32)), pa.array(merge(places, np.int32)), pa.array(merge(sides, np.int8))]
-            return pa.RecordBatch.from_arrays(numbers, names=["key", "id", "component", "minor", "n", "place", "side"])
+            taken = [batch.column(i).take(index) for i in range(2)]
+            return pa.RecordBatch.from_arrays([pa.array(merge(keys, np.uint64).view(np.int64)), *taken, pa.array(merge(packs, np.int64))], names=["key", "id", "component", "packed"])
 
         return step
 
-    return map_batches(sets.select("id", "component", "minor", "shingles"), "key long, id long, component long, minor boolean, n int, place int, side byte", start)
+    return map_batches(sets.select("id", "component", "minor", "shingles"), "key long, id long, component long, packed long", start)
 
 
 def prefix_pairs(sets: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     """Pairs a < b of different components, one of them minor, that can reach the similarity by a shared rare shingle: as it may be the
     rarest that they share, both must have enough shingles from its place on. ``sets``: id, component, minor, shingles."""
     keys = scratch.keep(prefix_keys(sets, shingle_counts(sets), least))
-    x, y = keys.where("minor").alias("x"), keys.alias("y")
-    room = F.lit(100 + least) * F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) >= F.lit(least) * (F.col("x.n") + F.col("y.n"))
-    met = x.join(y, F.expr("x.key = y.key and x.component <> y.component and x.side = -y.side and (not y.minor or x.id < y.id)") & room)
+    x, y = keys.where("packed & 1 = 1").alias("x"), keys.alias("y")
+    room = F.expr(f"{100 + least} * least(shiftright(x.packed, 3) & 1073741823, shiftright(y.packed, 3) & 1073741823) >= {least} * (shiftright(x.packed, 33) + shiftright(y.packed, 33))")
+    sides = F.expr("(shiftright(x.packed, 1) & 3) + (shiftright(y.packed, 1) & 3) = 2")
+    met = x.join(y, F.expr("x.key = y.key and x.component <> y.component and (y.packed & 1 = 0 or x.id < y.id)") & sides & room)
     found = scratch.keep(met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     scratch.drop(keys)
     return found
@@ -286,28 +285,33 @@ def prefix_pairs(sets: DataFrame, least: int, scratch: Scratch) -> DataFrame:
 
 def shared_keys(banded: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns key, id of the buckets with several members."""
-    shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    return scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
+    shared = scratch.keep(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key"))
+    members = scratch.keep(banded.join(shared, "key", "left_semi").select("key", "id"))
+    scratch.drop(shared)
+    return members
 
 
 def near_components(signed: DataFrame, docs: DataFrame, words: int, least: int, given: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns id, component of the representatives (rows of ``signed``: id, signature) that are linked with others, also by the
-    links ``given`` (a, b)."""
+    links ``given`` (a, b). Ids that choose rows of texts, signatures or sets are written first: the planner then knows their size
+    and, where they are few, doesn't shuffle the rows."""
     banded = scratch.keep(signed.select("id", F.explode(band_keys()).alias("key")))
     members = shared_keys(banded, scratch)
     scratch.drop(banded)
-    needed = members.select("id").distinct()
+    needed = scratch.keep(members.select("id").distinct())
     sets = scratch.keep(shingle_sets(docs.join(needed, "id", "left_semi"), words))
     sketches = scratch.keep(signed.join(needed, "id", "left_semi").select("id", sketch().alias("sketch")))
     pairs = scratch.keep(stars(members))
     edges = linked(pairs, sketches, sets, least, scratch)
     labels = scratch.keep(components(given.union(edges), scratch))
     scratch.drop(pairs, edges)
-    opened = scratch.keep(open_members(members, labels).join(sets, "id"))
+    open_ids = scratch.keep(open_members(members, labels))
+    opened = scratch.keep(sets.join(open_ids, "id"))
     pairs = prefix_pairs(opened, least, scratch)
+    scratch.drop(opened)
     edges = linked(pairs, sketches, sets, least, scratch)
     out = scratch.keep(joined_labels(labels, edges, scratch))
-    scratch.drop(members, sets, sketches, pairs, edges, labels, opened)
+    scratch.drop(members, needed, sets, sketches, pairs, edges, labels, open_ids)
     return out
 
 
@@ -337,7 +341,9 @@ def document_components(texts: DataFrame, words: int = WORDS, least: int = LEAST
     signed = scratch.keep(signatures(texts, words))
     classes = signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
     member = scratch.keep(signed.select("id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2"], "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")))
-    reps = scratch.keep(signed.where("n_shingles > 0").join(member.where("id = rep and n_shingles > 0").select("id").distinct(), "id", "left_semi").select("id", "signature"))
+    leads = scratch.keep(member.where("id = rep and n_shingles > 0").select("id").distinct())
+    reps = scratch.keep(signed.where("n_shingles > 0").join(leads, "id", "left_semi").select("id", "signature"))
+    scratch.drop(signed, leads)
     first = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("id", "a")
     given = scratch.keep(member.join(first, "id").where("rep <> a").select("a", F.col("rep").alias("b")))  # rows of one id with different texts
     labels = near_components(reps, texts, words, least, given, scratch).withColumnRenamed("id", "rep")
