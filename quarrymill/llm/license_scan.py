@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ TEMPLATES = {
         "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
         'or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
         "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
+        'or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -38,6 +46,15 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code "
         "must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this "
         "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+        "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the "
+        "names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE "
+        'COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A '
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE.",
     ),
 }
 #: Least coefficient in hundredths.
@@ -58,7 +75,10 @@ def size_bounds(n: int, least: int) -> tuple[int, int]:
 
 
 def words_in(unit: Column) -> Column:
-    return F.filter(F.split(F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), MARK), lambda w: w != "")
+    """Runs of ASCII letters and digits, A-Z in lower case. The two other characters that have an ASCII letter in lower case divide words
+    as all others do."""
+    plain = F.replace(F.replace(unit, F.lit("\u0130"), F.lit(" ")), F.lit("\u212a"), F.lit(" "))
+    return F.filter(F.split(F.lower(plain), MARK), lambda w: w != "")
 
 
 def bigrams(words: Column) -> Column:
@@ -67,55 +87,85 @@ def bigrams(words: Column) -> Column:
     return F.when(F.size(words) >= 2, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
-def markers(grams: list[str], least: int) -> set[str]:
-    """Words of which a notice of the template has one at least: so many of its bigrams hold one of them that a unit without any of these
-    bigrams can't reach the coefficient. The longest words come first, as they are the rarest."""
-    may_lack = len(grams) - -(-least * (size_bounds(len(grams), least)[0] + len(grams)) // 200)
-    chosen: set[str] = set()
-    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
-        if sum(not chosen.isdisjoint(g.split()) for g in grams) > may_lack:
-            break
-        chosen.add(word)
-    return chosen
+def least_words(grams: list[str], least: int) -> tuple[list[str], int, list[str], int]:
+    """First words of a template's bigrams and how many different ones of them a notice must have at least, and the same of second words.
+
+    A notice shares so many bigrams with the template at least; fewer first words than returned can't begin that many.
+    """
+    needed = -(-least * (size_bounds(len(grams), least)[0] + len(grams)) // 200)
+    out = []
+    for side in (0, 1):
+        counts = Counter(g.split()[side] for g in grams)
+        total = k = 0
+        for n in sorted(counts.values(), reverse=True):
+            if total >= needed:
+                break
+            total, k = total + n, k + 1
+        out += [sorted(counts), k]
+    return tuple(out)
+
+
+def runs_between(low: int, high: int) -> Column:
+    """Of the columns ``sizes`` (words of each paragraph) and ``before`` (words before each, and of all), the first and last places of all
+    runs of two paragraphs or more with ``low`` to ``high`` bigrams by their number of words. Paragraphs without words are none, so
+    that a run has at most high + 1."""
+    n = F.size("sizes")
+    words = lambda i, j: F.get("before", j + 1) - F.get("before", i)
+    last = lambda i: F.sequence(i + 1, F.least(n - 1, i + high))
+    of = lambda i: F.transform(F.filter(last(i), lambda j: words(i, j).between(low + 1, high + 1)), lambda j: F.struct(i.alias("i"), j.alias("j")))
+    return F.when(n >= 2, F.flatten(F.transform(F.sequence(F.lit(0), n - 2), of))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
 
 
 def license_scan(docs: DataFrame, text_col: str = "text", templates: dict[str, tuple[str, ...]] = TEMPLATES, least: int = LEAST) -> DataFrame:
     """The rows of ``docs`` with ``licenses`` (sorted, distinct), ``license`` and ``license_score`` of the best match, ``n_notices``.
 
-    Compared are each line, each paragraph (between empty lines) and the whole text. A unit is a notice of a template if Dice's
-    coefficient of their sets of word bigrams is ``least`` hundredths or more; only templates whose size can reach that are compared.
-    Texts without any of the words that a notice must have are passed over (see markers). Everything happens inside the row, without a shuffle; the templates are literals of the plan, so their number must stay small.
+    Compared are each line, each paragraph (between empty lines), each run of paragraphs and the whole text. A unit is a notice of a
+    template if Dice's coefficient of their sets of word bigrams is ``least`` hundredths or more; only templates whose size can reach
+    that are compared, and runs whose number of words is a template's. Texts without as many words of a template as a notice must have
+    are passed over (see least_words). Everything happens inside the row, without a shuffle; the templates are literals of the plan,
+    so their number must stay small. n_notices counts lines, paragraphs and whole texts that match, and one more if only runs do.
 
     Null and empty texts have no notice, a null licence and a score of 0. Ties go to the first template by name. Repeated rows get equal
-    results; input columns of the same names are replaced.
+    results, and an empty table an empty one; input columns of the same names are replaced.
     """
     known = [(name, g) for name in sorted(templates) for t in templates[name] if (g := template_bigrams(t))]
     low = min((size_bounds(len(g), least)[0] for _, g in known), default=1)
     high = max((size_bounds(len(g), least)[1] for _, g in known), default=0)
-    heads = F.array(*[F.lit(x) for x in sorted({b for _, g in known for b in g})]) if known else F.array().cast("array<string>")
-    needed = sorted({w for _, g in known for w in markers(g, least)})
-    text = F.when(F.col("text").rlike("(?i)(?:" + "|".join(needed) + ")"), F.col("text")).otherwise(F.lit("")) if known else F.lit("")
-    rows = packed(docs, text=docs[f"`{text_col}`"]).select("row", F.coalesce(text, F.lit("")).alias("text"))
+    strings = lambda xs: F.array(*[F.lit(x) for x in xs]) if xs else F.array().cast("array<string>")
+    heads = strings(sorted({b for _, g in known for b in g}))
+    rows = packed(docs, text=docs[f"`{text_col}`"]).select("row", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("row", "text", F.array_intersect(words_in(F.col("text")), strings(sorted({w for _, g in known for x in g for w in x.split()}))).alias("met"))
+    able = F.lit(False)
+    for _, g in known:
+        first, n_first, second, n_second = least_words(g, least)
+        able = able | (F.size("met") >= max(n_first, n_second)) & (F.size(F.array_intersect("met", strings(first))) >= n_first) & (F.size(F.array_intersect("met", strings(second))) >= n_second)
+    rows = rows.select("row", F.when(able, F.col("text")).otherwise(F.lit("")).alias("text"))
     paragraphs = F.split("text", r"\n[\x20\x09-\x0D]*\n")
     units = F.array_distinct(F.concat(F.split("text", "\n"), F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>")), F.array("text")))
     # n words have at most n - 1 bigrams, and need 2 n - 1 characters
-    rows = rows.select("row", F.filter(units, lambda u: F.length(u) >= 2 * low + 1).alias("units"))
-    rows = rows.select("row", F.transform("units", words_in).alias("worded"))
-    rows = rows.select("row", F.filter(F.transform("worded", bigrams), lambda g: (F.size(g) >= low) & (F.size(g) <= high)).alias("grams"))
-    rows = rows.select("row", F.filter("grams", lambda g: F.arrays_overlap(g, heads)).alias("grams"))
+    rows = rows.select("row", F.filter(units, lambda u: F.length(u) >= 2 * low + 1).alias("units"), F.filter(F.transform(paragraphs, words_in), lambda w: F.size(w) > 0).alias("parts"))
+    sums = F.aggregate(F.transform("parts", lambda w: F.size(w)), F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    rows = rows.select("row", F.transform("units", words_in).alias("worded"), "parts", F.transform("parts", lambda w: F.size(w)).alias("sizes"), sums.alias("before"))
+    rows = rows.select("row", "worded", "parts", runs_between(low, high).alias("runs"))
+    joined = F.transform("runs", lambda r: F.flatten(F.slice("parts", r["i"] + 1, r["j"] - r["i"] + 1)))
+    rows = rows.select("row", F.transform("worded", bigrams).alias("grams"), F.transform(joined, bigrams).alias("run_grams"))
+    fits = lambda c: F.filter(c, lambda g: F.size(g).between(low, high) & F.arrays_overlap(g, heads))
+    rows = rows.select("row", fits("grams").alias("grams"), fits("run_grams").alias("run_grams"))
 
     def matches(g: Column) -> Column:
         found = []
         for name, t in known:
             lo, hi = size_bounds(len(t), least)
-            both = F.size(F.array_intersect(g, F.array(*[F.lit(x) for x in t])))
+            both = F.size(F.array_intersect(g, strings(t)))
             total = F.size(g) + len(t)
             found.append(F.when((F.size(g) >= lo) & (F.size(g) <= hi) & (200 * both >= least * total), F.struct((200.0 * both / total).alias("score"), F.lit(name).alias("name"))))
         return F.filter(F.array(*found), lambda x: x.isNotNull())
 
     kind = "array<struct<score:double,name:string>>"
-    hits = F.filter(F.transform("grams", matches), lambda m: F.size(m) > 0) if known else F.array().cast(f"array<{kind}>")
-    rows = rows.select("row", hits.alias("hits")).select("row", F.size("hits").cast("long").alias("n"), F.flatten("hits").alias("found"))
+    hits = lambda c: F.filter(F.transform(c, matches), lambda m: F.size(m) > 0) if known else F.array().cast(f"array<{kind}>")
+    rows = rows.select("row", hits("grams").alias("hits"), hits("run_grams").alias("run_hits"))
+    count = F.when(F.size("hits") > 0, F.size("hits")).otherwise(F.least(F.lit(1), F.size("run_hits")))
+    rows = rows.select("row", count.cast("long").alias("n"), F.flatten(F.concat("hits", "run_hits")).alias("found"))
     best = F.aggregate("found", F.lit(None).cast("struct<score:double,name:string>"), lambda a, x: F.when(a.isNull() | (x["score"] > a["score"]) | ((x["score"] == a["score"]) & (x["name"] < a["name"])), x).otherwise(a))
     rows = rows.select("row", "n", F.array_sort(F.array_distinct(F.transform("found", lambda x: x["name"]))).alias("names"), best.alias("best"))
     return unpacked(rows, docs.columns, licenses=F.col("names"), license=F.col("best.name"), license_score=F.coalesce("best.score", F.lit(0.0)), n_notices=F.col("n"))

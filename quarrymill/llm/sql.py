@@ -71,17 +71,24 @@ def license_scan_sql() -> str:
     rows = ",\n".join(f"({quoted(name)}, [{', '.join(map(quoted, g))}], {size_bounds(len(g), LEAST)[0]}, {size_bounds(len(g), LEAST)[1]})" for name, g in known)
     return rf"""
 WITH templates(name, t, lo, hi) AS (VALUES {rows}
+), bounds AS (SELECT min(lo) AS lo, max(hi) AS hi FROM templates
 ), units AS (
-  SELECT doc_id, unnest(list_distinct(list_concat(string_split(coalesce(text, ''), chr(10)), string_split_regex(coalesce(text, ''), '\n[ \t\n\x0B\f\r]*\n'), [coalesce(text, '')]))) AS unit FROM documents
+  SELECT doc_id, false AS run, unnest(list_distinct(list_concat(string_split(coalesce(text, ''), chr(10)), string_split_regex(coalesce(text, ''), '\n[ \t\n\x0B\f\r]*\n'), [coalesce(text, '')]))) AS unit FROM documents
+), parts AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i, w, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY pos) AS upto
+  FROM (SELECT doc_id, pos, regexp_extract_all({LOWER.format("p")}, '[a-z0-9]+') AS w FROM documents, unnest(string_split_regex(coalesce(text, ''), '\n[ \t\n\x0B\f\r]*\n')) WITH ORDINALITY AS u(p, pos)) WHERE len(w) > 0
+), runs AS (
+  SELECT a.doc_id, flatten(list(c.w ORDER BY c.i)) AS w FROM parts a JOIN parts b ON a.doc_id = b.doc_id AND b.i > a.i AND b.upto - a.upto + len(a.w) BETWEEN (SELECT lo FROM bounds) + 1 AND (SELECT hi FROM bounds) + 1
+  JOIN parts c ON c.doc_id = a.doc_id AND c.i BETWEEN a.i AND b.i GROUP BY a.doc_id, a.i, b.i
 ), worded AS (
-  SELECT doc_id, unit, regexp_extract_all({LOWER.format("unit")}, '[a-z0-9]+') AS w FROM units
+  SELECT doc_id, run, regexp_extract_all({LOWER.format("unit")}, '[a-z0-9]+') AS w, unit FROM units UNION ALL SELECT doc_id, true, w, NULL FROM runs
 ), grams AS (
-  SELECT doc_id, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1])) AS g FROM worded WHERE len(w) >= 2
+  SELECT doc_id, run, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1])) AS g FROM worded WHERE len(w) >= 2
 ), hits AS (
-  SELECT doc_id, unit, name, 200.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS score
+  SELECT doc_id, run, unit, name, 200.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS score
   FROM grams JOIN templates ON len(g) BETWEEN lo AND hi WHERE 200 * len(list_intersect(g, t)) >= {LEAST} * (len(g) + len(t))
 ), best AS (
-  SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, count(DISTINCT unit) AS n, max(score) AS score FROM hits GROUP BY doc_id
+  SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, CASE WHEN count(*) FILTER (WHERE NOT run) > 0 THEN count(DISTINCT unit) FILTER (WHERE NOT run) ELSE 1 END AS n, max(score) AS score FROM hits GROUP BY doc_id
 )
 SELECT d.doc_id, (SELECT min(h.name) FROM hits h WHERE h.doc_id = d.doc_id AND h.score = b.score) AS license, coalesce(licenses, '') AS licenses,
   round(coalesce(score, 0.0::DOUBLE), 6) AS license_score, coalesce(n, 0)::BIGINT AS n_notices

@@ -325,14 +325,54 @@ def test_licenses(spark):
     assert [got[i].license for i in range(1, 8)] == ["mit", "mit", None, None, None, "mit", "cc-by-nc-4.0"]
     assert got[7].licenses == ["cc-by-nc-4.0", "mit"] and got[7].n_notices == 2 and got[4].license_score == 0
     for t in (t for ts in license_scan.TEMPLATES.values() for t in ts):
-        grams, marks = license_scan.template_bigrams(t), license_scan.markers(license_scan.template_bigrams(t), 80)
-        rest = [g for g in grams if marks.isdisjoint(g.split())]
-        assert all(200 * len(rest) < 80 * (len(grams) + n) for n in range(max(len(rest), license_scan.size_bounds(len(grams), 80)[0]), 4 * len(grams)))
+        grams = license_scan.template_bigrams(t)
+        first, n_first, second, n_second = license_scan.least_words(grams, 80)
+        for side, n in ((0, n_first), (1, n_second)):  # all bigrams of the most common n - 1 words are too few
+            counts = sorted((sum(g.split()[side] == w for g in grams) for w in {g.split()[side] for g in grams}), reverse=True)
+            assert all(200 * min(sum(counts[: n - 1]), m) < 80 * (len(grams) + m) for m in range(license_scan.size_bounds(len(grams), 80)[0], 4 * len(grams)))
     for n in range(1, 40):
         lo, hi = license_scan.size_bounds(n, 80)
         assert all((200 * min(n, m) >= 80 * (n + m)) == (lo <= m <= hi) for m in range(1, 120))
 
 
+def brute_licenses(text, least=80):
+    """All runs of lines and paragraphs, without any pruning."""
+    text = text or ""
+    paragraphs = re.split(r"\n[\x20\x09-\x0D]*\n", text)
+    units = {*text.split("\n"), text, *(" ".join(paragraphs[i : j + 1]) for i in range(len(paragraphs)) for j in range(i, len(paragraphs)))}
+    best = {}
+    for unit in units:
+        g = set(license_scan.template_bigrams(unit))
+        for name, texts in license_scan.TEMPLATES.items():
+            for t in map(license_scan.template_bigrams, texts):
+                if g and 200 * len(g & set(t)) >= least * (len(g) + len(t)):
+                    best[name] = max(best.get(name, 0), 200 * len(g & set(t)) / (len(g) + len(t)))
+    return best
+
+
+def test_licenses_over_paragraphs(spark):
+    rng = random.Random(3)
+    texts = [None, "", "word " * 30_000, "x\n\n" * 400]
+    for name in license_scan.TEMPLATES:
+        for t in license_scan.TEMPLATES[name]:
+            words = t.split()
+            for _ in range(3):  # cut in paragraphs, with edits, inside other paragraphs
+                w = [x if rng.random() > 0.04 else "edited" for x in words]
+                cuts = sorted(rng.sample(range(1, len(w)), min(3, len(w) - 1)))
+                parts = [" ".join(w[a:b]) for a, b in zip([0, *cuts], [*cuts, len(w)], strict=True)]
+                texts.append("\n \n".join(["Some title", "Copyright of somebody", *parts, "And an end\nof two lines"]))
+    texts += texts[-2:]
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(spark, list(enumerate(texts)))).collect()}
+    found = 0
+    for i, t in enumerate(texts):
+        best = brute_licenses(t) if i != 3 else {}
+        assert got[i].licenses == sorted(best)
+        assert abs(got[i].license_score - max(best.values(), default=0)) < 1e-9
+        found += len(best) > 0 and got[i].license in best
+    assert found > 20
+    assert license_scan.license_scan(frame(spark, [])).count() == 0
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "assistant", "no"), (4, 1, "assistant", "no"), (4, 0, "user", "hi"), (4, 0, "user", "hi"), (5, 0, None, None), (None, 0, "user", "x"), (6, None, "user", "alone")]
     got = {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in chat_format(spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, turns int")).collect()}
