@@ -45,8 +45,8 @@ IMPLIED = {
     "head": (frozenset("body header nav main article section div p".split()), frozenset()),
 }
 ENDS = {start: tuple(tag for tag, (starts, _) in IMPLIED.items() if start in starts) for starts, _ in IMPLIED.values() for start in starts}
-#: Lines summed together, and the characters of text, without links, that a window has at a surge.
-WINDOW, SURGE = 3, 80
+#: Lines summed together, the characters of text, without links, that a window has at a surge, and what a character in an article weighs.
+WINDOW, SURGE, WEIGHT = 3, 80, 8
 #: Text outside of articles has a surge of this part of the largest article at least; of several articles, smaller ones are teasers.
 SHARE = 8
 
@@ -196,14 +196,15 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
 
 def main_text(page: str | None) -> str:
     """Lines between surge and dive, on every page. A surge is a window of WINDOW lines with SURGE characters outside links, and
-    it dives where a window has none. No window reaches over a gap or into or out of an article.
+    it dives where a window has none. No window reaches into or out of an article, nor over a gap outside of articles.
 
-    An article's characters weigh SURGE each, so that short ones surge too; of several, those under the largest text by SHARE
-    weigh nothing. Outside of articles a surge is scaled to the largest article.
+    An article's characters weigh WEIGHT each, and its surge is scaled to half of its text where that is less, so that short ones
+    surge too; of several, those under the largest text by SHARE weigh nothing. Outside of articles a surge is scaled to the
+    largest article.
     """
     runs: list[list[tuple[str, int, int]]] = [[]]
     for line in lines_of(page or ""):
-        if not line[0] or runs[-1] and runs[-1][-1][2] != line[2]:
+        if not line[0] and not line[2] or runs[-1] and runs[-1][-1][2] != line[2]:
             runs.append([])
         if line[0]:
             runs[-1].append(line)
@@ -217,8 +218,8 @@ def main_text(page: str | None) -> str:
     kept = []
     for run in filter(None, runs):
         region = run[0][2]
-        weight = 1 if not region else SURGE if len(sizes) == 1 or sizes[region] * SHARE >= largest else 0
-        least, i = SURGE if region else surge, 0
+        weight = 1 if not region else WEIGHT if len(sizes) == 1 or sizes[region] * SHARE >= largest else 0
+        least, i = min(SURGE, max(1, WEIGHT * sizes[region] / 2)) if region else surge, 0
         sums = [weight * sum(n for _, n, _ in run[i : i + WINDOW]) for i in range(len(run))]
         while i < len(run):
             if sums[i] < least or not region and not run[i][1]:

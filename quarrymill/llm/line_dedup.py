@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm.common import LAST_ID, SPACES, map_batches, packed, unpacked
+from quarrymill.operators.lineage import Scratch
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -19,36 +20,47 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return key
 
 
+#: A line key with more than this part of all keys is hot, so that there are at most so many.
+HOT_PART = 4096
+
+
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Columns doc, h1, h2: one row for each document's distinct line keys, as two halves of a 128-bit hash."""
+    """Columns doc, part, h1, h2: one row for each row's distinct line keys, as two halves of a 128-bit hash."""
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, out, counts = batch.column(0).to_numpy(), [], []
-            for text in batch.column(1).to_pylist():
+            out, counts = [], []
+            for text in batch.column(2).to_pylist():
                 keys = {line_key(x, min_chars) for x in (text or b"").split(b"\n")}
                 keys.discard(None)
                 out.extend(map(xxhash.xxh3_128_digest, keys))
                 counts.append(len(keys))
             halves = np.frombuffer(b"".join(out), dtype="<i8").reshape(-1, 2)
-            columns = [np.repeat(ids, counts), halves[:, 0].copy(), halves[:, 1].copy()]
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc", "h1", "h2"])
+            columns = [np.repeat(batch.column(0).to_numpy(), counts), np.repeat(batch.column(1).to_numpy(), counts), halves[:, 0].copy(), halves[:, 1].copy()]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc", "part", "h1", "h2"])
 
         return step
 
-    return map_batches(docs.select("doc", F.col("text").cast("binary")), "doc long, h1 long, h2 long", start)
+    return map_batches(docs.select("doc", "part", F.col("text").cast("binary")), "doc long, part long, h1 long, h2 long", start)
 
 
 def lines_to_drop(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """Columns doc, drops (array of struct h1, h2): the keys that the document loses."""
-    keys = line_keys(docs, min_chars)
-    counted = keys.groupBy("h1", "h2")
+    """Columns doc, part, drops (array of struct h1, h2): the keys that the row loses.
+
+    Rows with hot keys, HOT_PART of them at most, meet these where they are; only the others are dealt by key.
+    """
+    scratch = Scratch(docs.sparkSession)
+    keys = scratch.keep(line_keys(docs, min_chars))
     if min_docs == 2:  # two documents at least, without holding the distinct ids of a hot line
-        common = counted.agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper < last")
+        common = keys.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"), F.count("*").alias("n")).where("keeper < last")
     else:
-        common = keys.distinct().groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    lost = keys.join(common.select("h1", "h2", "keeper"), ["h1", "h2"]).where("doc <> keeper")
-    return lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("drops"))
+        common = keys.select("doc", "h1", "h2").distinct().groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    common = scratch.keep(common.select("h1", "h2", "keeper", "n"))
+    hot = common.where(F.col("n") > F.lit(keys.count() // HOT_PART)).drop("n")
+    here = keys.join(F.broadcast(hot), ["h1", "h2"])
+    rest = keys.join(F.broadcast(hot.select("h1", "h2")), ["h1", "h2"], "left_anti").join(common.drop("n"), ["h1", "h2"])
+    lost = here.union(rest).where("doc <> keeper")
+    return lost.groupBy("doc", "part").agg(F.collect_list(F.struct("h1", "h2")).alias("drops"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:
@@ -58,15 +70,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     only in the document with the smallest id, there as often as it occurs.
 
     Null or empty texts have one empty line, which stays; the text returned is then empty, not null. Rows with the same id are
-    one document: each keeps or loses the line. Rows without an id are one document, after all others. Ties cannot arise, as
-    ids are unique per document. Input columns named n_lines or n_dropped are replaced, all others are returned as they are.
-    Each hot line is first reduced to the smallest and largest id in every task, and each document gets the keys that it loses.
+    one document: each keeps or loses the line. Rows without an id are one document, after all others, but their texts are dealt
+    each by itself. Ties cannot arise, as ids are unique per document. Input columns named n_lines or n_dropped are replaced, all
+    others are returned as they are. An empty table gives an empty result. Each hot line is first reduced to the smallest and
+    largest id in every task, and each document gets the keys that it loses.
     """
     columns = docs.columns
     rows = packed(docs, doc=F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(LAST_ID)), text=docs[f"`{text_col}`"])
-    drops = lines_to_drop(rows.select("doc", "text"), min_chars, min_docs)
-    rows = rows.select(F.col("row").dropFields(text_col).alias("row"), "doc", "text") if len(columns) > 1 else rows.select(F.lit(0).alias("row"), "doc", "text")
-    joined = rows.join(drops, "doc", "left").select("row", F.col("text").cast("binary").alias("text"), "drops")
+    rows = rows.withColumn("part", F.when(F.col("doc") == LAST_ID, F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+    drops = lines_to_drop(rows.select("doc", "part", "text"), min_chars, min_docs)
+    kept = F.col("row").dropFields(text_col) if len(columns) > 1 else F.lit(0)
+    joined = rows.select(kept.alias("row"), "doc", "part", "text").join(drops, ["doc", "part"], "left").select("row", F.col("text").cast("binary").alias("text"), "drops")
     kind = joined.schema["row"].dataType.simpleString()
 
     def start():

@@ -208,6 +208,56 @@ def test_html_keeps_articles(page):
     assert html_text.main_text(page) == WORDS
 
 
+def brute_windows(page):
+    """Surge and dive over the same lines, each looked at on its own: it is kept if a surge goes on to it, and it to a line of text."""
+    lines, groups = html_text.lines_of(page), []
+    for line in lines:
+        if line[0] and groups and groups[-1] and groups[-1][-1][2] == line[2]:
+            groups[-1].append(line)
+        elif line[0]:
+            groups.append([line])
+        elif not line[2] or groups and groups[-1] and groups[-1][-1][2] != line[2]:
+            groups.append([])
+    total = lambda region: sum(n for _, n, r in lines if r == region)
+    regions = {r for _, _, r in lines if r and any(x[0] and x[2] == r for x in lines)}
+    outside = max([80, *(total(r) / 8 for r in regions)])
+    largest = max([total(0) if total(0) >= outside else 0, *map(total, regions)])
+    out = []
+    for g in groups:
+        r = g[0][2] if g else 0
+        weight = 1 if not r else 8 if len(regions) == 1 or total(r) * 8 >= largest else 0
+        surge = min(80, max(1, total(r) * 4)) if r else outside
+        window = [weight * sum(n for _, n, _ in g[i : i + 3]) for i in range(len(g))]
+        for i in range(len(g)):
+            begun = any(window[s] >= surge and (r or g[s][1]) and min(window[s : i + 1]) > 0 for s in range(i + 1))
+            goes_on = any(g[e][1] and min(window[i : e + 1]) > 0 for e in range(i, len(g)))
+            if begun and goes_on:
+                out.append(g[i][0])
+    return " ".join(out)
+
+
+def test_html_windows_against_brute_force():
+    rng = random.Random(6)
+    piece = lambda: rng.choice(["<p>" + "word " * rng.randint(1, 40) + "</p>", "<p>Hi.</p>", "<ul><li><a href=x>link of some length</a></ul>", "<div class='ad'>buy</div>", "<nav><a href=y>menu</a></nav>", "<h2>Head</h2>"])
+    seen = set()
+    for _ in range(400):
+        page = "".join(piece() for _ in range(rng.randint(0, 5)))
+        for _ in range(rng.randint(0, 2)):
+            page += "<article>" + "".join(piece() for _ in range(rng.randint(0, 6))) + "</article>" + "".join(piece() for _ in range(rng.randint(0, 4)))
+        got = html_text.main_text(page)
+        assert got == brute_windows(page)
+        seen.add(got)
+    assert len(seen) > 200
+
+
+def test_html_frames(spark):
+    long = "<article>" + "<p>many words</p>" * 50_000 + "</article>"
+    rows = [(1, PAGE, "a", 1), (1, PAGE, "a", 1), (2, None, "b", 2), (3, long, "c", 3), (4, "<main><b>unclosed", "d", 4)]
+    got = html_text.html_text(spark.createDataFrame(rows, "page_id long, html string, row string, main int")).collect()
+    assert sorted((r.page_id, r.n_chars, r.row, r.main) for r in got) == [(1, 34, "a", 1), (1, 34, "a", 1), (2, 0, "b", 2), (3, 50_000 * 11 - 1, "c", 3), (4, 8, "d", 4)]
+    assert html_text.html_text(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
 def test_html_deep_pages_take_linear_time():
     assert html_text.main_text("<div class='ad'><ul><li><p>x" * 20_000) == ""
 
