@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of this machine only where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "quarrymill-checkpoints")
+    """spark.checkpoint.dir; where that is unset, a folder of this machine in local mode, and an error on a cluster."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or "file://" + os.path.join(tempfile.gettempdir(), "quarrymill-checkpoints")
 
 
 class Scratch:
