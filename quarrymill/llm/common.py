@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.operators.lineage import shared_folder
 from quarrymill.sources.ship import ship
 from quarrymill.sources.tables import table  # noqa: F401
 
@@ -22,11 +21,10 @@ SLICE = 512
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder that the session names; only where none is named, a local one is set."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "quarrymill-checkpoints"))
+    """A checkpoint in the shared folder that the session names."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
