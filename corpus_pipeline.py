@@ -44,7 +44,7 @@ def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality rules", _quality), ("line dedup", _lines), ("MinHash near-dedup", _near), ("benchmark decontamination", _benchmark), ("byte-level BPE", _tokens)]
-#: SQL can't express byte-level BPE; tests compare each stage with a brute-force version.
+#: SQL can't express byte-level BPE; tests/llm/test_stages.py compares each stage with a brute-force version.
 ORACLE_SQL = None
 
 
