@@ -106,14 +106,26 @@ def runs(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
 FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
+#: The automaton that this worker has built last, by the digest of its passages: later tasks of the worker use it again.
+BUILT: dict = {}
+
+
+def built_automaton(digest: str, passages: dict[bytes, list[str]]) -> ahocorasick.Automaton:
+    if BUILT.get("digest") != digest:
+        BUILT.clear()
+        BUILT.update(digest=digest, automaton=automaton_of(passages))
+    return BUILT["automaton"]
+
+
 def scan_by_automaton(rows: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
     passages = defaultdict(list)
     for r in windows.collect():  # at most MOST_BROADCAST bytes, as the caller has checked
         passages[bytes(r["passage"])].append(r["item"])
+    digest = hashlib.sha256(repr(sorted((p, sorted(whose)) for p, whose in passages.items())).encode()).hexdigest()
     shared = rows.sparkSession.sparkContext.broadcast(dict(passages))
 
     def start():
-        automaton = automaton_of(shared.value)
+        automaton = built_automaton(digest, shared.value)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, hits, items, spans = [], [], [], []
@@ -132,9 +144,10 @@ def scan_by_automaton(rows: DataFrame, windows: DataFrame, kind: str) -> DataFra
 
 
 def scan_by_join(rows: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
-    """For test sets too large to broadcast: the windows' hashes are joined with those of the documents, by document and place."""
+    """For test sets too large to broadcast: the windows' hashes are joined with those of the documents, by text and place. Rows of one
+    text have the same hits, so that its digest names them, also if a lost task is computed anew."""
     lengths = sorted(r[0] for r in windows.select("words").distinct().collect())  # at most WINDOW values
-    rows = rows.withColumn("uid", F.xxhash64("row", F.monotonically_increasing_id()))
+    rows = rows.withColumn("uid", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
 
     def start_docs():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -147,7 +160,7 @@ def scan_by_join(rows: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
                     places += range(n)
                     sizes += [k] * n
                     hashes += [xxhash.xxh3_128_digest(b" ".join(w[i : i + k])) for i in range(n)]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32()), pa.array(hashes, pa.binary())], names=["uid", "place", "words", "h"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32()), pa.array(hashes, pa.binary())], names=["uid", "place", "words", "h"])
 
         return step
 
@@ -157,7 +170,7 @@ def scan_by_join(rows: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
 
         return step
 
-    spread = map_batches(rows.select("uid", F.col("text").cast("binary")), "uid long, place long, words int, h binary", start_docs)
+    spread = map_batches(rows.select("uid", F.col("text").cast("binary")), "uid string, place long, words int, h binary", start_docs)
     hits = spread.join(map_batches(windows, "item string, words int, h binary", start_items), ["words", "h"])
     by_doc = hits.groupBy("uid").agg(F.collect_set(F.struct("place", "words")).alias("found"), F.array_sort(F.collect_set("item")).alias("items"))
     joined = rows.join(by_doc, "uid", "left").select("row", F.col("text").cast("binary"), F.coalesce("found", F.array().cast("array<struct<place:bigint,words:int>>")).alias("found"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))

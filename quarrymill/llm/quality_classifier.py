@@ -99,8 +99,13 @@ def random_features(count: int, features: int, seed: int) -> tuple[np.ndarray, n
     return rng.normal(size=(count, features)) / np.sqrt(2 * count), rng.uniform(0, 2 * np.pi, features)
 
 
+#: Tasks that add up the labelled rows' numbers, so that what they shuffle doesn't grow with the number of partitions.
+SUM_TASKS = 256
+
+
 def sums(labelled: DataFrame, make, width: int) -> np.ndarray:
-    """``make(x, y)`` gives a matrix for each Arrow batch; their sum over all rows, added in each task and then by row of the matrix."""
+    """``make(x, y)`` gives a matrix for each Arrow batch; their sum over all rows, added in each of SUM_TASKS tasks at most and then by
+    cell of the matrix."""
 
     def run(batches):
         total = None
@@ -114,7 +119,7 @@ def sums(labelled: DataFrame, make, width: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total.ravel())], names=["i", "j", "v"])
 
     ship(labelled.sparkSession)
-    cells = labelled.select("x", F.col("y").cast("double")).mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    cells = labelled.select("x", F.col("y").cast("double")).coalesce(SUM_TASKS).mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
     out = np.zeros((1 + max((c["i"] for c in cells), default=0), width))
     for c in cells:
         out[c["i"], c["j"]] = c["v"]
