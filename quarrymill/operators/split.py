@@ -55,7 +55,8 @@ def crossing_groups(df: DataFrame, group: str, split: str = "split") -> DataFram
 def rebalanced(df: DataFrame, group: str, split: str, minimum: int) -> DataFrame:
     """Moves whole groups from train to splits with fewer than ``minimum`` rows, smallest groups first, ties by name.
 
-    A running sum over the training groups' sizes decides, so that no group is divided and the splits stay apart.
+    A running sum over the training groups' sizes decides, so that no group is divided and the splits stay apart. Of the groups only the
+    smallest come to one task and are broadcast, as many as rows are missing, twice ``minimum`` at most.
     """
     sizes = df.groupBy(group, split).agg(F.count("*").alias("n"))
     have = {r[split]: r["n"] for r in df.groupBy(split).agg(F.count("*").alias("n")).collect()}  # a few splits

@@ -30,7 +30,15 @@ def near_dup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.leader_clusters(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id", "cluster_id", "is_duplicate", "similarity")
 
 
-@query()
+@query("""
+WITH RECURSIVE d AS (SELECT doc_id, trim(coalesce(text, '')) AS t, row_number() OVER (ORDER BY coalesce(quality, 0) DESC, n_chars DESC, doc_id) AS r FROM documents LEFT JOIN labels USING (doc_id)
+), asked AS MATERIALIZED (SELECT doc_id, r, ['t' || sha256(t), 'f' || sha256(split_part(t, chr(10), 1)), 'l' || sha256(split_part(t, chr(10), -1))] AS keys FROM d
+), fold AS (
+  SELECT 0::BIGINT AS r, NULL::BIGINT AS doc_id, false AS accepted, []::VARCHAR[] AS seen
+  UNION ALL
+  SELECT a.r, a.doc_id, NOT list_has_any(f.seen, a.keys), CASE WHEN list_has_any(f.seen, a.keys) THEN f.seen ELSE list_concat(f.seen, a.keys) END FROM fold f JOIN asked a ON a.r = f.r + 1
+) SELECT doc_id, accepted FROM fold WHERE r > 0
+""")
 def select_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the order of quality label, length and id; accepted if no accepted one has the same text, first line or last line."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
@@ -121,7 +129,13 @@ def perplexity_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.agg(F.count("*").alias("n_tokens"), F.round(F.exp(F.least(F.avg("value"), F.lit(20.0))), 6).alias("perplexity"), F.round(F.avg((F.col("value") < 1).cast("int")), 6).alias("accuracy"), (F.max("value") <= 50).alias("within_limit"))
 
 
-@query()
+VALUE_SQL = "coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+@query(f"""
+WITH h AS (SELECT sha256(concat_ws('|', {", ".join(VALUE_SQL.format(c=c) for c in ("doc_id", "lang", "source", "text"))})) AS h FROM documents)
+SELECT count(*)::BIGINT AS n_rows, sha256(concat_ws(',', count(*)::VARCHAR, {", ".join(f"coalesce(sum(('0x' || substr(h, {15 * k + 1}, 15))::BIGINT::HUGEINT), 0)::VARCHAR" for k in range(4))})) AS fingerprint FROM h
+""")
 def snapshot_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.snapshot_fingerprint(table(spark, sf_dir, "documents"), "doc_id", ["text", "lang", "source"])
 

@@ -60,7 +60,13 @@ def pii_card_luhn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.where("n_cards > 0")
 
 
-@query()
+PHONES_SQL = (
+    r"list_filter(regexp_extract_all(" + TEXT + r", '(?:^|[^A-Za-z0-9_])((?:\+|00)?\d(?:[ .()/-]?\d){7,14})\b', 1), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 8 AND 15 "
+    r"AND length(replace(regexp_replace(x, '[^0-9]', '', 'g'), substr(regexp_replace(x, '[^0-9]', '', 'g'), 1, 1), '')) > 0 AND NOT regexp_full_match(x, '\d{1,4}[./-]\d{1,2}[./-]\d{1,4}'))"
+)
+
+
+@query(f"SELECT doc_id, len(x)::BIGINT AS n_phones, array_to_string(list_sort(x), ',') AS phones FROM (SELECT doc_id, {PHONES_SQL} AS x FROM documents) WHERE len(x) > 0")
 def pii_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir).select("doc_id", pii.phones(F.col("text")).alias("x"))
     return d.where(F.size("x") > 0).select("doc_id", F.size("x").cast("long").alias("n_phones"), F.array_join(F.array_sort("x"), ",").alias("phones"))

@@ -96,7 +96,13 @@ def family_cross_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.crossing_groups(d, "family").select("family", F.array_join("splits", ",").alias("splits"))
 
 
-@query()
+@query(f"""
+WITH d AS (SELECT sha256({FOLD_SQL}) AS family FROM documents), f AS (SELECT family, count(*) AS n, CASE WHEN x < 0.98 THEN 'train' WHEN x < 0.98::DOUBLE + 0.01::DOUBLE THEN 'val' ELSE 'test' END AS split FROM (SELECT family, ('0x' || substr(sha256(family), 1, 16))::UBIGINT::DOUBLE / 18446744073709551615::DOUBLE AS x FROM d) GROUP BY ALL
+), need AS (SELECT greatest(0, 20 - coalesce(sum(n) FILTER (WHERE split = 'val'), 0)) AS val, greatest(0, 20 - coalesce(sum(n) FILTER (WHERE split = 'test'), 0)) AS test FROM f
+), given AS (SELECT family, coalesce(sum(n) OVER (ORDER BY n, family ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM f WHERE split = 'train'
+), moved AS (SELECT family, CASE WHEN g < val THEN 'val' ELSE 'test' END AS target FROM given, need WHERE g < val + test)
+SELECT coalesce(target, split) AS split, sum(n)::BIGINT AS n_docs, count(*)::BIGINT AS n_families FROM f LEFT JOIN moved USING (family) GROUP BY 1
+""")
 def split_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.folded(F.col("text")), 256).alias("family")).withColumn("split", split.hash_split(F.col("family"), 0.98, 0.01))
     return split.rebalanced(d, "family", "split", 20).groupBy("split").agg(F.count("*").alias("n_docs"), F.countDistinct("family").alias("n_families"))
