@@ -157,7 +157,7 @@ def token_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(after, ["conv_id", "turn"]).select("conv_id", "turn", F.round(metrics.token_f1(F.col("w"), F.col("v")), 6).alias("token_f1"))
 
 
-ASCII = r"substr(regexp_replace(lower(coalesce(text, '')), '[^a-z ]', '', 'g'), 1, 200)"
+ASCII = r"regexp_replace(lower(coalesce(text, '')), '[^a-z ]', '', 'g')"
 
 
 @query(f"""
@@ -165,8 +165,8 @@ WITH t AS (SELECT conv_id, turn, {ASCII} AS t FROM conversations)
 SELECT sum(levenshtein(a.t, b.t))::BIGINT AS edits, sum(greatest(length(b.t), 1))::BIGINT AS length, round(sum(levenshtein(a.t, b.t))::DOUBLE / sum(greatest(length(b.t), 1)), 6) AS rate FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
 """)
 def character_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Openings of each turn, in plain letters, against the next one's: what SQL does in time. Whole turns are in text_error_rates."""
-    t = F.substring(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z ]", ""), 1, 200)
+    """Each whole turn's plain letters against the next one's; DuckDB compares bytes, so other letters are only in text_error_rates."""
+    t = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z ]", "")
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", t.alias("t"))
     after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("t").alias("v"))
     rate = metrics.error_rate(c.join(after, ["conv_id", "turn"]), F.levenshtein("t", "v"), F.length("v"))
