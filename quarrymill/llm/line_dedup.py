@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm.common import LAST_ID, SPACES, map_batches, packed, unpacked
-from quarrymill.operators.lineage import Scratch
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -20,8 +19,8 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return key
 
 
-#: A line key with more than this part of all keys is hot, so that there are at most so many.
-HOT_PART = 4096
+#: So many of the most common line keys are broadcast.
+HOT = 4096
 
 
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -47,19 +46,19 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 def lines_to_drop(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """Columns doc, part, drops (array of struct h1, h2): the keys that the row loses.
 
-    Rows with hot keys, HOT_PART of them at most, meet these where they are; only the others are dealt by key.
+    The HOT most common keys, a fixed number, are broadcast. Rows with one of them meet it where they are and are then dealt at
+    random, as they have nothing more to meet; only the others are dealt by key.
     """
-    scratch = Scratch(docs.sparkSession)
-    keys = scratch.keep(line_keys(docs, min_chars))
+    keys = line_keys(docs, min_chars)
     if min_docs == 2:  # two documents at least, without holding the distinct ids of a hot line
         common = keys.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"), F.count("*").alias("n")).where("keeper < last")
     else:
         common = keys.select("doc", "h1", "h2").distinct().groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    common = scratch.keep(common.select("h1", "h2", "keeper", "n"))
-    hot = common.where(F.col("n") > F.lit(keys.count() // HOT_PART)).drop("n")
-    here = keys.join(F.broadcast(hot), ["h1", "h2"])
-    rest = keys.join(F.broadcast(hot.select("h1", "h2")), ["h1", "h2"], "left_anti").join(common.drop("n"), ["h1", "h2"])
-    lost = here.union(rest).where("doc <> keeper")
+    hot = common.orderBy(F.desc("n"), "h1", "h2").limit(HOT).select("h1", "h2", F.col("keeper").alias("met"))
+    found = keys.join(F.broadcast(hot), ["h1", "h2"], "left")
+    dealt = found.withColumn("k1", F.when(F.col("met").isNull(), F.col("h1")).otherwise(F.xxhash64("doc", "part", "h2")))
+    kept = dealt.join(common.select(F.col("h1").alias("k1"), "h2", "keeper"), ["k1", "h2"], "left")
+    lost = kept.select("doc", "part", "h1", "h2", F.coalesce("met", "keeper").alias("keeper")).where("doc <> keeper")
     return lost.groupBy("doc", "part").agg(F.collect_list(F.struct("h1", "h2")).alias("drops"))
 
 
