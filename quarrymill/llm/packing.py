@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -17,31 +18,44 @@ from quarrymill.sources.ship import ship
 WINDOW = 1024
 #: Tokens of pieces that a task holds while it packs them; what doesn't fill a window goes on to the next lot.
 LOT = 1 << 22
-#: Chunks of text whose ids a task remembers; the older half goes when there are more.
-REMEMBERED = 400_000
-#: Characters that are split into chunks at once.
-STRETCH = 1 << 20
-#: White space as the tokenizer's pattern has it.
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: White space and what follows up to the next: no piece of the pattern goes from other characters to white space.
-CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-#: Where a text may be cut: between another character and white space.
-CUT = re.compile(f"[^{SPACE}](?=[{SPACE}])")
+#: Characters that are encoded at once; texts are cut between another character and white space, which no piece of the pattern crosses.
+STRETCH = 1 << 16
+CUT = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000](?=[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
+#: Fixed value: the pattern of the byte-level pre-tokenizer.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 PIECE = "start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 
 
-@cache
-def loaded(path: str):
-    """Once in each Python worker; the file is part of the installation, as the library is."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes for themselves, the others from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def ranks_of(path: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Ranks by bytes and added tokens, if the file is a plain byte-level BPE whose ids ascend as its merges do, so that the pair of lowest
+    id is merged first; else None."""
+    with open(path, encoding="utf-8") as f:
+        whole = json.load(f)
+    model, before = whole["model"], whole.get("pre_tokenizer") or {}
+    added = whole.get("added_tokens") or []
+    plain = model.get("type") == "BPE" and not (whole.get("normalizer") or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("ignore_merges"))
+    plain = plain and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    if not plain or any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
+        return None
+    vocab, names = model["vocab"], {t["content"] for t in added}
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    letters = byte_letters()
+    tokens = {k: v for k, v in vocab.items() if k not in names}
+    if merged != sorted(merged) or len(merged) + 256 != len(tokens) or any(c not in letters for k in tokens for c in k):
+        return None
+    return {bytes(letters[c] for c in k): v for k, v in tokens.items()}, {t["content"]: t["id"] for t in added}
 
 
 def stretches(text: str) -> Iterator[str]:
-    """The text in parts of about STRETCH characters, cut only where chunks end."""
+    """The text in parts of about STRETCH characters, cut only where no piece of the pattern goes on."""
     at = 0
     while len(text) - at > STRETCH and (m := CUT.search(text, at + STRETCH)):
         yield text[at : m.end()]
@@ -50,39 +64,47 @@ def stretches(text: str) -> Iterator[str]:
 
 
 class Ids:
-    """Token ids as little-endian 32-bit integers; the library is asked once for each chunk that the task remembers."""
+    """Token ids of whole texts, as little-endian 32-bit integers, without begin or end.
+
+    A byte-level BPE in the order of its ids is encoded by a faster library that takes these ranks, and gives the same ids; any other file, and
+    what has no white space over twice STRETCH characters, by the library that the file is for.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer, self.hot, self.old = loaded(path), {}, {}
-
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that aren't in hot."""
-        new: dict[str, bytes] = {}
-        ask = []
-        for c in dict.fromkeys(chunks):
-            if (ids := self.old.get(c)) is not None:
-                new[c] = ids
-            else:
-                ask.append(c)
-        for c, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else [], strict=True):
-            new[c] = np.array(e.ids, "<u4").tobytes()
-        if len(self.hot) + len(new) > REMEMBERED // 2:
-            self.old, self.hot = self.hot, {}
-        self.hot.update((c, ids) for c, ids in new.items() if len(c) <= 64)
-        return new
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.fast, self.added, self.split = Tokenizer.from_file(path), None, {}, None
+        if (found := ranks_of(path)) is not None:
+            import tiktoken
+
+            ranks, self.added = found
+            self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            if self.added:
+                self.split = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
+
+    def _slow(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _between(self, text: str) -> bytes:
+        """Of a part without added tokens."""
+        return b"".join(self._slow(x) if len(x) > 2 * STRETCH else self.fast.encode_to_numpy(x).astype("<u4").tobytes() for x in stretches(text))
 
     def of(self, text: str | None) -> bytes:
-        out = []
-        for part in stretches(text) if text else ():
-            chunks = CHUNK.findall(part)
-            hot = self.hot
-            missing = [c for c in chunks if c not in hot]
-            if missing:
-                new = self.learn(missing)
-                out += [new[c] if c in new else hot[c] for c in chunks]
-            else:
-                out += map(hot.__getitem__, chunks)
-        return b"".join(out)
+        if not text:
+            return b""
+        if self.fast is None:
+            return self._slow(text)
+        if not any(t in text for t in self.added):
+            return self._between(text)
+        parts = self.split.split(text)
+        return b"".join(np.array([self.added[x]], "<u4").tobytes() if i % 2 else self._between(x) for i, x in enumerate(parts) if x)
+
+
+@cache
+def loaded(path: str) -> Ids:
+    """Once in each Python worker; the file is part of the installation, as the library is."""
+    return Ids(path)
 
 
 class OpenWindows:
@@ -200,7 +222,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = Ids(path), np.array([end_id], "<u4").tobytes()
+        ids_of, end = loaded(path), np.array([end_id], "<u4").tobytes()
         sequence, idents, sizes = TaskContext.get().partitionId() << 33, [], []
         wide, held, tails, out = 4 * window, 0, [], []
         id_type = None
