@@ -138,6 +138,39 @@ SELECT conv_id, len(x)::BIGINT AS n_turns, n::BIGINT AS n_copies, sha256(rendere
 WHERE NOT EXISTS (SELECT 1 FROM whole b WHERE b.x[1] = a.x[1] AND len(b.x) > len(a.x) AND b.x[1:len(a.x)] = a.x)
 """
 
+sized = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+leaf_sql = lambda n_chars: "sha256(" + " || ".join(sized(c) for c in ("d.doc_id", "source", "lang", n_chars, "text")) + ")"
+MERKLE = f"""
+WITH RECURSIVE crc AS (
+  SELECT DISTINCT doc_id, doc_id::VARCHAR AS s, 0 AS t, 4294967295::BIGINT AS c FROM documents WHERE doc_id IS NOT NULL UNION ALL
+  SELECT doc_id, s, t + 1, xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END) FROM (SELECT doc_id, s, t, CASE WHEN t % 8 = 0 THEN xor(c, ascii(substr(s, t // 8 + 1, 1))::BIGINT) ELSE c END AS c FROM crc WHERE t < 8 * length(s))
+), picked AS (SELECT doc_id FROM crc WHERE t = 8 * length(s) AND xor(c, 4294967295::BIGINT) % 7 = 0
+), leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, d.doc_id, coalesce('=' || lang, '') AS tree, {leaf_sql("n_chars")} AS leaf, CASE WHEN p.doc_id IS NOT NULL THEN {leaf_sql("(n_chars + 1)")} ELSE {leaf_sql("n_chars")} END AS used
+  FROM documents d LEFT JOIN picked p ON p.doc_id = d.doc_id
+), placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), nodes AS MATERIALIZED (
+  SELECT tree, 0 AS k, pos, leaf AS h, n FROM placed UNION ALL
+  SELECT tree, k + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, k, pos // 2, n
+), subroots AS MATERIALIZED (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), over_nodes AS MATERIALIZED (
+  SELECT 0 AS k, pos, h, n FROM subroots UNION ALL
+  SELECT k + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM over_nodes WHERE n > 1 GROUP BY k, pos // 2, n
+), root AS (SELECT h FROM over_nodes WHERE n = 1
+), steps AS MATERIALIZED (
+  SELECT p.rid, a.k AS height, s.h AS sibling, (p.pos >> a.k) % 2 = 1 AS onleft FROM placed p JOIN (SELECT DISTINCT tree, k FROM nodes WHERE n > 1) a ON a.tree = p.tree LEFT JOIN nodes s ON s.tree = p.tree AND s.k = a.k AND s.pos = xor(p.pos >> a.k, 1::BIGINT)
+  UNION ALL
+  SELECT p.rid, 100 + a.k, s.h, (r.pos >> a.k) % 2 = 1 FROM placed p JOIN subroots r ON r.tree = p.tree JOIN (SELECT DISTINCT k FROM over_nodes WHERE n > 1) a ON true LEFT JOIN over_nodes s ON s.k = a.k AND s.pos = xor(r.pos >> a.k, 1::BIGINT)
+), ordered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY height) AS step FROM steps
+), proofs AS (SELECT rid, max(step) AS n_steps, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM ordered GROUP BY rid
+), fold AS (
+  SELECT rid, 0::BIGINT AS step, used AS h FROM leaves UNION ALL
+  SELECT f.rid, o.step, CASE WHEN o.sibling IS NULL THEN sha256(f.h) WHEN o.onleft THEN sha256(o.sibling || f.h) ELSE sha256(f.h || o.sibling) END FROM fold f JOIN ordered o ON o.rid = f.rid AND o.step = f.step + 1
+)
+SELECT p.doc_id, p.leaf, r.h AS subroot, root.h AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM placed p JOIN subroots r ON r.tree = p.tree JOIN root ON true LEFT JOIN proofs q ON q.rid = p.rid JOIN fold f ON f.rid = p.rid AND f.step = coalesce(q.n_steps, 0)
+"""
+
 ORACLE_SQL = {
     "op1_line_dedup": LINE_DEDUP,
     "op3_quality_rules": quality_rules_sql(),
@@ -145,4 +178,5 @@ ORACLE_SQL = {
     "op6_near_dedup": NEAR_DEDUP,
     "op7_decontaminate": DECONTAMINATE,
     "op9_chat_format": CHAT_FORMAT,
+    "op13_merkle_manifest": MERKLE,
 }
