@@ -87,9 +87,3 @@ def merged_gaps(left: Column, right: Column) -> Column:
 def at_least(rows: DataFrame, key: str, least: int) -> DataFrame:
     """Rows of keys with ``least`` rows or more; the counts, one row a key, decide."""
     return rows.join(rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select(key), key, "left_semi")
-
-
-def canonical_json(value: Column) -> Column:
-    """Of a JSON object of plain values: keys sorted, no space."""
-    parsed = F.from_json(value, "map<string,string>")
-    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys(parsed)), lambda k: F.concat(F.lit('"'), k, F.lit('":'), F.element_at(parsed, k))), ","), F.lit("}"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions import selection, text
+from quarrymill.functions.canonical import canonical_json
 from quarrymill.operators import records
 from quarrymill.operators.chunks import chunk_documents
 from quarrymill.sources.tables import table
@@ -187,7 +188,7 @@ def task_minimum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, '{\"k\":' || (json_extract(props, '$.k'))::VARCHAR || '}' AS canonical, sha256('{\"k\":' || (json_extract(props, '$.k'))::VARCHAR || '}') AS fingerprint FROM events")
 def canonical_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event properties as canonical JSON, and its digest."""
-    c = table(spark, sf_dir, "events").select("event_id", records.canonical_json(F.col("props")).alias("canonical"))
+    c = table(spark, sf_dir, "events").select("event_id", canonical_json(F.col("props")).alias("canonical"))
     return c.select("event_id", "canonical", F.sha2("canonical", 256).alias("fingerprint"))
 
 
