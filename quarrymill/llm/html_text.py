@@ -25,11 +25,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements that hold no part of an article.
 OUTSIDE = frozenset("nav footer aside form button dialog menu head fieldset".split())
 ARTICLE = frozenset("article main".split())
-#: Words in a class, id or role that mark a block as no part of an article.
+#: Names in a class, id or role that mark a block as no part of an article, and those of reader comments.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu sidebar widget breadcrumb breadcrumbs footer header masthead "
-    "cookie cookies consent notice notices alert popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended comment comments "
-    "reply replies disqus form search pagination pager toolbar skip contentinfo complementary dialog".split()
+    "cookie cookies consent notice notices alert popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended "
+    "form search pagination pager toolbar skip contentinfo complementary dialog".split()
+)
+COMMENTS = frozenset("comment comments commentlist reply replies respond response responses disqus discussion".split())
+#: Other parts that a marked name may have, as in site-footer or comment-list; any other part makes it another word, as social in social-science.
+COMMON = frozenset(
+    "site page main global top bottom left right primary secondary sub article post entry user reader list area wrap wrapper container outer inner box block blocks section bar item items row col column columns "
+    "panel links link posts articles stories icons buttons button slot unit text title body content thread count form policy js the".split()
 )
 #: Elements that never hold the page's text, even if it is most of it; a wrapper with <main> in it is kept all the same.
 NEVER = OUTSIDE - {"form", "fieldset"}
@@ -45,24 +51,39 @@ IMPLIED = {
     "head": (frozenset("body header nav main article section div p".split()), frozenset()),
 }
 ENDS = {start: tuple(tag for tag, (starts, _) in IMPLIED.items() if start in starts) for starts, _ in IMPLIED.values() for start in starts}
-#: Lines summed together, the characters of text, without links, that a window has at a surge, and what a character in an article weighs.
-WINDOW, SURGE, WEIGHT = 3, 80, 8
-#: Text outside of articles has a surge of this part of the largest article at least; of several articles, smaller ones are teasers.
+#: Lines summed together, and the score of a window at a surge on a page with much text.
+WINDOW, SURGE = 3, 80
+#: Of several articles, those with less than this part of the largest text are teasers.
 SHARE = 8
 
 
+def marked(name: str) -> str:
+    """comment or mark, if a name of a class, id or role says so, else an empty string."""
+    parts = [x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if x]
+    for kind, words in (("comment", COMMENTS), ("mark", MARKS)):
+        if not words.isdisjoint(parts) and all(x in words or x in MARKS or x in COMMENTS or x in COMMON and len(parts) > 1 for x in parts):
+            return kind
+    return ""
+
+
 def is_outside(tag: str, attributes: str, in_article: bool) -> str:
-    """Why the element is no part of an article: hidden, its kind of element, a mark, or an empty string."""
-    marked = False
+    """Why the element is no part of an article: hidden, its kind of element, a comment, a mark, or an empty string.
+
+    Inside an article an id marks comments alone, as its sections are named by what they are about."""
+    found = set()
     for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
+        name, value = name.lower(), value.strip("\"'")
+        low = value.lower()
+        if name == "hidden" or name == "aria-hidden" and low == "true" or name == "style" and re.search(r"display\s*:\s*none", low):
             return "hidden"
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(re.split(r"[^a-z]+", value)) and tag not in ("body", "html", *ARTICLE):
-            marked = True
+        if name in ("class", "id", "role") and tag not in ("body", "html", *ARTICLE):
+            kinds = {marked(x) for x in value.split()}
+            found |= kinds - {"mark"} if name == "id" and in_article else kinds
+    if "comment" in found:
+        return "comment"
     if tag in OUTSIDE or tag == "header" and not in_article:
         return "element"
-    return "mark" if marked else ""
+    return "mark" if "mark" in found else ""
 
 
 def ends_of(tags: list[tuple[int, int, bool, str, str, bool]]) -> list[int]:
@@ -111,32 +132,35 @@ def ends_of(tags: list[tuple[int, int, bool, str, str, bool]]) -> list[int]:
     return ends
 
 
-def lines_of(page: str) -> list[tuple[str, int, int]]:
-    """The page's lines without markup: text, its characters outside links, and the number of the article or main element
-    in which it stands, 0 for none.
+def lines_of(page: str) -> list[tuple[str, int, int, int]]:
+    """The page's lines without markup: text, its characters outside links and in links, and the number of the article or main
+    element in which it stands, 0 for none.
 
     What stands in other elements than the article's leaves an empty line, which divides the text around it. A form or a block
     with a mark in its class, id or role is not left out if it holds <main>, half of the text of all articles, or, on a page
-    without any, half of the page's text outside links.
+    without any, half of the page's text outside links. Comments are left out however long, unless they hold <main>.
     """
-    out: list[tuple[str, int, int]] = []
+    out: list[tuple[str, int, int, int]] = []
     text: list[str] = []
-    plain = links = articles = region = 0
+    plain = linked_chars = links = articles = region = 0
 
     def flush() -> None:
-        nonlocal plain
+        nonlocal plain, linked_chars
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            out.append((line, plain, region if articles else 0))
+            out.append((line, plain, linked_chars, region if articles else 0))
         text.clear()
-        plain = 0
+        plain = linked_chars = 0
 
     def take(part: str) -> None:
-        nonlocal plain
+        nonlocal plain, linked_chars
         if part:
             text.append(part)
-            if not links:
-                plain += len(part.strip())
+            n = len(part.strip())
+            if links:
+                linked_chars += n
+            else:
+                plain += n
 
     page = RAW.sub(" ", page)
     tags = [(m.start(), m.end(), bool(m[1]), m[2].lower(), m[3], bool(m[4]) or m[3].endswith("/")) for m in TAG.finditer(page)]
@@ -155,11 +179,11 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
     sums.append((all_plain + n, in_articles + (n if depth else 0), mains))
     any_article = any(tag in ARTICLE and not closing for _, _, closing, tag, _, _ in tags)
 
-    def holds_text(k: int, tag: str) -> bool:
+    def holds_text(k: int, tag: str, why: str) -> bool:
         (plain_0, article_0, main_0), (plain_1, article_1, main_1) = sums[k], sums[ends[k]]
         if main_1 > main_0:
             return True
-        if tag in NEVER or tag == "header":
+        if why == "comment" or tag in NEVER or tag == "header":
             return False
         if any_article:
             return article_1 > article_0 and 2 * (article_1 - article_0) >= sums[-1][1]
@@ -180,11 +204,11 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         flush()
         if not closing and tag not in VOID and not single:
             why = is_outside(tag, attributes, articles > 0)
-            if why and (why == "hidden" or not holds_text(k - 1, tag)):
+            if why and (why == "hidden" or not holds_text(k - 1, tag, why)):
                 k = ends[k - 1]
                 at = tags[k - 1][1] if k and tags[k - 1][2] and tags[k - 1][3] == tag else tags[k][0] if k < len(tags) else len(page)
                 links = 0
-                out.append(("", 0, region if articles else 0))
+                out.append(("", 0, 0, region if articles else 0))
                 continue
         if tag in ARTICLE and not single:
             region += not closing and not articles
@@ -194,43 +218,54 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def score(line: tuple[str, int, int, int]) -> int:
+    """Of a line in an article all its characters; outside, those in links count against the others."""
+    _, plain, linked, region = line
+    return plain + linked if region else plain - linked
+
+
 def main_text(page: str | None) -> str:
-    """Lines between surge and dive, on every page. A surge is a window of WINDOW lines with SURGE characters outside links, and
-    it dives where a window has none. No window reaches into or out of an article, nor over a gap outside of articles.
+    """Lines between surge and dive, on every page. A surge is a window of WINDOW lines that scores SURGE, or half of the page's best
+    window where that is less, or anything within an article; it dives where a window scores nothing. No window reaches into or out of an article, nor over a gap outside of articles.
+    Nothing between surge and dive is left out.
 
-    An article's characters weigh WEIGHT each, and its surge is scaled to half of its text where that is less, so that short ones
-    surge too; of several, those under the largest text by SHARE weigh nothing. Outside of articles a surge is scaled to the
-    largest article.
+    Of several articles, those under the largest text by SHARE are teasers. A run of lines outside of articles must have as much text as all
+    articles, else it is none of the main text; on a page without articles, runs are chosen by their windows alone.
     """
-    runs: list[list[tuple[str, int, int]]] = [[]]
+    runs: list[list[tuple[str, int, int, int]]] = [[]]
     for line in lines_of(page or ""):
-        if not line[0] and not line[2] or runs[-1] and runs[-1][-1][2] != line[2]:
+        if not line[0] and not line[3] or runs[-1] and runs[-1][-1][3] != line[3]:
             runs.append([])
         if line[0]:
             runs[-1].append(line)
+    runs = [r for r in runs if r]
     sizes: dict[int, int] = {}
     for run in runs:
-        for _, n, region in run:
-            sizes[region] = sizes.get(region, 0) + n
-    body = sizes.pop(0, 0)
-    surge = max(SURGE, max(sizes.values(), default=0) / SHARE)
-    largest = max([body if body >= surge else 0, *sizes.values()])
+        sizes[run[0][3]] = sizes.get(run[0][3], 0) + sum(map(score, run))
+    sizes.pop(0, None)
+    windows = [[sum(map(score, run[i : i + WINDOW])) for i in range(len(run))] for run in runs]
+    best = {run[0][3]: 0 for run in runs}
+    for run, sums in zip(runs, windows, strict=True):
+        best[run[0][3]] = max(best[run[0][3]], *sums)
+    outside = [sum(max(0, x) for x in map(score, run)) for run in runs if not run[0][3]]
+    articles = sum(sizes.values())
+    largest = max([*sizes.values(), *(n for n in outside if n >= articles)], default=0)
     kept = []
-    for run in filter(None, runs):
-        region = run[0][2]
-        weight = 1 if not region else WEIGHT if len(sizes) == 1 or sizes[region] * SHARE >= largest else 0
-        least, i = min(SURGE, max(1, WEIGHT * sizes[region] / 2)) if region else surge, 0
-        sums = [weight * sum(n for _, n, _ in run[i : i + WINDOW]) for i in range(len(run))]
+    for run, sums in zip(runs, windows, strict=True):
+        region = run[0][3]
+        if region and sizes[region] * SHARE < largest or not region and sizes and sum(max(0, x) for x in map(score, run)) < max(articles, SURGE):
+            continue
+        least, i = 1 if region else max(1, min(SURGE, best[region] / 2)), 0
         while i < len(run):
-            if sums[i] < least or not region and not run[i][1]:
+            if sums[i] < least or not region and score(run[i]) <= 0:
                 i += 1
                 continue
             end = i
             while end < len(run) and sums[end] > 0:
                 end += 1
-            while end > i and not run[end - 1][1]:
+            while not region and end > i and score(run[end - 1]) <= 0 and end == len(run):
                 end -= 1
-            kept += [text for text, _, _ in run[i:end]]
+            kept += [line[0] for line in run[i:end]]
             i = end + 1
     return " ".join(kept)
 
