@@ -112,3 +112,23 @@ def clipped_interval(start: Column, end: Column, first: float, last: float, spee
     """An interval cut to a crop of time, moved to its start and sped up; null if nothing is left."""
     a, b = F.greatest(start, F.lit(first)), F.least(end, F.lit(last))
     return F.when(b > a, F.struct(((a - first) / speed).alias("start"), ((b - first) / speed).alias("end")))
+
+
+def headings_in_order(headings: Column, text: Column) -> Column:
+    """The headings that stand in the text, each sought behind the one before, and from the start if it isn't there; a place counts once.
+
+    The state of the pass is the place behind the last heading, the places taken, and the headings kept. Empty and null headings are passed over;
+    a null text has none.
+    """
+    place = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
+    start = F.struct(F.lit(1).alias("cursor"), F.filter(F.array(place), lambda p: p["end"] < 0).alias("taken"), F.filter(F.array(F.lit("")), lambda x: x != "").alias("kept"))
+
+    def seek(s: Column, h: Column) -> Column:
+        ahead = F.call_function("locate", h, text, s["cursor"])
+        at = F.when(ahead > 0, ahead).otherwise(F.call_function("locate", h, text, F.lit(1)))
+        span = F.struct(at.alias("start"), (at + F.length(h)).alias("end"))
+        new = (F.length(h) > 0) & (at > 0) & ~F.exists(s["taken"], lambda p: (p["start"] == span["start"]) & (p["end"] == span["end"]))
+        taken, kept = F.concat(s["taken"], F.array(span)), F.concat(s["kept"], F.array(h))
+        return F.when(F.coalesce(new, F.lit(False)), F.struct(span["end"].alias("cursor"), taken.alias("taken"), kept.alias("kept"))).otherwise(s)
+
+    return F.aggregate(F.coalesce(headings, F.array().cast("array<string>")), start, seek)["kept"]

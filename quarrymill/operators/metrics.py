@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -108,3 +110,32 @@ def rouge_l(pairs: DataFrame, prediction: str, target: str) -> DataFrame:
     n, m = F.size(prediction), F.size(target)
     scored = pairs.withColumn("lcs", lcs(prediction, target))
     return scored.withColumn("f1", F.when((n == 0) & (m == 0), 1.0).when((n == 0) | (m == 0) | (F.col("lcs") == 0), 0.0).otherwise(2 * F.col("lcs") / (n + m)))
+
+
+#: Distribution of the number of times that one row of many is drawn in a sample of their number: Poisson with mean 1, up to 12.
+POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(12)]
+
+
+def unit(seed: int, *keys: Column) -> Column:
+    """A number from 0 to 1, the same for the same keys in any plan and in any engine that has MD5."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(2**48)
+
+
+def bootstrap_mean(df: DataFrame, ident: str, value: str, *by: str, replicates: int = 200, level: float = 0.95, seed: int = 0) -> DataFrame:
+    """Columns by, n, mean, low, high: the mean of a value and its interval over ``replicates`` resampled means, in one pass.
+
+    In a replicate a row counts as often as a hash of its id and the replicate says, by a Poisson distribution with mean 1. Each task adds up a
+    sum and a count for each replicate, which is all that is shuffled. Low and high are the replicates at the level's ends, by rank. Null values are passed
+    over; a group without values has no row. Repeated ids count alike. Rows with a null id count alike, too.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.coalesce(F.col(ident).cast("string"), F.lit("")).alias("_id"), F.col(value).cast("double").alias("_x"))
+    each = rows.select(*by, "_x", "_id", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_r")).withColumn("_u", unit(seed, F.col("_id"), F.col("_r")))
+    times = sum((F.when(F.col("_u") >= p, 1).otherwise(0) for p in POISSON), F.lit(0))
+    sums = each.withColumn("_w", times).groupBy(*by, "_r").agg(F.sum("_w").alias("_n"), F.sum(F.col("_w") * F.col("_x")).alias("_s"))
+    means = sums.groupBy(*by).agg(F.array_sort(F.collect_list(F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))).alias("_m"))
+    at = lambda share: F.get("_m", F.floor(F.size("_m") * F.lit(share)).cast("int"))
+    low, high = at((1 - level) / 2), F.get("_m", F.ceil(F.size("_m") * F.lit((1 + level) / 2)).cast("int") - 1)
+    whole = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg("_x").alias("mean"))
+    joined = whole.join(means, list(by)) if by else whole.where("n > 0").crossJoin(F.broadcast(means))  # one row each
+    return joined.select(*by, "n", "mean", low.alias("low"), high.alias("high"))

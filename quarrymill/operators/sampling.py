@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrymill.operators.lineage import Scratch
+from quarrymill.operators.ranks import placed
+from quarrymill.sources.ship import ship
+
+#: Rows of a block of prefix sums, and draws that a task looks up in one.
+BLOCK = 1 << 16
+#: Weights are whole numbers of this part, so that sums are exact in any order.
+UNIT = 1 << 20
+
 
 def sample_weights(df: DataFrame, task: str, family: str, task_weight: Column) -> DataFrame:
     """``weight``: the task's, divided by the number of rows of the family in it; a family weighs the same whatever its size."""
@@ -18,6 +29,48 @@ def weighted_sample(df: DataFrame, ident: str, weight: str, n: int, seed: int =
     return df.where(F.col(weight) > 0).withColumn("_key", F.log(u) / F.col(weight)).orderBy(F.desc("_key"), ident).limit(n).drop("_key")
 
 
+def weighted_draws(df: DataFrame, ident: str, weight: str, n: int, seed: int = 0, block: int = BLOCK) -> DataFrame:
+    """n rows ``draw`` (0 to n - 1) and ident: draws with replacement, each row as likely as its weight; the same in any plan.
+
+    Rows stand in the order of their ids on a line of whole numbers, each as long as its weight; draw k is the row at a place that a hash of
+    seed and k picks. Blocks of rows are found by their first places, a number a block, which all tasks get: eight bytes for each ``block`` rows.
+    A block's draws go to as many tasks as they need, each with the block's rows, so that a row with a third of all weight is no bottleneck.
+
+    Weights that are null, not finite or under half of 1 / UNIT count as none; without any weight there are no draws. Weights may sum to 2 ** 42, at 60 bits of hash.
+    Repeated ids are rows of their own.
+    """
+    spark, scratch = df.sparkSession, Scratch(df.sparkSession)
+    w = F.col(weight).cast("double")
+    units = F.when(w.isNotNull() & ~F.isnan(w) & (w < float("inf")), F.round(w * UNIT)).otherwise(0.0).cast("long")
+    rows = df.select(F.col(ident), units.alias("_w"), F.lit(0).alias("_all")).where("_w > 0")
+    line = scratch.keep(placed(rows, scratch, "_all", [F.col(ident)], "_w").select(ident, "_w", "before", F.floor(F.col("pos") / block).cast("long").alias("_block")))
+    total, blocks = line.agg(F.sum("_w"), F.max("_block")).first()
+    firsts = [r[0] for r in line.groupBy("_block").agg(F.min("before").alias("b")).orderBy("_block").select("b").collect()]  # a number a block
+    kind = df.schema[ident].dataType.simpleString()
+    if not total or n <= 0:
+        return df.select(F.lit(0).cast("long").alias("draw"), ident).limit(0)
+    ship(spark)
+
+    def locate(batches):
+        for b in batches:
+            found = np.searchsorted(np.array(firsts, np.int64), b.column("at").to_numpy(), side="right") - 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.int64())], names=[*b.schema.names, "_block"])
+
+    places = spark.range(n).select(F.col("id").alias("draw"), F.expr(f"(CAST(conv(substring(md5(CAST('{int(seed)}:' || id AS BINARY)), 1, 15), 16, 10) AS DECIMAL(19, 0)) * CAST({total} AS DECIMAL(19, 0))) div {1 << 60}L").alias("at"))
+    draws = scratch.keep(places.mapInArrow(locate, "draw long, at long, _block long").withColumn("_part", F.pmod(F.xxhash64("draw"), F.lit(2**31))))
+    parts = draws.groupBy("_block").agg(F.ceil(F.count("*") / block).cast("long").alias("_parts"))
+    dealt = draws.join(parts, "_block").withColumn("_part", F.pmod(F.col("_part"), F.col("_parts"))).drop("_parts")
+    held = line.join(parts, "_block").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+
+    def look_up(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        rows = rows.sort_by("before")
+        at = np.searchsorted(rows["before"].to_numpy(), asked["at"].to_numpy(), side="right") - 1
+        return pa.table({"draw": asked["draw"], ident: rows[ident].take(pa.array(at, pa.int64()))})
+
+    keys = ["_block", "_part"]
+    return held.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(look_up, f"draw long, `{ident}` {kind}")
+
+
 def batches(df: DataFrame, keys: list[str], order: list[Column], size: int) -> DataFrame:
     """``batch``: rows of equal keys, numbered in this order, by ``size``."""
     return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1) / size).cast("long"))
