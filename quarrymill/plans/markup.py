@@ -28,7 +28,7 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: For the given pages: raw elements and comments taken out, the named entities that they have.
 CLEAN = r"regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', ' ', 'g')"
-PLAIN = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&quot;', '"'), '&#x27;', ''''), '&gt;', '>'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \t\n\r\x0B\f]+', ' ', 'g'))"
+PLAIN = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&quot;', chr(34)), '&#x27;', chr(39)), '&gt;', '>'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \t\n\r\x0B\f]+', ' ', 'g'))"
 
 
 @query(f"""
