@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,3 +30,20 @@ def placed(rows: DataFrame, scratch: Scratch, key: str, order: list[Column], siz
         inside = Window.partitionBy(key, "_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
         out = out.withColumn("before", F.col("_sum") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
     return out.drop("_file", "_at", "_shift", "_sum", "_key")
+
+
+def each_block(queries: DataFrame, ident: str, size: int, work: Callable[[pd.DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` gives for all blocks of ``size`` queries. The driver holds one block at a time, and each block's rows are written before
+    the next one, so that neither the plan nor what is held grows with the queries; a single block is left to be computed when it is read.
+    """
+    scratch = Scratch(queries.sparkSession)
+    held = scratch.keep(placed(queries.withColumn("_all", F.lit(0)), scratch, "_all", [F.col(ident)]).withColumn("_block", F.floor(F.col("pos") / size).cast("long")).drop("_all", "pos"))
+    last = held.agg(F.max("_block")).first()[0] or 0
+    block = lambda b: held.where(F.col("_block") == b).drop("_block").toPandas()
+    if not last:
+        return work(block(0))
+    folder = f"{scratch.folder}/blocks"
+    for b in range(last + 1):
+        out = work(block(b))
+        out.write.mode("append").parquet(folder)
+    return queries.sparkSession.read.schema(out.schema).parquet(folder)

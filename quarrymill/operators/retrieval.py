@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrymill.operators.ranks import each_block
 from quarrymill.sources.ship import ship
 
 #: Queries of one block: what a task holds of them.
@@ -18,37 +19,38 @@ def nearest(queries: DataFrame, items: DataFrame, ident: str, vector: str, most:
     each query, itself left out; in the same ``same`` and with another ``other`` where these columns are named.
 
     Queries are a stated set, taken in blocks of BLOCK; each block goes to all tasks, which keep its best items of their own rows, so
-    that the shuffle has ``most`` rows a query and task.
+    that the shuffle has ``most`` rows a query and task. The driver holds a block at a time. The search is exact: recall is 1.
     """
     ship(items.sparkSession)
     columns = [c for c in (same, other) if c]
-    asked = queries.select(F.col(ident).cast("long"), vector, *[F.col(c).cast("string") for c in columns]).where(F.col(vector).isNotNull()).toPandas()
-    best = None
-    for at in range(0, max(1, len(asked)), BLOCK):
-        block = asked.iloc[at : at + BLOCK]
+    shape = [F.col(ident).cast("long").alias(ident), vector, *[F.col(c).cast("string").alias(c) for c in columns]]
+    rows = items.where(F.col(vector).isNotNull()).select(*shape)
+
+    def among_all(block: pd.DataFrame) -> DataFrame:
         held = items.sparkSession.sparkContext.broadcast((block[ident].to_numpy(), np.array(block[vector].tolist(), dtype=np.float64), [block[c].to_numpy(object) for c in columns]))
 
-        def search(batches, held=held):
+        def search(batches):
             ids, vectors, keys = held.value
-            for rows in batches:
-                if not len(rows) or not len(ids):
-                    continue
-                own = rows[ident].to_numpy()
-                found = np.round(vectors @ np.array(rows[vector].tolist(), dtype=np.float64).T, 9)
-                found[ids[:, None] == own[None, :]] = -np.inf
-                for c, k in zip(columns, keys, strict=True):
-                    equal = k[:, None] == rows[c].to_numpy(object)[None, :]
-                    found[~equal if c == same else equal] = -np.inf
-                order = np.lexsort((np.broadcast_to(own, found.shape), -found), axis=1)[:, :most]
-                score = np.take_along_axis(found, order, axis=1)
-                q, r = np.nonzero(score > -np.inf)
-                yield pd.DataFrame({"query": ids[q], "item": own[order[q, r]], "similarity": score[q, r]})
+            item, score = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+            for whole in batches if len(ids) else ():
+                for start in range(0, len(whole), BLOCK):
+                    part = whole.iloc[start : start + BLOCK]
+                    own = part[ident].to_numpy()
+                    found = np.round(vectors @ np.array(part[vector].tolist(), dtype=np.float64).T, 9)
+                    found[ids[:, None] == own[None, :]] = -np.inf
+                    for c, k in zip(columns, keys, strict=True):
+                        equal = k[:, None] == part[c].to_numpy(object)[None, :]
+                        found[~equal if c == same else equal] = -np.inf
+                    item, score = np.hstack([item, np.broadcast_to(own, found.shape)]), np.hstack([score, found])
+                    order = np.lexsort((item, -score), axis=1)[:, :most]
+                    item, score = np.take_along_axis(item, order, axis=1), np.take_along_axis(score, order, axis=1)
+            q, r = np.nonzero(score > -np.inf)
+            yield pd.DataFrame({"query": ids[q], "item": item[q, r], "similarity": score[q, r]})
+
+        rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "item"))
+        return rows.mapInPandas(search, "query long, item long, similarity double").withColumn("rank", rank.cast("long")).where(F.col("rank") <= most)
 
-        rows = items.where(F.col(vector).isNotNull()).select(F.col(ident).cast("long").alias(ident), vector, *[F.col(c).cast("string").alias(c) for c in columns])
-        part = rows.mapInPandas(search, "query long, item long, similarity double")
-        best = part if best is None else best.union(part)
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "item"))
-    return best.withColumn("rank", rank.cast("long")).where(F.col("rank") <= most)
+    return each_block(queries.where(F.col(vector).isNotNull()).select(*shape), ident, BLOCK, among_all)
 
 
 def hard_negatives(queries: DataFrame, items: DataFrame, ident: str, vector: str, split: str, family: str, most: int = 4) -> DataFrame:

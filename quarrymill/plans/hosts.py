@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.sources.tables import table
 from quarrymill.streaming import hosts
+from quarrymill.streaming.registry import registry
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -65,3 +66,10 @@ def byte_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     e = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.sum("value").alias("s"))
     return e.select("user_id", "event_type", F.round("s", 4).alias("spent"), F.round(F.sum("s").over(Window.partitionBy("user_id")), 4).alias("spent_by_host"))
+
+
+@query()
+def seen_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as keys of a registry with expiry and capacity: which events are of a user not seen lately."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"))
+    return registry(e, "key", "ts", "event_id", capacity=64, ttl=3600.0)

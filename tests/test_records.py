@@ -56,7 +56,10 @@ def test_scores(spark):
     assert [r[0] for r in captions.select(selection.caption_garbage(F.col("c"))).collect()] == [False, True, True, True, False, False]
 
 
-def test_nearest(spark):
+@pytest.mark.parametrize("block", [2048, 2])
+def test_nearest(spark, monkeypatch, block):
+    monkeypatch.setattr(retrieval, "BLOCK", block)
+    monkeypatch.setattr(metrics, "QUERY_BLOCK", block)
     rng = np.random.default_rng(2)
     v = rng.integers(-3, 4, (60, 5)).astype(float)
     rows = [(i, v[i].tolist(), "s" if i % 3 else "t", i % 4) for i in range(60)] + [(100, None, "s", 0)]
@@ -68,6 +71,10 @@ def test_nearest(spark):
         others = [i for i in range(60) if i != q and rows[i][2] == rows[q][2] and rows[i][3] != rows[q][3]]
         best = sorted(others, key=lambda i: (-float(v[q] @ v[i]), i))[:4]
         assert sorted(got[q]) == list(enumerate(best, 1))
+    best = {r["id"]: (r["best_same"], r["best_other"]) for r in metrics.retrieval_best(df.where("id % 20 = 0 and v is not null"), df.where("v is not null"), "id", "v", "family").collect()}
+    for q in (0, 20, 40):
+        dots = lambda same: max(float(v[q] @ v[i]) for i in range(60) if i != q and (rows[i][3] == rows[q][3]) == same)
+        assert best[q] == (dots(True), dots(False))
     assert retrieval.nearest(df.limit(0), df, "id", "v", 3).count() == 0
     assert retrieval.recall_summary(df.where("id = 0"), df, "id", "v", "family").first().n_queries == 1
 
