@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from bisect import bisect_left
-from collections import defaultdict
+from collections.abc import Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import map_batches, packed, unpacked
+from quarrymill.llm.common import SLICE, map_batches, packed, unpacked
+from quarrymill.operators.lineage import Scratch
+from quarrymill.sources.ship import ship
 
 WINDOW = 10
-#: Test sets over this many bytes are joined with the documents' windows instead of being broadcast.
-MOST_BROADCAST = 32 << 20
+#: Bytes of passages and items in one automaton, which takes up to 50 times as much memory.
+PART_BYTES = 2 << 20
 #: Byte for byte: A-Z to lower case; what is no letter, digit or part of a character beyond ASCII becomes a space. Offsets stay.
 FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
 ONE_WORD = re.compile(rb"[^ ]+")
@@ -76,21 +78,31 @@ def spans_of(text: bytes, hit: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
-def scan(automaton: ahocorasick.Automaton, text: bytes | None) -> tuple[int, list[tuple[int, int]], set[str]]:
-    """Number of words, the runs of words that are hit (first, end) in order and apart, and the items."""
+def line_of(text: bytes | None) -> tuple[int, str]:
+    """Number of words, and the words with a space before, between and behind them."""
     w = words_of(text)
-    if not w or not len(automaton):
-        return len(w), [], set()
-    line = b" " + b" ".join(w) + b" "
-    line = line.decode(errors="replace")
+    return len(w), f" {b' '.join(w).decode(errors='replace')} " if w else ""
+
+
+def matches(automaton: ahocorasick.Automaton, line: str) -> tuple[list[tuple[int, int]], set[str]]:
+    """Places of passages (first word, word behind the last) and the items that have them."""
     found, items, starts = [], set(), None
+    if not line or not len(automaton):
+        return found, items
     for last, (n, whose) in automaton.iter(line):
         if starts is None:  # places of the spaces before each word
             starts = [i for i, c in enumerate(line) if c == " "]
         end = bisect_left(starts, last)
         found.append((end - n, end))
         items.update(whose)
-    return len(w), runs(found), items
+    return found, items
+
+
+def scan(automaton: ahocorasick.Automaton, text: bytes | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+    """Number of words, the runs of words that are hit (first, end) in order and apart, and the items."""
+    n, line = line_of(text)
+    found, items = matches(automaton, line)
+    return n, runs(found), items
 
 
 def runs(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -106,97 +118,70 @@ def runs(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
 FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
-#: The automaton that this worker has built last, by the digest of its passages: later tasks of the worker use it again.
+#: The automaton that this worker has built last, by its name: later batches and tasks of the worker use it again.
 BUILT: dict = {}
 
 
-def built_automaton(digest: str, passages: dict[bytes, list[str]]) -> ahocorasick.Automaton:
-    if BUILT.get("digest") != digest:
+def built(name: str, part: Broadcast) -> ahocorasick.Automaton:
+    """The automaton of a part of the passages; the one before it and the passages themselves are dropped."""
+    if BUILT.get("name") != name:
         BUILT.clear()
-        BUILT.update(digest=digest, automaton=automaton_of(passages))
+        BUILT.update(name=name, automaton=automaton_of(part.value))
+        part.__dict__.pop("_value", None)  # is read again from its file if the part comes up once more
     return BUILT["automaton"]
 
 
-def scan_by_automaton(rows: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
-    passages = defaultdict(list)
-    for r in windows.collect():  # at most MOST_BROADCAST bytes, as the caller has checked
-        passages[bytes(r["passage"])].append(r["item"])
-    digest = hashlib.sha256(repr(sorted((p, sorted(whose)) for p, whose in passages.items())).encode()).hexdigest()
-    shared = rows.sparkSession.sparkContext.broadcast(dict(passages))
-
-    def start():
-        automaton = built_automaton(digest, shared.value)
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, hits, items, spans = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                n, hit, whose = scan(automaton, text)
-                counts.append(n)
-                hits.append(sum(b - a for a, b in hit))
-                items.append(sorted(whose))
-                spans.append(spans_of(text, hit) if hit else [])
-            place = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, place)], names=["row", "n_words", "n_hit", "items", "spans"])
-
-        return step
-
-    return map_batches(rows.select("row", F.col("text").cast("binary")), f"row {kind}, {FOUND}", start)
-
-
-def scan_by_join(rows: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
-    """For test sets too large to broadcast: the windows' hashes are joined with those of the documents, by text and place. Rows of one
-    text have the same hits, so that its digest names them, also if a lost task is computed anew."""
-    lengths = sorted(r[0] for r in windows.select("words").distinct().collect())  # at most WINDOW values
-    rows = rows.withColumn("uid", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-
-    def start_docs():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, places, sizes, hashes = [], [], [], []
-            for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                w = words_of(text)
-                for k in lengths:
-                    n = max(0, len(w) - k + 1)
-                    ids += [uid] * n
-                    places += range(n)
-                    sizes += [k] * n
-                    hashes += [xxhash.xxh3_128_digest(b" ".join(w[i : i + k])) for i in range(n)]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32()), pa.array(hashes, pa.binary())], names=["uid", "place", "words", "h"])
-
-        return step
-
-    def start_items():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([xxhash.xxh3_128_digest(x) for x in batch.column(1).to_pylist()], pa.binary())], names=["item", "words", "h"])
-
-        return step
-
-    spread = map_batches(rows.select("uid", F.col("text").cast("binary")), "uid string, place long, words int, h binary", start_docs)
-    hits = spread.join(map_batches(windows, "item string, words int, h binary", start_items), ["words", "h"])
-    by_doc = hits.groupBy("uid").agg(F.collect_set(F.struct("place", "words")).alias("found"), F.array_sort(F.collect_set("item")).alias("items"))
-    joined = rows.join(by_doc, "uid", "left").select("row", F.col("text").cast("binary"), F.coalesce("found", F.array().cast("array<struct<place:bigint,words:int>>")).alias("found"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-
-    def start():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, hits, spans = [], [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                hit = runs([(x["place"], x["place"] + x["words"]) for x in found])
-                counts.append(len(words_of(text)))
-                hits.append(sum(b - a for a, b in hit))
-                spans.append(spans_of(text, hit) if hit else [])
-            place = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), batch.column(3), pa.array(spans, place)], names=["row", "n_words", "n_hit", "items", "spans"])
-
-        return step
-
-    return map_batches(joined, f"row {kind}, {FOUND}", start)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+def broadcast_parts(windows: DataFrame, part_bytes: int) -> tuple[str, list[Broadcast]]:
+    """The passages with their items in parts of about ``part_bytes``, by hash, and a name for them all. The driver holds a part at a time."""
+    scratch = Scratch(windows.sparkSession)
+    held = scratch.keep(windows.groupBy("passage").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn("h", F.pmod(F.xxhash64("passage"), F.lit(1 << 30))))
+    size = held.agg(F.coalesce(F.sum(F.octet_length("passage") + F.octet_length(F.array_join("items", ","))), F.lit(0))).first()[0]
+    n = max(1, -(-size // part_bytes))
+    parts = []
+    for k in range(n):
+        rows = held.where(F.col("h") % n == k).select("passage", "items").collect()
+        parts.append(windows.sparkSession.sparkContext.broadcast({bytes(r["passage"]): list(r["items"]) for r in rows}))
+    scratch.drop(held)
+    return uuid.uuid4().hex, parts
+
+
+def scanned(rows: DataFrame, windows: DataFrame, kind: str, part_bytes: int) -> DataFrame:
+    """Each Arrow batch of texts goes through the automata of all parts in turn, and what they find is put together."""
+    ship(rows.sparkSession)
+    name, parts = broadcast_parts(windows, part_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE if len(parts) == 1 else whole.num_rows):
+                batch = whole.slice(at, SLICE) if len(parts) == 1 else whole
+                texts = batch.column(1).to_pylist()
+                lines = [line_of(x) for x in texts]
+                found: list[list] = [[] for _ in texts]
+                items: list[set] = [set() for _ in texts]
+                for k, part in enumerate(parts):
+                    automaton = built(f"{name}-{k}", part)
+                    for i, (_, line) in enumerate(lines):
+                        places, whose = matches(automaton, line)
+                        found[i] += places
+                        items[i] |= whose
+                hits = [runs(x) for x in found]
+                spans = [spans_of(x or b"", hit) if hit else [] for x, hit in zip(texts, hits, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([n for n, _ in lines], pa.int64()), pa.array([sum(b - a for a, b in hit) for hit in hits], pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, place)],
+                    names=["row", "n_words", "n_hit", "items", "spans"],
+                )
+
+    return rows.select("row", F.col("text").cast("binary")).mapInArrow(run, f"row {kind}, {FOUND}")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``n_hit``, ``items`` (sorted array of strings) and ``spans`` (code points of the original).
 
     Words are runs of letters, digits and characters beyond ASCII, with A-Z in lower case. A passage is a run of ``window`` words of an
     item, or all words of a shorter one; a document's word inside any occurrence of a passage is hit. The documents are read once and
-    not shuffled. The test set is broadcast only if its passages have at most ``most_broadcast`` bytes; otherwise the windows are joined.
+    not shuffled. The passages are cut into parts of about ``part_bytes``, by hash; a task builds one part's automaton, passes a batch of texts
+    through it, and drops it for the next part's, so that its memory doesn't grow with the test set.
 
     Null and empty texts have no words and no hits, and items without words match nothing. Items without an id count under the
     empty string; repeated items count once per id. Repeated documents are reported row by row. Input columns of the same names
@@ -205,8 +190,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     rows = packed(docs, text=docs[f"`{text_col}`"])
     kind = rows.schema["row"].dataType.simpleString()
     windows = item_windows(benchmark, item_id, item_text, window)
-    size = windows.agg(F.coalesce(F.sum(F.octet_length("passage") + F.octet_length("item")), F.lit(0))).first()[0]
-    found = (scan_by_automaton if size <= most_broadcast else scan_by_join)(rows, windows, kind)
+    found = scanned(rows, windows, kind, part_bytes)
     return unpacked(found, docs.columns, n_words=F.col("n_words"), n_hit=F.col("n_hit"), items=F.col("items"), spans=F.col("spans"))
 
 

@@ -324,9 +324,12 @@ def test_decontaminate(spark):
     assert got[5].items == ["", "1", "10"] and got[0].items == ["", "1"]
     span = got[6].spans[0]
     assert texts[6][span.start : span.end] == "tiny item" and texts[0][got[0].spans[0].start : got[0].spans[0].end] == "W1 w2-w3 w4 w5 w6 w7 w8 w9 w10"
-    joined = {r.doc_id: r for r in decontaminate(docs, bench, most_broadcast=0).collect()}
+    joined = {r.doc_id: r for r in decontaminate(docs, bench, part_bytes=64).collect()}
     assert all(joined[i][c] == got[i][c] for i in got for c in ("n_words", "n_hit", "items", "spans"))
     assert {r.n_hit for r in decontaminate(docs, bench.limit(0)).collect()} == {0}
+    assert decontaminate(docs.limit(0), bench).count() == 0
+    twice = decontaminate(docs.union(docs).union(docs), bench, part_bytes=64).where("doc_id = 5").collect()
+    assert len(twice) == 3 and {(r.n_hit, tuple(r.items)) for r in twice} == {(12, ("", "1", "10"))}
 
 
 def test_scan_against_brute_force():
