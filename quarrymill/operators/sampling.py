@@ -71,6 +71,51 @@ def weighted_draws(df: DataFrame, ident: str, weight: str, n: int, seed: int = 0
     return held.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(look_up, f"draw long, `{ident}` {kind}")
 
 
+def claimed_negatives(df: DataFrame, ident: str, negatives: str, most: int, seed: int = 0) -> DataFrame:
+    """Columns ident, anchor, place: each row once, with the anchor that it stands with (itself at place 0).
+
+    In the order of a hash of seed and id, a row that none has claimed becomes an anchor and claims its ``negatives`` (an array of ids) that are
+    still free, in their order, ``most`` of them at most. That is settled in rounds: a row acts as soon as no undecided row before it could claim
+    it or one of its negatives, and all such rows act at once. As the order is random, a chain of n claims takes a number of
+    rounds in proportion to the square of log n, not n. Negatives that are null, unknown, repeated or the row itself count as none; null ids have
+    no part in it, and repeated ids are an error.
+    """
+    scratch = Scratch(df.sparkSession)
+    known = df.where(F.col(ident).isNotNull()).select(F.col(ident).alias("a"), negatives)
+    order = lambda c: F.struct(F.xxhash64(F.lit(seed), c), c)
+    listed = known.select("a", F.posexplode(negatives).alias("rank", "x")).where("x is not null and x <> a").groupBy("a", "x").agg(F.min("rank").alias("rank"))
+    edges = scratch.keep(listed.join(known.select(F.col("a").alias("x")), "x", "left_semi").withColumn("o", order(F.col("a"))))
+    settled = None
+    while not edges.isEmpty():
+        ends = edges.select("x", "o").unionAll(edges.select("x", order(F.col("x")))).unionAll(edges.select("a", "o"))
+        first = ends.groupBy("x").agg(F.min("o").alias("m"))
+        waiting = edges.join(first, "x").where("m <> o").select("a").distinct()
+        acting = scratch.keep(first.select(F.col("x").alias("a"), "m").where(F.col("m") == order(F.col("a"))).select("a").join(waiting, "a", "left_anti"))
+        rank = F.row_number().over(Window.partitionBy("a").orderBy("rank"))
+        claims = edges.join(acting, "a", "left_semi").withColumn("place", rank).where(F.col("place") <= most)
+        part = scratch.keep(claims.select(F.col("x").alias(ident), F.col("a").alias("anchor"), "place").unionAll(acting.select(F.col("a").alias(ident), F.col("a").alias("anchor"), F.lit(0).alias("place"))))
+        settled = part if settled is None else settled.unionAll(part)
+        gone = part.select(F.col(ident).alias("x"))
+        done, edges = edges, scratch.keep(edges.join(gone, "x", "left_anti").join(gone.select(F.col("x").alias("a")), "a", "left_anti"))
+        scratch.drop(done, acting)
+    alone = known.select(F.col("a").alias(ident))
+    if settled is not None:
+        alone = alone.join(settled.select(ident), ident, "left_anti")
+    singles = alone.select(ident, F.col(ident).alias("anchor"), F.lit(0).alias("place"))
+    return singles if settled is None else settled.unionAll(singles)
+
+
+def hard_negative_batches(df: DataFrame, ident: str, negatives: str, size: int, seed: int = 0) -> DataFrame:
+    """Columns ident, anchor, place, batch: anchors with the negatives that they have claimed, in batches of ``size`` rows at most, filled in the
+    order of the anchors' hashes; an anchor and its negatives are never divided."""
+    from quarrymill.sources.sinks import filled_shards
+
+    rows = claimed_negatives(df, ident, negatives, size - 1, seed)
+    units = rows.groupBy("anchor").agg(F.count("*").alias("n")).withColumn("_all", F.lit("all"))
+    filled = filled_shards(units, "_all", [F.xxhash64(F.lit(seed), F.col("anchor")), F.col("anchor")], "n", size, size)
+    return rows.join(filled.select("anchor", F.col("shard").alias("batch")), "anchor").select(ident, "anchor", "place", "batch")
+
+
 def batches(df: DataFrame, keys: list[str], order: list[Column], size: int) -> DataFrame:
     """``batch``: rows of equal keys, numbered in this order, by ``size``."""
     return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1) / size).cast("long"))

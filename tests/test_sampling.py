@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions.wording import headings_in_order
 from quarrymill.operators.metrics import POISSON, bootstrap_mean
-from quarrymill.operators.sampling import UNIT, weighted_draws
+from quarrymill.operators.sampling import UNIT, claimed_negatives, hard_negative_batches, weighted_draws
 
 
 def plain_draws(rows, n, seed):
@@ -85,3 +85,35 @@ def test_headings(spark):
     got = {r["i"]: r["k"] for r in df.select("i", headings_in_order(F.col("h"), F.col("t")).alias("k")).collect()}
     assert got.pop(900) == [] and got.pop(901) == []
     assert all(got[i] == plain_headings(h, t) for i, (h, t) in enumerate(rows))
+
+
+def plain_claims(rows, order, most):
+    used, out = set(), {}
+    for a in order:
+        if a in used:
+            continue
+        used.add(a)
+        out[a] = (a, 0)
+        for x in dict.fromkeys(rows[a] or []):
+            if x in rows and x not in used and out and sum(v[0] == a for v in out.values()) <= most:
+                used.add(x)
+                out[x] = (a, sum(v[0] == a for v in out.values()))
+    return out
+
+
+@pytest.mark.parametrize(("n", "most", "kind"), [(40, 3, "random"), (60, 1, "random"), (30, 7, "hub"), (200, 2, "chain")])
+def test_claims_and_batches(spark, n, most, kind):
+    rng = random.Random(n)
+    lists = {"random": lambda i: [rng.choice([*range(n), 999, None, i]) for _ in range(rng.randrange(6))] or None, "hub": lambda i: [0, 1, (i + 1) % n], "chain": lambda i: [i + 1]}
+    rows = {i: lists[kind](i) for i in range(n)}
+    df = spark.createDataFrame(list(rows.items()), "id long, negatives array<long>").repartition(3)
+    order = [r["id"] for r in df.orderBy(F.xxhash64(F.lit(5), F.col("id")), "id").collect()]
+    expected = plain_claims(rows, order, most)
+    got = {r["id"]: (r["anchor"], r["place"]) for r in claimed_negatives(df, "id", "negatives", most, 5).collect()}
+    members = lambda claims: {a: sorted(x for x, (b, _) in claims.items() if b == a) for a in {b for b, _ in claims.values()}}
+    assert members(got) == members(expected)
+    batches = {}
+    for r in hard_negative_batches(df, "id", "negatives", most + 1, 5).collect():
+        batches.setdefault(r["batch"], []).append(r)
+    assert sorted(r["id"] for b in batches.values() for r in b) == list(range(n)) and max(map(len, batches.values())) <= most + 1
+    assert all(len({r["batch"] for b in batches.values() for r in b if r["anchor"] == a}) == 1 for a in members(got))
