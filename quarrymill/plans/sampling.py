@@ -1,4 +1,4 @@
-"""Queries on samples and shards: draws, intervals by resampling, shards by bytes, headings in order."""
+"""Queries on samples and what is stored: draws, intervals by resampling, shards by bytes, headings in order, upserts."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import wording
 from quarrymill.operators import metrics, sampling
+from quarrymill.operators.lineage import Scratch
 from quarrymill.sources import sinks
+from quarrymill.sources.store import StoredTable
 from quarrymill.sources.tables import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -84,3 +86,20 @@ def headings_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", squeezed(F.coalesce("text", F.lit(""))).alias("t"), lines.alias("h"))
     kept = d.withColumn("kept", wording.headings_in_order(F.col("h"), F.col("t")))
     return kept.select("doc_id", F.size("h").cast("long").alias("n_lines"), F.size("kept").cast("long").alias("n_kept"), F.sha2(F.array_join("kept", "\n"), 256).alias("headings_sha256"))
+
+
+@query("""
+WITH b AS (SELECT user_id, event_type, arg_max({'value': value, 'props': props, 'at': ts}, {'ts': ts, 'id': event_id}) AS r FROM events WHERE user_id IS NOT NULL GROUP BY ALL),
+c AS (SELECT *, lag(r) OVER w AS before, row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC) AS back FROM b WINDOW w AS (PARTITION BY user_id ORDER BY event_type)),
+d AS (SELECT *, before IS NULL OR before.value IS DISTINCT FROM r.value OR before.props IS DISTINCT FROM r.props AS changed FROM c)
+SELECT user_id, count(*) FILTER (WHERE changed)::BIGINT AS version, round(arg_max(r.value, event_type) FILTER (WHERE changed), 6) AS value FROM d GROUP BY user_id
+""")
+def stored_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' last events of each kind as batches for a stored table, one kind after the other, each sent twice."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "value", "props", F.struct("ts", "event_id").alias("at"))
+    schema = events.drop("event_type").schema
+    users = StoredTable(spark, Scratch(spark).folder, schema, "user_id", buckets=8)
+    for kind in sorted(r[0] for r in events.select("event_type").distinct().collect() if r[0] is not None):  # a few kinds
+        for _ in range(2):
+            users.apply(events.where(F.col("event_type") == kind), kind, "at")
+    return users.read().select("user_id", "version", F.round("value", 6).alias("value"))
