@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -20,8 +21,11 @@ TEXTS = [
 ]
 
 
+LIBRARY = cache(Tokenizer.from_file)
+
+
 def library_ids(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return LIBRARY(PATH).encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_are_the_library_s(monkeypatch):
