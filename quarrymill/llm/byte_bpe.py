@@ -163,7 +163,11 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "token_ids") -> DataFrame:
-    """The rows of ``encoded`` with ``decoded``: the bytes of all ids, one after the other. Null and empty values give empty bytes."""
+    """The rows of ``encoded`` with ``decoded``: the bytes of all ids, one after the other. Null and empty values give empty bytes.
+
+    Repeated rows and ties get equal bytes; an input column decoded is replaced. Values that aren't whole 32-bit integers are a ValueError, ids
+    that the ranks don't have a KeyError.
+    """
     rows = packed(encoded, ids=encoded[f"`{ids_col}`"])
     kind = rows.schema["row"].dataType.simpleString()
 

@@ -139,3 +139,25 @@ def test_empty_table_and_repeated_rows(spark):
     assert pack_documents(docs, PATH).count() == 0
     twice = spark.createDataFrame([(1, "one two three")] * 5, "doc_id long, text string").coalesce(1)
     assert pack_documents(twice, PATH).agg(F.sum("length")).first()[0] == 5 * len(library_ids("one two three") + [0])
+
+
+def test_broken_ids_of_byte_bpe():
+    from quarrymill.llm.byte_bpe import loaded
+
+    bpe = loaded(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert bpe.decode(b"") == b"" and bpe.decode(bpe.encode("é x")) == "é x".encode()
+    with pytest.raises(ValueError):
+        bpe.decode(b"\x01\x02\x03")
+    with pytest.raises(KeyError):
+        bpe.decode(np.array([2**31], "<u4").tobytes())
+
+
+def test_token_counts_of_nothing_and_repeats(spark):
+    from quarrymill.llm.token_counts import token_counts
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "Some words here, again"), (1, "Some words here, again"), (2, None), (None, "")], "doc_id long, text string")
+    assert token_counts(docs.limit(0), path).count() == 0
+    rows = token_counts(docs, path, limit=4).collect()
+    n = len(Tokenizer.from_file(path).encode("Some words here, again", add_special_tokens=False).ids)
+    assert sorted((r["n_tokens"], r["over_limit"]) for r in rows) == [(0, False), (0, False), (n, n > 4), (n, n > 4)]
