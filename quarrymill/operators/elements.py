@@ -18,7 +18,9 @@ BLOCKS = (*HEADINGS, "p", "li", "pre")
 OWNERS = frozenset(["picture", "audio", "video"])
 DROPPED = ("script", "style", "noscript", "template", "nav", "footer", "aside", "form")
 #: Elements whose whole text the index has.
-TEXTED = frozenset([*BLOCKS, "title", "a", "figcaption", "caption", "td", "th", "dt", "dd", "button", "option", "label"])
+TEXTED = frozenset([*BLOCKS, "title", "a", "figure", "figcaption", "caption", "td", "th", "dt", "dd", "button", "option", "label"])
+#: Of these, the ones whose text says what stands in them.
+AROUND = frozenset([*BLOCKS, "figcaption", "caption", "td", "th", "dt", "dd"])
 RAW = frozenset(["script", "style"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
@@ -37,7 +39,7 @@ IMPLIED = {
 }
 ENDED_BY = {start: tuple(t for t, (starts, _) in IMPLIED.items() if start in starts) for starts, _ in IMPLIED.values() for start in starts}
 
-ELEMENT = "at int, parent int, last int, depth int, tag string, path string, owner int, attributes map<string,string>, text string"
+ELEMENT = "at int, parent int, last int, depth int, tag string, path string, owner int, figure int, block int, attributes map<string,string>, text string"
 
 
 class ElementParser(HTMLParser):
@@ -49,7 +51,8 @@ class ElementParser(HTMLParser):
         self.open: list[int] = []
         self.count: dict[str, int] = {}
         self.texted: list[int] = []
-        self.owners: list[int] = []
+        #: Open elements by what they are for those inside of them, and the sets that say so.
+        self.nearest: tuple[tuple[frozenset[str], list[int]], ...] = ((OWNERS, []), (frozenset(["figure"]), []), (AROUND, []))
         self.words: dict[int, list[str]] = {}
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
@@ -64,8 +67,9 @@ class ElementParser(HTMLParser):
         row[2] = len(self.rows) - 1
         if self.texted and self.texted[-1] == at:
             self.texted.pop()
-        if self.owners and self.owners[-1] == at:
-            self.owners.pop()
+        for _, held in self.nearest:
+            if held and held[-1] == at:
+                held.pop()
         return tag
 
     def _reach(self, tag: str, bounds: frozenset[str]) -> bool:
@@ -91,7 +95,7 @@ class ElementParser(HTMLParser):
         attributes: dict[str, str] = {}
         for name, value in attrs:
             attributes.setdefault(name, value or "")
-        self.rows.append([at, parent, at, len(self.open), tag, path, self.owners[-1] if self.owners else None, attributes, None])
+        self.rows.append([at, parent, at, len(self.open), tag, path, *[held[-1] if held else None for _, held in self.nearest], attributes, None])
         if tag in TEXTED or tag in RAW:
             self.words[at] = []
         if tag not in VOID and not single and len(self.open) < MOST_DEPTH:
@@ -99,8 +103,9 @@ class ElementParser(HTMLParser):
             self.count[tag] = self.count.get(tag, 0) + 1
             if tag in TEXTED:
                 self.texted.append(at)
-            if tag in OWNERS:
-                self.owners.append(at)
+            for tags, held in self.nearest:
+                if tag in tags:
+                    held.append(at)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         """A slash closes what may stand alone in a page that is also XML; HTML's own elements stay open."""
@@ -133,7 +138,7 @@ class ElementParser(HTMLParser):
             self._end()
         for at, words in self.words.items():
             row = self.rows[at]
-            row[8] = "".join(words) if row[4] in RAW else " ".join(words)
+            row[-1] = "".join(words) if row[4] in RAW else " ".join(words)
         return self.rows
 
 
@@ -152,7 +157,7 @@ def elements(pages: DataFrame, html: str = "html") -> DataFrame:
     """A row for each element of each page, beside the page's other columns, in one parse of it by a table function.
 
     ``at`` is its place in the page, ``parent`` the element around it, ``last`` the last one inside of it, so that descendants are the
-    rows from at + 1 to last; ``path`` has the tags from the root; ``owner`` is the nearest picture, audio or video around it. ``text`` is the
+    rows from at + 1 to last; ``path`` has the tags from the root; ``owner`` is the nearest picture, audio or video around it, ``figure`` the nearest figure, ``block`` the nearest of AROUND. ``text`` is the
     words of all that is inside, for elements of TEXTED, and the content of scripts and styles as it stands.
 
     A page that is null, empty or without a tag has no rows. End tags left out are implied as HTML says; those that nothing opened are passed

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import url
-from quarrymill.operators import elements, nested
+from quarrymill.operators import assets, elements, nested
 from quarrymill.sources.tables import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -87,3 +87,36 @@ def nested_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves, _ = nested.walk(orders.select(F.col("o_orderkey").alias("id"), F.to_json(F.struct(order, "lines", "flags")).alias("json")), "id", "json")
     number = F.when(F.col("kind") == "number", F.col("value").cast("double"))
     return leaves.groupBy(F.regexp_replace("path", r"\[\d+\]", "[]").alias("path"), "kind").agg(F.count("*").alias("n"), F.round(F.sum(number), 2).alias("total"))
+
+
+ROOT = "https://parts.example.com"
+
+
+def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each part, with a picture, a data sheet, a set of sizes, a film and a player; the tables' own pages have no media."""
+    k, text = F.col("p_partkey").cast("string"), F.concat_ws(" ", "p_name", "p_type")
+    caption = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("<figcaption>"), text, F.lit("</figcaption>"))).otherwise("")
+    html = F.format_string(
+        '<html><head><meta property="og:image" content="/og/%1$s.jpg"></head><body><figure><img src="/i/%1$s-logo.png" alt="%2$s">%3$s</figure><p>%4$s <a href="../d/%1$s.pdf" type="application/pdf">sheet</a>'
+        ' <img srcset="/s/%1$s.webp 1x, /s/%1$s-2x.webp 2x"></p><video src="/v/%1$s.mp4" duration="%5$s"></video><iframe src="https://player.vimeo.com/%1$s"></iframe></body></html>',
+        k, "p_name", caption, "p_brand", F.col("p_size").cast("string"),
+    )
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.concat(F.lit(f"{ROOT}/page/"), k).alias("url"), html.alias("html"))
+
+
+ASSETS_SQL = f"""
+WITH p AS (SELECT p_partkey AS page_id, p_partkey::VARCHAR AS k, p_partkey % 2 = 0 AS captioned, p_name || ' ' || p_type AS text, p_brand || ' sheet' AS around, p_size > 0 AS lasts FROM part), a AS (
+  SELECT page_id, 'image' AS kind, 'meta' AS tag, '{ROOT}/og/' || k || '.jpg' AS address, NULL AS caption, NULL AS surrounding, 0.0::DOUBLE AS score, false AS embed FROM p
+  UNION ALL SELECT page_id, 'image', 'img', '{ROOT}/i/' || k || '-logo.png', CASE WHEN captioned THEN text END, CASE WHEN captioned THEN text END, CASE WHEN captioned THEN 15.0 ELSE -30.0 END, false FROM p
+  UNION ALL SELECT page_id, 'document', 'a', '{ROOT}/d/' || k || '.pdf', NULL, around, 20.0, false FROM p
+  UNION ALL SELECT page_id, 'image', 'img', '{ROOT}/s/' || k || size, NULL, around, 15.0, false FROM p, (VALUES ('.webp'), ('-2x.webp')) v(size)
+  UNION ALL SELECT page_id, 'video', 'video', '{ROOT}/v/' || k || '.mp4', NULL, NULL, CASE WHEN lasts THEN 10.0 ELSE 0.0 END, false FROM p
+  UNION ALL SELECT page_id, 'video', 'iframe', 'https://player.vimeo.com/' || k, NULL, NULL, 0.0, true FROM p
+)"""
+
+
+@query(ASSETS_SQL + " SELECT *, score::INTEGER AS boost FROM a")
+def page_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the parts' pages refer to, with captions, surrounding texts and scores."""
+    found = assets.asset_candidates(elements.elements(part_pages(spark, sf_dir)), "page_id", base="url")
+    return found.select("page_id", "kind", "tag", "address", "caption", "surrounding", "score", "embed", "boost")
