@@ -74,3 +74,15 @@ def normalized_code(code: Column) -> Column:
     """xx-YY to xx in lower case; no known language is null."""
     short = F.lower(F.trim(F.substring_index(F.replace(code, F.lit("_"), F.lit("-")), "-", 1)))
     return F.when(short.isin("", "unknown", "und", "none"), F.lit(None)).otherwise(short)
+
+
+def inferred(text: Column, confidence: float = 0.65) -> Column:
+    """Struct language, confidence without marker words: by character ranges, else by the script that most letters have; of several, the
+    first of SCRIPTS. Latin and unknown scripts tell nothing, nor do null and empty texts."""
+    t = F.coalesce(text, F.lit(""))
+    ranged = range_language(t)
+    counts = F.array(*[F.struct(n.alias("n"), F.lit(-i).alias("i"), F.lit(SCRIPT_LANGUAGE.get(s)).alias("language")) for i, (s, n) in enumerate(script_counts(t).items())])
+    most = F.array_max(counts)
+    known = (most["n"] > 0) & most["language"].isNotNull()
+    language = F.coalesce(ranged["language"], F.when(known, most["language"]))
+    return F.struct(language.alias("language"), F.when(ranged["language"].isNotNull(), ranged["confidence"]).when(known, confidence).otherwise(0.0).alias("confidence"))
