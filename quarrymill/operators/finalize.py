@@ -103,51 +103,73 @@ def usage_status(allowed: Column, name: Column, address: Column, terms: Column,
     return F.when(agreed, "training_allowed").when(~F.coalesce(allowed, F.lit(True)) | ~met, "blocked").otherwise("unknown")
 
 
-def finalized(samples: DataFrame, demands: Demands, shingle_width: int = 4) -> DataFrame:
-    """The samples with language, language_confidence, language_script, safety_status, safety_labels, pii_status, usage_status, alignment_score, content_hash,
-    source_object_ids, emitted_text_sha256, normalized_text_sha256, text_shingle_profile, document_layout_sha256, fingerprints_complete and quarantine_reason.
+#: What text_evidence adds.
+EVIDENCE = ("language_script", "safety_labels", "content_hash", "emitted_text_sha256", "normalized_text_sha256", "text_shingle_profile", "document_layout_sha256", "generic")
 
-    Columns of READ that the table lacks are null, and other columns stay as they are. A null or empty text has no hashes and is generic. A null
-    ``pii_outcome`` has not been inspected and blocks, as anything but accept does. A null quality or alignment counts as 0. Repeated rows stay. Columns alone, no shuffle; profiles are
-    made only where they are asked for.
-    """
+
+def with_all_columns(samples: DataFrame) -> DataFrame:
+    """The columns of READ in their types, null where the table lacks them."""
     has = set(samples.columns)
-    s = samples.withColumns({n: (F.col(n) if n in has else F.lit(None)).cast(t) for n, t in READ.items()})
-    body = F.coalesce("text", F.lit(""))
-    s = s.withColumns({"_folded": text.folded(F.col("text")), "language": normalized_code(F.col("language")), "_there": filled(F.regexp_replace(body, r"\s+", " "))})
+    return samples.withColumns({n: (F.col(n) if n in has else F.lit(None)).cast(t) for n, t in READ.items()})
+
+
+def text_evidence(samples: DataFrame, shingle_width: int = 4) -> DataFrame:
+    """The samples with the columns of EVIDENCE, which need texts and spans alone, so that a join for the other evidence needn't carry texts.
+
+    Columns of READ that the table lacks are null, and other columns stay as they are; those of the new names are replaced, but a script and a content hash that are
+    given stay. A null or empty text has no hashes of its own and is generic. No shuffle; profiles are made only where they are asked for.
+    """
+    body, given = F.coalesce("text", F.lit("")), lambda c: F.when(F.col(c) != "", F.col(c))
+    s = with_all_columns(samples).withColumn("_folded", text.folded(F.col("text")))
     s = s.withColumn("_words", F.when(F.col("_folded") != "", F.split("_folded", " ")).otherwise(F.array().cast("array<string>")))
-    labels = F.filter(F.array(*[F.when(F.contains(F.lower(body), F.lit(t)), t) for t in SAFETY_TERMS]), lambda x: x.isNotNull())
-    own = F.coalesce("safety_status", F.lit(""))
-    safety = F.when((F.size(labels) > 0) | (own == "blocked"), "blocked").when((own == "passed") | F.col("modality").isin("text", "document"), "passed").otherwise("blocked" if demands.require_safety else "passed")
-    pair = F.coalesce(F.col("task").isin(*PAIR_TASKS), F.lit(False))
-    given = lambda c: F.when(F.col(c) != "", F.col(c))
     layout = F.array_join(F.transform(F.coalesce("spans", F.array().cast(READ["spans"])), lambda x: F.concat(F.coalesce(x["page_number"], F.lit(0)).cast("string"), F.lit(":"), F.length(F.coalesce(x["text"], F.lit(""))).cast("string"))), "|")
-    ids = F.concat(F.array("document_id", "chunk_id", "object_id"), F.coalesce("object_ids", F.array().cast("array<string>")))
     s = s.withColumns({
-        "language_confidence": F.coalesce("language_confidence", F.when(F.col("language").isNotNull(), 1.0).otherwise(0.0)),
         "language_script": F.coalesce(given("language_script"), first_script(F.col("text"))),
-        "safety_status": safety,
-        "safety_labels": labels,
-        "pii_status": F.when(F.col("pii_outcome") == "accept", "passed").otherwise("blocked"),
-        "usage_status": usage_status(F.col("allow_training"), F.col("license"), F.col("license_url"), F.col("terms_source"), demands),
-        "alignment_score": selection.alignment_score(pair, *[F.coalesce(c, F.lit(0.0)) for c in ("alignment_score", "quality_score")], F.col("pairability_score"), F.col("context_score")),
+        "safety_labels": F.filter(F.array(*[F.when(F.contains(F.lower(body), F.lit(t)), t) for t in SAFETY_TERMS]), lambda x: x.isNotNull()),
         "content_hash": F.coalesce(given("content_hash"), F.sha2(F.concat_ws("\n", given("text"), given("object_id"), given("object_path"), given("source_url")), 256)),
-        "source_object_ids": F.array_distinct(F.filter(ids, lambda x: F.coalesce(x != "", F.lit(False)))),
         "emitted_text_sha256": F.when(body != "", F.sha2(body, 256)),
         "normalized_text_sha256": F.when(F.col("_folded") != "", F.sha2("_folded", 256)),
         "text_shingle_profile": F.when(F.col("_folded") != "", F.array_sort(text.shingles("_words", shingle_width))),
         "document_layout_sha256": F.when(F.col("modality") == "document", F.sha2(layout, 256)),
-        "_generic": generic_text(F.col("_folded")),
+        "generic": generic_text(F.col("_folded")),
     })
+    return s.select(*[F.col(f"`{c}`") for c in samples.columns if c not in EVIDENCE], *EVIDENCE)
+
+
+def finalized(samples: DataFrame, demands: Demands, shingle_width: int = 4) -> DataFrame:
+    """The samples with the columns of EVIDENCE, language, language_confidence, safety_status, pii_status, usage_status, alignment_score, source_object_ids,
+    fingerprints_complete and quarantine_reason.
+
+    Evidence of texts is taken from a table that has the columns already. Columns of READ that the table lacks are null, and other columns stay as they are. A
+    null or empty text has no hashes and is generic. A null ``pii_outcome`` has not been inspected and blocks, as anything but accept
+    does. A null quality or alignment counts as 0. Repeated rows stay. Columns alone, no shuffle.
+    """
+    if not set(EVIDENCE) <= set(samples.columns):
+        samples = text_evidence(samples, shingle_width)
+    s = with_all_columns(samples).withColumn("language", normalized_code(F.col("language")))
+    own = F.coalesce("safety_status", F.lit(""))
+    safety = F.when((F.size("safety_labels") > 0) | (own == "blocked"), "blocked").when((own == "passed") | F.col("modality").isin("text", "document"), "passed").otherwise("blocked" if demands.require_safety else "passed")
+    pair = F.coalesce(F.col("task").isin(*PAIR_TASKS), F.lit(False))
+    ids = F.concat(F.array("document_id", "chunk_id", "object_id"), F.coalesce("object_ids", F.array().cast("array<string>")))
+    verdicts = {
+        "language": F.col("language"),
+        "language_confidence": F.coalesce("language_confidence", F.when(F.col("language").isNotNull(), 1.0).otherwise(0.0)),
+        "safety_status": safety,
+        "pii_status": F.when(F.col("pii_outcome") == "accept", "passed").otherwise("blocked"),
+        "usage_status": usage_status(F.col("allow_training"), F.col("license"), F.col("license_url"), F.col("terms_source"), demands),
+        "alignment_score": selection.alignment_score(pair, *[F.coalesce(c, F.lit(0.0)) for c in ("alignment_score", "quality_score")], F.col("pairability_score"), F.col("context_score")),
+        "source_object_ids": F.array_distinct(F.filter(ids, lambda x: F.coalesce(x != "", F.lit(False)))),
+    }
+    s = s.withColumns(verdicts)
     named = F.concat(F.array("modality"), F.coalesce("output_modalities", F.array().cast("array<string>")))
     lacks = lambda medium, *evidence: F.coalesce(F.array_contains(named, medium), F.lit(False)) & ~F.forall(F.array(*evidence), lambda e: F.coalesce(e, F.lit(False)))
     missing = (
         lacks("image", filled(F.col("image_dhash")), filled(F.col("image_phash"))) | lacks("audio", filled(F.col("audio_chromaprint")))
         | lacks("video", F.size(F.coalesce("video_phashes", F.array().cast("array<string>"))) > 0) | lacks("document", F.col("document_layout_sha256").isNotNull())
     )
-    quarantine = F.when(F.col("safety_status") == "blocked", UNSAFE).when(F.col("pii_status") == "blocked", PERSONAL).when(F.col("usage_status") == "blocked", USAGE).when(F.col("_generic"), UNINFORMATIVE)
+    quarantine = F.when(F.col("safety_status") == "blocked", UNSAFE).when(F.col("pii_status") == "blocked", PERSONAL).when(F.col("usage_status") == "blocked", USAGE).when(F.col("generic"), UNINFORMATIVE)
     out = s.withColumns({"fingerprints_complete": ~missing, "quarantine_reason": quarantine})
-    new = ["language", "language_confidence", "language_script", "safety_status", "safety_labels", "pii_status", "usage_status", "alignment_score", "content_hash", "source_object_ids", "emitted_text_sha256", "normalized_text_sha256", "text_shingle_profile", "document_layout_sha256", "fingerprints_complete", "quarantine_reason"]
+    new = [*verdicts, "fingerprints_complete", "quarantine_reason"]
     return out.select(*[F.col(f"`{c}`") for c in samples.columns if c not in new], *new)
 
 
@@ -172,7 +194,7 @@ def quality_reason(samples: DataFrame, demands: Demands) -> DataFrame:
         .when(~F.col("fingerprints_complete"), "required_fingerprint_evidence_missing")
         .when(held.isNotNull(), F.when(held.isin(UNSAFE, PERSONAL, USAGE, UNINFORMATIVE), held).otherwise("safety_or_pii_blocked"))
         .when((modality == "image") & (score("quality_score") < demands.min_caption_quality), "low_caption_quality")
-        .when(generic_text(text.folded(c["text"])), "generic_caption")
+        .when(F.col("generic"), "generic_caption")
     )
     return samples.withColumn("reason", reason)
 

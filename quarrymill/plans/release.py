@@ -28,17 +28,20 @@ def query(sql: str | None = None):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as samples: labels give quality and safety, a text's own words its licence, consent and personal data."""
+    """Documents as samples: labels give quality and safety, a text's own words its licence, consent and personal data. What the texts tell is
+    found before the labels are joined, so that no text is shuffled."""
     t, low = F.col("text"), F.lower(F.coalesce("text", F.lit("")))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     found = (F.size(pii.emails(t)) > 0).cast("int") + (F.size(pii.ipv4(t)) > 0).cast("int")
-    d = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
-    return d.select(
-        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("document_id"), F.when(F.col("n_chars") > 5000, "document").otherwise("text").alias("modality"), F.lit("text_pretrain").alias("task"), "text",
-        F.col("lang").alias("language"), F.coalesce(F.col("quality").cast("double"), F.lit(0.5)).alias("quality_score"), F.when(F.col("toxic") == 1, "blocked").alias("safety_status"),
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("document_id"), F.when(F.col("n_chars") > 5000, "document").otherwise("text").alias("modality"), F.lit("text_pretrain").alias("task"), "text",
+        F.col("lang").alias("language"),
         pii.outcome(F.size(pii.secrets(t)), F.lit(0), pii.sensitive(t), found, found).alias("pii_outcome"), (~low.contains("all rights reserved")).alias("allow_training"),
         F.when(low.contains("licensed under"), "stated").alias("license"), F.concat(F.lit("https://"), "source").alias("source_url"),
     )
+    told = finalize.text_evidence(d).drop("text").join(labels, "doc_id", "left")
+    score, safety = F.coalesce(F.col("quality").cast("double"), F.lit(0.5)), F.when(F.col("toxic") == 1, "blocked")
+    return told.withColumns({"quality_score": score, "safety_status": safety}).drop("doc_id", "quality", "toxic")
 
 
 def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +55,10 @@ def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).unionByName(finalize.text_evidence(pictures(spark, sf_dir)).drop("text"), allowMissingColumns=True)
+
+
 ACCEPT_SQL = rf"""len({EMAIL_SQL}) = 0 AND len({IP_SQL}) = 0 AND len(list_filter([{SENSITIVE_SQL}], lambda x: x IS NOT NULL)) = 0
     AND NOT regexp_matches({TEXT}, '(?i)(?:token|secret|api[_-]?key|password)\s*[:=]\s*["'']?([0-9a-f]{{32,64}}|[A-Za-z0-9_\-]{{24,}})["'']?')"""
 STOCK = ", ".join(f"'{g}'" for g in finalize.GENERIC)
@@ -79,7 +86,7 @@ WITH s AS (
   sha256(text || CASE WHEN text = '' OR url IS NULL THEN '' ELSE chr(10) END || coalesce(url, '')) AS content_hash, CASE WHEN fold <> '' THEN sha256(fold) END AS normalized_text_sha256, hashed AS fingerprints_complete, quarantine_reason FROM v""")
 def finalized_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pictures with the evidence that a release asks for."""
-    s = documents(spark, sf_dir).unionByName(pictures(spark, sf_dir), allowMissingColumns=True)
+    s = samples(spark, sf_dir)
     return finalize.finalized(s, DEMANDS).select("document_id", "language", "safety_status", "pii_status", "usage_status", "alignment_score", "content_hash", "normalized_text_sha256", "fingerprints_complete", "quarantine_reason")
 
 
@@ -88,7 +95,7 @@ def finalized_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHEN unsafe OR NOT accept THEN 'safety_or_pii_blocked' WHEN NOT hashed THEN 'required_fingerprint_evidence_missing' WHEN quarantine_reason IS NOT NULL THEN quarantine_reason WHEN modality = 'image' AND q < 0.35 THEN 'low_caption_quality' END, 'none') AS reason, count(*)::BIGINT AS n FROM v GROUP BY ALL""")
 def sample_quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pictures by the first reason against their quality."""
-    s = documents(spark, sf_dir).unionByName(pictures(spark, sf_dir), allowMissingColumns=True)
+    s = samples(spark, sf_dir)
     reasons = finalize.quality_reason(finalize.finalized(s, DEMANDS), DEMANDS)
     return reasons.groupBy("modality", F.coalesce("reason", F.lit("none")).alias("reason")).agg(F.count("*").alias("n"))
 
