@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html.entities import html5
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +41,9 @@ IMPLIED = {
 }
 ENDED_BY = {start: tuple(t for t, (starts, _) in IMPLIED.items() if start in starts) for starts, _ in IMPLIED.values() for start in starts}
 
+#: Comments and raw elements, which have no character references, or an ampersand with the reference that a semicolon ends.
+REFERENCE = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1|&(#[0-9]+;|#x[0-9a-f]+;|[a-z][a-z0-9]*;)?", re.IGNORECASE | re.DOTALL)
+
 ELEMENT = "at int, parent int, last int, depth int, tag string, path string, owner int, figure int, block int, attributes map<string,string>, text string"
 
 
@@ -142,18 +147,28 @@ class ElementParser(HTMLParser):
         return self.rows
 
 
+def unended_kept(html: str) -> str:
+    """The page with the ampersands written out that begin no reference with a semicolon at its end; names that HTML doesn't have are none."""
+
+    def kept(m: re.Match) -> str:
+        name = m[2]
+        return m[0] if m[0][0] == "<" or (name and (name[0] == "#" or name in html5)) else "&amp;" + m[0][1:]
+
+    return REFERENCE.sub(kept, html)
+
+
 class Elements:
     """The table function's body."""
 
-    def eval(self, html: str) -> Iterator[tuple]:
+    def eval(self, html: str, unended: bool) -> Iterator[tuple]:
         if html:
             parser = ElementParser()
-            parser.feed(html)
+            parser.feed(html if unended else unended_kept(html))
             for row in parser.result():
                 yield tuple(row)
 
 
-def elements(pages: DataFrame, html: str = "html") -> DataFrame:
+def elements(pages: DataFrame, html: str = "html", unended: bool = True) -> DataFrame:
     """A row for each element of each page, beside the page's other columns, in one parse of it by a table function.
 
     ``at`` is its place in the page, ``parent`` the element around it, ``last`` the last one inside of it, so that descendants are the
@@ -162,14 +177,14 @@ def elements(pages: DataFrame, html: str = "html") -> DataFrame:
 
     A page that is null, empty or without a tag has no rows. End tags left out are implied as HTML says; those that nothing opened are passed
     over. Elements deeper than MOST_DEPTH stand in the element there. Repeated pages have rows each; page columns of the new names are
-    replaced.
+    replaced. As browsers do, references without a semicolon are decoded where HTML has such names (``&amp``), unless ``unended`` is false.
     """
     ship(pages.sparkSession)
     names = [x.split()[0] for x in ELEMENT.split(", ")]
     kept = [c for c in pages.columns if c != html and c not in names]
     parse = F.udtf(Elements, returnType=ELEMENT, useArrow=True)
     rows = pages.select(*[pages[f"`{c}`"] for c in kept], pages[f"`{html}`"].alias("_page"))
-    return rows.lateralJoin(parse(F.col("_page").outer())).drop("_page")
+    return rows.lateralJoin(parse(F.col("_page").outer(), F.lit(unended))).drop("_page")
 
 
 def within(path: Column, tags: tuple[str, ...]) -> Column:

@@ -50,6 +50,19 @@ def test_titles_links_headings_markdown(spark):
     assert context == {"/n": ("", ""), "/x": ("One two", "Second link")}
 
 
+CUT = '<title>a &amp;&amp</title><body title="?x=1&copy=2"><h1>b &amp;&amp</h1><p>c &#38; &#38 &notit; &lt;<script>x && y</script><!-- & -->'
+
+
+def test_headings_keep_references_without_an_end(spark, tmp_path):
+    from quarrymill.plans import markup
+
+    spark.createDataFrame([(1, "https://a.example/", CUT)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted((r["kind"], r["text"]) for r in markup.element_headings(spark, str(tmp_path)).collect()) == [("h1", "b &&amp"), ("title", "a &&amp")]
+    by_tag = {r["tag"]: r for r in markup.index(spark, str(tmp_path)).collect()}
+    assert by_tag["p"]["text"] == "c & &#38 &notit; <" and by_tag["script"]["text"] == "x && y" and by_tag["body"]["attributes"]["title"] == "?x=1&copy=2"
+    assert [r["text"] for r in elements.titles(index(spark, CUT)).collect()] == ["a &&"]
+
+
 def test_references(spark):
     found = sorted((r["kind"], r["address"], r["condition"]) for r in elements.references(index(spark, PAGE), "page_id").collect())
     assert found == [
