@@ -58,6 +58,7 @@ def test_headings_keep_references_without_an_end(spark, tmp_path):
 
     spark.createDataFrame([(1, "https://a.example/", CUT)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted((r["kind"], r["text"]) for r in markup.element_headings(spark, str(tmp_path)).collect()) == [("h1", "b &&amp"), ("title", "a &&amp")]
+    assert [r["headings"] for r in markup.page_markdown(spark, str(tmp_path)).collect()] == ["b &&amp"]
     by_tag = {r["tag"]: r for r in markup.index(spark, str(tmp_path)).collect()}
     assert by_tag["p"]["text"] == "c & &#38 &notit; <" and by_tag["script"]["text"] == "x && y" and by_tag["body"]["attributes"]["title"] == "?x=1&copy=2"
     assert [r["text"] for r in elements.titles(index(spark, CUT)).collect()] == ["a &&"]
