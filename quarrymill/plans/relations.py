@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions import text
-from quarrymill.operators import coverage, dedup, leakage, metrics, sampling, split
+from quarrymill.operators import coverage, dedup, leakage, metrics, sampling, similar, split
+from quarrymill.operators.lineage import Scratch
 from quarrymill.sources.tables import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -76,17 +77,19 @@ def near_duplicates_between_sources(spark: SparkSession, sf_dir: str) -> DataFra
 def near_duplicates_of_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of equal texts, by their smallest ids, that are similar by 0.75 in shingles of five words, each class with itself
     included, and how many pairs of documents of different sources they stand for; none is made."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.array_join(text.space_tokens(F.lower(F.coalesce("text", F.lit("")))), " ").alias("text")).where("text <> ''")
-    members = d.groupBy(F.sha2("text", 256).alias("key"), "source").agg(F.count("*").alias("n"), F.min("doc_id").alias("id"), F.min("text").alias("text"))
-    classes = members.groupBy("key").agg(F.min("id").alias("id"), F.min("text").alias("text"), F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("m"))
-    side = lambda name, c: classes.select(F.col("id").alias(name), c)
-    near = leakage.near_pairs(side("left_id", "text"), side("right_id", "text"), "left_id", "right_id", "text", 0.75, 5).where("left_id <= right_id")
+    docs = table(spark, sf_dir, "documents").select(F.struct("doc_id", F.coalesce("source", F.lit("")).alias("source")).alias("id"), "text")
+    scratch = Scratch(spark)
+    near, (members,) = similar.class_pairs([docs], 0.75, 5, scratch)
+    counts = members.where("n > 0").groupBy("k", F.col("id.source").alias("source")).agg(F.count("*").alias("c"), F.min("id.doc_id").alias("id"), F.min("n").alias("n"))
+    classes = scratch.keep(counts.groupBy("k").agg(F.min("id").alias("id"), F.min("n").cast("long").alias("n"), F.map_from_entries(F.collect_list(F.struct("source", "c"))).alias("m")))
+    side = lambda k, ident, m: classes.select(F.col("k").alias(k), F.col("id").alias(ident), F.col("m").alias(m))
+    met = near.join(side("a", "i", "x"), "a").join(side("b", "j", "y"), "b").select(F.least("i", "j").alias("left_id"), F.greatest("i", "j").alias("right_id"), "n_both", "similarity", "x", "y")
+    itself = classes.where(F.size("m") > 1).select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.col("n").alias("n_both"), F.lit(1.0).alias("similarity"), F.col("m").alias("x"), F.col("m").alias("y"))
     total = lambda c: F.aggregate(F.map_values(c), F.lit(0).cast("long"), lambda a, n: a + n)
     same = F.aggregate(F.map_entries("x"), F.lit(0).cast("long"), lambda a, e: a + e["value"] * F.coalesce(F.try_element_at("y", e["key"]), F.lit(0)))
     pairs = total(F.col("x")) * total(F.col("y")) - same
-    met = near.join(side("left_id", F.col("m").alias("x")), "left_id").join(side("right_id", F.col("m").alias("y")), "right_id")
     n = F.when(F.col("left_id") == F.col("right_id"), (pairs / 2).cast("long")).otherwise(pairs)
-    return met.select("left_id", "right_id", "n_both", F.round("similarity", 6).alias("similarity"), n.alias("n_pairs")).where("n_pairs > 0")
+    return met.unionAll(itself).select("left_id", "right_id", "n_both", F.round("similarity", 6).alias("similarity"), n.alias("n_pairs")).where("n_pairs > 0")
 
 
 @query(f"SELECT key AS family, list_aggregate(list_sort(list(DISTINCT split)), 'string_agg', ',') AS splits FROM (SELECT sha256({FOLD_SQL}) AS key, CASE WHEN f < 0.8 THEN 'train' WHEN f < 0.9 THEN 'val' ELSE 'test' END AS split FROM (SELECT text, ('0x' || substr(sha256(doc_id::VARCHAR), 1, 16))::UBIGINT::DOUBLE / 18446744073709551615::DOUBLE AS f FROM documents)) GROUP BY key HAVING count(DISTINCT split) > 1")
