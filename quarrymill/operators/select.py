@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.text import shingles, space_tokens, stable_id
+from quarrymill.functions.text import stable_id
+from quarrymill.operators import similar
 from quarrymill.operators.lineage import Scratch
 
 
@@ -80,25 +81,6 @@ def select_within_quotas(samples: DataFrame, ident: str, order: str, keys: str,
     return done.select(F.col("_id").alias(ident), "verdict")
 
 
-def similar_pairs(sets: DataFrame, ident: str, shingle_set: str, least: float) -> DataFrame:
-    """Columns a < b, similarity: pairs of rows whose sets (arrays) have a Jaccard similarity of ``least`` or more.
-
-    Prefix filter with the rarest elements first, so that elements that many sets hold join nothing.
-    """
-    cut = Scratch(sets.sparkSession).keep
-    spread = sets.select(ident, F.explode(shingle_set).alias("_s"))
-    counted = spread.join(spread.groupBy("_s").agg(F.count("*").alias("_n")), "_s")
-    ordered = cut(counted.groupBy(ident).agg(F.sort_array(F.collect_list(F.struct("_n", "_s"))).alias("_e")))
-    prefix = F.slice("_e", 1, F.size("_e") - F.ceil(F.size("_e") * least - 1e-9).cast("int") + 1)
-    keys = ordered.select(F.col(ident).alias("a"), F.size("_e").alias("_na"), F.explode(prefix).alias("_p")).where("_p._n > 1").select("a", "_na", F.col("_p._s").alias("_s"))
-    others = keys.select(F.col("a").alias("b"), F.col("_na").alias("_nb"), "_s")
-    met = keys.join(others, "_s").where((F.col("a") < F.col("b")) & (F.col("_na") >= least * F.col("_nb") - 1e-9) & (F.col("_nb") >= least * F.col("_na") - 1e-9)).select("a", "b").distinct()
-    full = ordered.select(ident, F.transform("_e", lambda x: x["_s"]).alias("_e"))
-    both = met.join(full.withColumnRenamed(ident, "a").withColumnRenamed("_e", "_x"), "a").join(full.withColumnRenamed(ident, "b").withColumnRenamed("_e", "_y"), "b")
-    n = F.size(F.array_intersect("_x", "_y"))
-    return both.select("a", "b", (n / (F.size("_x") + F.size("_y") - n)).alias("similarity")).where(F.col("similarity") >= least)
-
-
 def leader_clusters(docs: DataFrame, ident: str, text: str, least: float = 0.92, width: int = 4) -> DataFrame:
     """Columns ident, cluster_id, is_duplicate, similarity: taken in the order of ids as strings, a document joins the most similar
     leader before it (the earliest of equals) if that is similar enough, else it leads. Nothing is dropped.
@@ -106,14 +88,13 @@ def leader_clusters(docs: DataFrame, ident: str, text: str, least: float = 0.92,
     Texts with equal shingles are one node. A node leads if none of its similar nodes before it leads; that is decided in rounds for
     all nodes whose earlier neighbours are decided. Candidates are all similar pairs, not those of a few bands.
     """
-    cut = Scratch(docs.sparkSession).keep
-    worded = docs.select(F.col(ident).cast("string").alias("id"), space_tokens(F.lower(F.coalesce(text, F.lit("")))).alias("_w"))
-    sets = worded.select("id", F.sort_array(F.transform(shingles("_w", width), lambda s: F.xxhash64(s))).alias("_s")).withColumn("_d", F.sha2(F.to_json(F.struct("_s")), 256))
-    sets = cut(sets)
-    nodes = sets.groupBy("_d").agg(F.min("id").alias("node"))
-    member = sets.select("id", "_d").join(nodes, "_d").select("id", "node")
-    reps = sets.join(nodes.select(F.col("node").alias("id")), "id", "left_semi").where(F.size("_s") > 0).select(F.col("id").alias("node"), "_s")
-    pairs = cut(similar_pairs(reps, "node", "_s", least))
+    scratch = Scratch(docs.sparkSession)
+    cut = scratch.keep
+    found, (members,) = similar.class_pairs([docs.select(F.col(ident).cast("string").alias("id"), F.col(text).alias("text"))], least, width, scratch, by_set=True)
+    nodes = cut(members.groupBy("k").agg(F.min("id").alias("node")))
+    member = members.join(nodes, "k").select("id", "node")
+    named = lambda k, name: nodes.select(F.col("k").alias(k), F.col("node").alias(name))
+    pairs = cut(found.join(named("a", "_x"), "a").join(named("b", "_y"), "b").select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), "similarity"))
     state = cut(pairs.select(F.col("b").alias("node")).distinct())  # undecided: those with a similar node before them
     leaders = cut(pairs.select(F.col("a").alias("node")).distinct().join(state, "node", "left_anti"))
     joined = state.limit(0)
