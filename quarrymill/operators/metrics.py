@@ -51,8 +51,8 @@ def error_rate(df: DataFrame, edits: Column, length: Column) -> DataFrame:
     return df.agg(F.sum(edits).cast("long").alias("edits"), F.sum(F.greatest(length, F.lit(1))).cast("long").alias("length")).select("edits", "length", (F.col("edits") / F.col("length")).alias("rate"))
 
 
-#: Query vectors that are compared with all items at once.
-QUERY_BLOCK = 2048
+#: Query vectors that are compared at once, and with how many items: what a task holds of products.
+QUERY_BLOCK, ITEM_BLOCK = 2048, 512
 
 
 def retrieval_best(queries: DataFrame, items: DataFrame, ident: str, vector: str, label: str) -> DataFrame:
@@ -72,8 +72,8 @@ def retrieval_best(queries: DataFrame, items: DataFrame, ident: str, vector: str
 
         def run(batches):
             same, other = np.full(len(ids), -np.inf), np.full(len(ids), -np.inf)
-            for batch in batches:
-                if batch.num_rows and len(ids):
+            for batch in (whole.slice(at, ITEM_BLOCK) for whole in batches for at in range(0, whole.num_rows, ITEM_BLOCK)):
+                if len(ids):
                     x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
                     dots = (matrix.astype(np.float64) @ x.astype(np.float64).T).round(6)
                     dots[ids[:, None] == batch.column(0).to_numpy()[None, :]] = -np.inf
