@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,34 +22,44 @@ def causal_samples(df: DataFrame, ident: str, text: str) -> DataFrame:
     return d.where(F.length("target_text") >= LEAST_CAUSAL)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once. Where columns of a projection are filtered on or used in a function over array elements, Spark
+    computes them anew for each use, or each element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def split_index(text: Column) -> Column:
+    """The first end of a sentence from 70 % on, else the last one from 48 characters on, else a space; null if the text can't be divided."""
+
+    def found(t: Column, target: Column) -> Column:
+        # over all parts but the last: the place so far, the first end that is late enough, the last that isn't too early
+        start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("int").alias("late"), F.lit(None).cast("int").alias("early"))
+
+        def step(s: Column, n: Column) -> Column:
+            at = s["at"] + n
+            return F.struct(at.alias("at"), F.coalesce(s["late"], F.when(at >= target, at)).alias("late"), F.when(at >= LEAST_PROMPT, at).otherwise(s["early"]).alias("early"))
+
+        parts = F.transform(F.split(t, r"(?<=[.!?])(?=\s)"), lambda p: F.length(p))
+        ends = bound(parts, lambda p: F.aggregate(F.slice(p, 1, F.size(p) - 1), start, step))
+        back = F.instr(F.reverse(F.substring(t, F.lit(1), target)), " ")
+        before = bound(back, lambda i: F.when(i > 0, target - i).otherwise(-1))  # of the last space, from 0
+        after = F.call_function("locate", F.lit(" "), t, target + 1) - 1
+        space = bound(bound(before, lambda i: F.when(i >= LEAST_PROMPT, i).otherwise(after)), lambda i: F.when((i > 0) & (i < F.length(t) - LEAST_ANSWER), i))
+        return bound(ends, lambda e: F.coalesce(e["late"], e["early"], space))
+
+    return bound(text, lambda t: bound(F.greatest(F.lit(LEAST_PROMPT), F.floor(F.length(t) * 0.7).cast("int")), lambda target: found(t, target)))
+
+
 def with_split_index(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``split_index``: the first end of a sentence from 70 % on, else the last one from 48 characters on, else a space; null if the
-    text can't be divided."""
-    target = F.greatest(F.lit(LEAST_PROMPT), F.floor(F.length(text) * 0.7).cast("int"))
-    d = df.withColumn("_target", target)
-    d = d.withColumn("_parts", F.transform(F.split(F.col(text), r"(?<=[.!?])(?=\s)"), lambda p: F.length(p)))
-    # over all parts but the last: the place so far, the first end that is late enough, the last that isn't too early
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("int").alias("late"), F.lit(None).cast("int").alias("early"))
-
-    def step(s: Column, n: Column) -> Column:
-        at = s["at"] + n
-        return F.struct(at.alias("at"), F.coalesce(s["late"], F.when(at >= F.col("_target"), at)).alias("late"), F.when(at >= LEAST_PROMPT, at).otherwise(s["early"]).alias("early"))
-
-    d = d.withColumn("_ends", F.aggregate(F.slice("_parts", 1, F.size("_parts") - 1), start, step))
-    late, early = F.col("_ends.late"), F.col("_ends.early")
-    before = F.col("_target") - F.instr(F.reverse(F.substring(F.col(text), F.lit(1), F.col("_target"))), " ")  # of the last space, from 0
-    before = F.when(F.instr(F.substring(F.col(text), F.lit(1), F.col("_target")), " ") > 0, before).otherwise(-1)
-    after = F.expr(f"locate(' ', {text}, _target + 1) - 1")
-    space = F.when(before >= LEAST_PROMPT, before).otherwise(after)
-    space = F.when((space > 0) & (space < F.length(text) - LEAST_ANSWER), space)
-    return d.withColumn("split_index", F.coalesce(late, early, space)).drop("_target", "_parts", "_ends")
+    """Adds ``split_index``."""
+    return df.withColumn("split_index", split_index(F.col(text)))
 
 
 def instruction_samples(df: DataFrame, ident: str, text: str) -> DataFrame:
-    """Columns ident, prompt, answer: a text and its continuation."""
-    d = df.select(ident, stripped(F.col(text)).alias("_t")).where(F.length("_t") >= LEAST_INSTRUCTION)
-    d = with_split_index(d, "_t").where("split_index is not null")
-    d = d.select(ident, stripped(F.substring(F.col("_t"), F.lit(1), F.col("split_index"))).alias("prompt"), stripped(F.expr("substring(_t, split_index + 1)")).alias("answer"))
+    """Columns ident, prompt, answer: a text and its continuation. Filters don't reach below explode_outer, so that each text is divided once."""
+    halves = lambda t, i: F.struct(stripped(F.substring(t, F.lit(1), i)).alias("prompt"), stripped(F.substring(t, i + 1, F.length(t))).alias("answer"))
+    pair = bound(stripped(F.col(text)), lambda t: F.when(F.length(t) >= LEAST_INSTRUCTION, bound(split_index(t), lambda i: F.when(i.isNotNull(), halves(t, i)))))
+    d = df.select(ident, F.explode_outer(F.array(pair)).alias("_p")).where("_p is not null").select(ident, "_p.prompt", "_p.answer")
     return d.where((F.length("prompt") >= LEAST_PROMPT) & (F.length("answer") >= LEAST_ANSWER))
 
 
