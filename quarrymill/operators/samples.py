@@ -90,21 +90,54 @@ def packed_turns(turns: DataFrame, conv: str, turn: str, tokens: str, budget: in
     return turns.withColumn("_sum", F.sum(tokens).over(w)).where(F.col("_sum") <= budget).drop("_sum")
 
 
+def signed(n: int) -> int:
+    """The long with these 64 bits."""
+    return n - (1 << 64) if n >> 63 else n
+
+
+def hamming_bands(most: int, width: int) -> tuple[list[int], int]:
+    """Where bands begin, most // 3 + 1 as even as can be, and in how many bits at most a pair differs in one of them: two or fewer."""
+    parts = most // 3 + 1
+    return [i * width // parts for i in range(parts + 1)], most // parts
+
+
+def band_of(value: Column, starts: list[int], i: int) -> Column:
+    return F.shiftrightunsigned(value, starts[i]).bitwiseAND(F.lit(signed((1 << (starts[i + 1] - starts[i])) - 1)))
+
+
+def hamming_keys(nodes: DataFrame, ident: str, bits: str, starts: list[int], turned: bool) -> DataFrame:
+    """The nodes with each band's number and value, _i and _v, and if ``turned`` the values with one bit turned over.
+
+    Partitions of a fixed number keep Spark from dealing keys that are few bytes, but meet often, to one task."""
+    spark = nodes.sparkSession
+    turns = lambda i: [0, *([1 << j for j in range(starts[i + 1] - starts[i])] if turned else [])]
+    every = [F.struct(F.lit(i).alias("i"), band_of(F.col(bits), starts, i).bitwiseXOR(F.lit(signed(t))).alias("v")) for i in range(len(starts) - 1) for t in turns(i)]
+    spread = nodes.select(ident, bits, F.explode(F.array(*every)).alias("_k")).select(ident, bits, F.col("_k.i").alias("_i"), F.col("_k.v").alias("_v"))
+    return spread.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "_i", "_v")
+
+
 def hamming_pairs(df: DataFrame, ident: str, bits: str, most: int, width: int = 64) -> DataFrame:
-    """Pairs a < b of rows whose hashes (long) differ in at most ``most`` bits: they agree in one of most + 1 bands,
-    which divide the width into parts as even as can be.
+    """Pairs a < b of rows whose hashes (long) differ in at most ``most`` bits.
 
-    Rows with equal hashes are one node, so that copies meet once; pairs are of the smallest ids.
+    Rows with equal hashes are one node, so that copies meet once; pairs are of the smallest ids. In one of the bands a pair differs in two bits at
+    most: there a value with at most one bit turned over is the other's, or one of the other's with one turned over. So bands are wide, and few nodes
+    meet by chance. A pair is taken from its first such band alone, where the left value has the lowest bit that differs turned over, so that it comes once.
     """
-    nodes = df.where(F.col(bits).isNotNull()).groupBy(bits).agg(F.min(ident).alias("_id"))
     if not 0 <= most < width <= 64:
         raise ValueError("most must be under width, and width 64 at most")
-    starts = [i * width // (most + 1) for i in range(most + 2)]
-    masked = lambda i, n: F.shiftrightunsigned(bits, starts[i]).bitwiseAND(F.lit((1 << n) - 1)) if n < 64 else F.col(bits)
-    bands = F.array(*[F.struct(F.lit(i).alias("i"), masked(i, starts[i + 1] - starts[i]).alias("v")) for i in range(most + 1)])
-    keys = nodes.select(F.col("_id").alias("a"), F.col(bits).alias("_x"), F.explode(bands).alias("_k"))
-    met = keys.join(keys.select(F.col("a").alias("b"), F.col("_x").alias("_y"), "_k"), "_k").where("a < b").withColumn("distance", F.bit_count(F.col("_x").bitwiseXOR(F.col("_y"))))
-    return met.where(F.col("distance") <= most).select("a", "b", "distance").distinct()
+    nodes = df.where(F.col(bits).isNotNull()).groupBy(F.col(bits).alias("_x")).agg(F.min(ident).alias("a"))
+    (starts, radius), differ = hamming_bands(most, width), F.col("_x").bitwiseXOR(F.col("_y"))
+    lowest = lambda z: F.when(z == F.lit(signed(1 << 63)), z).otherwise(z.bitwiseAND(F.negative(z)))
+    here = F.lit(False)
+    for i in range(len(starts) - 1):
+        z = band_of(differ, starts, i)
+        chosen = (F.col("_i") == i) & (F.bit_count(z) <= radius) & (F.col("_v") == band_of(F.col("_x"), starts, i).bitwiseXOR(lowest(z)))
+        for j in range(i):
+            chosen = chosen & (F.bit_count(band_of(differ, starts, j)) > radius)
+        here = here | chosen
+    right = nodes.select(F.col("a").alias("b"), F.col("_x").alias("_y"))
+    met = hamming_keys(nodes, "a", "_x", starts, radius > 0).join(hamming_keys(right, "b", "_y", starts, radius > 1), ["_i", "_v"])
+    return met.where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= most) & here).select("a", "b", F.bit_count(differ).alias("distance"))
 
 
 def snapshot_fingerprint(df: DataFrame, ident: str, content: list[str]) -> DataFrame:
