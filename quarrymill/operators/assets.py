@@ -150,7 +150,7 @@ def entries(icons: bool) -> Column:
     single.append(F.when(tag == "link", one(link_kind(rels(a["rel"]), a["type"], a["as"], icons), "href", a["href"])))
     of_set = lambda name: F.transform(elements.srcset(a[name]), lambda x: one(F.lit("image"), name, x["address"], x["condition"]))
     many = [F.when(tag.isin("img", "source"), of_set(name)) for name in SRCSETS]
-    many.append(F.transform(backgrounds(a["style"]), lambda x: one(F.lit("image"), "style", x)))
+    many.append(F.when(a["style"].isNotNull(), F.transform(backgrounds(a["style"]), lambda x: one(F.lit("image"), "style", x))))
     many.append(F.when(tag == "script", F.transform(inline_media(F.col("text")), lambda x: one(kind_of_address(x), "text", x))))
     none = F.array().cast("array<struct<kind:string,attribute:string,address:string,condition:string>>")
     return F.filter(F.concat(F.array(*single), *[F.coalesce(m, none) for m in many]), lambda e: e["kind"].isNotNull() & (F.trim(F.coalesce(e["address"], F.lit(""))) != ""))
@@ -178,9 +178,11 @@ def asset_candidates(index: DataFrame, *keys: str, base: str | None = None, icon
     held = held.withColumn("caption", F.when(F.col("_f").isNotNull(), F.min_by(F.when(F.col("tag") == "figcaption", F.col("text")), F.when(F.col("tag") == "figcaption", F.col("at"))).over(group("_f"))))
     held = held.withColumn("_block", text_of("_b"))
     a = F.col("attributes")
-    out = held.withColumn("e", F.explode(entries(icons))).withColumn("address", F.trim("e.address"))
+    # Rows of outer explodes are filtered behind them: Spark would ask for the size of the array before it, and compute it twice.
+    out = held.where(F.col("tag").isin(*SINGLE, "meta", "link", "script") | a["style"].isNotNull())
+    out = out.withColumn("e", F.explode_outer(entries(icons))).where("e is not null").withColumn("address", F.trim("e.address"))
     if base:
-        out = out.withColumn("address", url.resolved(F.col(f"`{base}`"), F.col("address"))).where("address is not null")
+        out = out.withColumn("_whole", F.explode_outer(F.array(url.resolved(F.col(f"`{base}`"), F.col("address"))))).where("_whole is not null").withColumn("address", F.col("_whole"))
     seconds = F.coalesce(a["duration"].try_cast("double"), a["data-duration"].try_cast("double"))
     out = out.select(
         *keys, "at", "tag", F.col("e.attribute").alias("attribute"), F.col("e.kind").alias("kind"), "address", F.col("e.condition").alias("condition"), stripped(a["alt"]).alias("alt"),

@@ -7,8 +7,10 @@ from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrymill.sources.ship import ship
 
@@ -157,19 +159,21 @@ def unended_kept(html: str) -> str:
     return REFERENCE.sub(kept, html)
 
 
-class Elements:
-    """The table function's body."""
+#: Elements after which a task hands on what it has of a batch of pages.
+HANDED = 4096
 
-    def eval(self, html: str, unended: bool) -> Iterator[tuple]:
-        if html:
-            parser = ElementParser()
-            parser.feed(html if unended else unended_kept(html))
-            for row in parser.result():
-                yield tuple(row)
+
+def element_rows(html: str | None, unended: bool) -> list[list]:
+    """Rows of ELEMENT of one page."""
+    if not html:
+        return []
+    parser = ElementParser()
+    parser.feed(html if unended else unended_kept(html))
+    return parser.result()
 
 
 def elements(pages: DataFrame, html: str = "html", unended: bool = True) -> DataFrame:
-    """A row for each element of each page, beside the page's other columns, in one parse of it by a table function.
+    """A row for each element of each page, beside the page's other columns, in one parse of it, on Arrow batches of pages.
 
     ``at`` is its place in the page, ``parent`` the element around it, ``last`` the last one inside of it, so that descendants are the
     rows from at + 1 to last; ``path`` has the tags from the root; ``owner`` is the nearest picture, audio or video around it, ``figure`` the nearest figure, ``block`` the nearest of AROUND. ``text`` is the
@@ -182,9 +186,28 @@ def elements(pages: DataFrame, html: str = "html", unended: bool = True) -> Data
     ship(pages.sparkSession)
     names = [x.split()[0] for x in ELEMENT.split(", ")]
     kept = [c for c in pages.columns if c != html and c not in names]
-    parse = F.udtf(Elements, returnType=ELEMENT, useArrow=True)
     rows = pages.select(*[pages[f"`{c}`"] for c in kept], pages[f"`{html}`"].alias("_page"))
-    return rows.lateralJoin(parse(F.col("_page").outer(), F.lit(unended))).drop("_page")
+    types = [pa.int32() if t == "int" else pa.string() if t == "string" else pa.map_(pa.string(), pa.string()) for _, t in (x.split() for x in ELEMENT.split(", "))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed(batch: pa.RecordBatch, at: list[int], found: list[list]) -> pa.RecordBatch:
+            page = batch.take(pa.array(at, pa.int64()))
+            columns = [pa.array([list(x.items()) for x in v] if n == "attributes" else v, t) for n, t, v in zip(names, types, zip(*found, strict=True), strict=True)]
+            return pa.RecordBatch.from_arrays([*page.columns[:-1], *columns], names=[*kept, *names])
+
+        for batch in batches:
+            at, found = [], []
+            for i in range(batch.num_rows):
+                of_page = element_rows(batch.column(batch.num_columns - 1)[i].as_py(), unended)
+                at += [i] * len(of_page)
+                found += of_page
+                if len(found) >= HANDED:
+                    yield handed(batch, at, found)
+                    at, found = [], []
+            if found:
+                yield handed(batch, at, found)
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL(ELEMENT).fields]))
 
 
 def within(path: Column, tags: tuple[str, ...]) -> Column:

@@ -67,3 +67,21 @@ def test_link_kind(spark, rel, mime, preload, icons, kind):
 def test_boost_is_bounded(spark):
     rows = spark.createDataFrame([(-90.0,), (90.0,), (2.5,), (3.5,)], "s double").select(assets.boost(F.col("s"))).collect()
     assert [r[0] for r in rows] == [-50, 80, 2, 4]
+
+
+def test_costly_columns_are_computed_once(spark):
+    """Neither what an element refers to nor whole URLs are computed a second time, for a filter."""
+    df = candidates(spark, [(1, "http://h.org/q/w", PAGE)], base="url")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any("transform(" in line or "regexp_extract" in line for line in filters)
+
+
+def test_pages_in_batches_keep_their_columns(spark):
+    """Pages with more elements than a task hands on at once, and repeated ones beside empty ones, all in one batch."""
+    many = "<p style='x'>a</p>" * (elements.HANDED + 5)
+    pages = [(1, "u", many), (2, None, None), (3, "v", "<b>x</b>"), (3, "v", "<b>x</b>"), (4, "w", "")]
+    found = elements.elements(spark.createDataFrame(pages, "page_id int, url string, html string").coalesce(1))
+    assert found.columns[:2] == ["page_id", "url"]
+    assert {(r["page_id"], r["url"], r["tag"]): r["count"] for r in found.groupBy("page_id", "url", "tag").count().collect()} == {(1, "u", "p"): elements.HANDED + 5, (3, "v", "b"): 2}
+    assert found.where("page_id = 1").agg(F.max("at"), F.min(F.col("attributes")["style"]), F.min("text")).first()[:] == (elements.HANDED + 4, "x", "a")
