@@ -129,8 +129,20 @@ POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in
 
 def unit(seed: int, *keys: Column) -> Column:
     """A number from 0 to 1, the same for the same keys in any plan and in any engine that has MD5."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]).cast("binary"))
-    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(2**48)
+    return F.conv(unit_digits(seed, *keys), 16, 10).cast("double") / float(2**48)
+
+
+def unit_digits(seed: int, *keys: Column) -> Column:
+    """The number of ``unit`` as 12 hexadecimal digits behind the point; strings of them compare as the numbers do."""
+    return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]).cast("binary")), 1, 12)
+
+
+def poisson_times(digits: Column) -> Column:
+    """How many of POISSON the number with these digits reaches. The first comparisons decide nearly always, so that the others are seldom made."""
+    out = F.when(digits < F.lit(f"{math.ceil(POISSON[0] * 2**48):012x}"), 0)
+    for n, p in enumerate(POISSON[1:], 1):
+        out = out.when(digits < F.lit(f"{math.ceil(p * 2**48):012x}"), n)
+    return out.otherwise(len(POISSON))
 
 
 def bootstrap_mean(df: DataFrame, ident: str, value: str, *by: str, replicates: int = 200, level: float = 0.95, seed: int = 0) -> DataFrame:
@@ -141,9 +153,8 @@ def bootstrap_mean(df: DataFrame, ident: str, value: str, *by: str, replicates:
     over; a group without values has no row. Repeated ids count alike. Rows with a null id count alike, too.
     """
     rows = df.where(F.col(value).isNotNull()).select(*by, F.coalesce(F.col(ident).cast("string"), F.lit("")).alias("_id"), F.col(value).cast("double").alias("_x"))
-    each = rows.select(*by, "_x", "_id", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_r")).withColumn("_u", unit(seed, F.col("_id"), F.col("_r")))
-    times = sum((F.when(F.col("_u") >= p, 1).otherwise(0) for p in POISSON), F.lit(0))
-    sums = each.withColumn("_w", times).groupBy(*by, "_r").agg(F.sum("_w").alias("_n"), F.sum(F.col("_w") * F.col("_x")).alias("_s"))
+    each = rows.select(*by, "_x", "_id", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_r")).withColumn("_u", unit_digits(seed, F.col("_id"), F.col("_r")))
+    sums = each.withColumn("_w", poisson_times(F.col("_u"))).groupBy(*by, "_r").agg(F.sum("_w").alias("_n"), F.sum(F.col("_w") * F.col("_x")).alias("_s"))
     means = sums.groupBy(*by).agg(F.array_sort(F.collect_list(F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))).alias("_m"))
     at = lambda share: F.get("_m", F.floor(F.size("_m") * F.lit(share)).cast("int"))
     low, high = at((1 - level) / 2), F.get("_m", F.ceil(F.size("_m") * F.lit((1 + level) / 2)).cast("int") - 1)

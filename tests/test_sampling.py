@@ -117,3 +117,14 @@ def test_claims_and_batches(spark, n, most, kind):
         batches.setdefault(r["batch"], []).append(r)
     assert sorted(r["id"] for b in batches.values() for r in b) == list(range(n)) and max(map(len, batches.values())) <= most + 1
     assert all(len({r["batch"] for b in batches.values() for r in b if r["anchor"] == a}) == 1 for a in members(got))
+
+
+def test_poisson_times_of_digits_as_of_numbers(spark):
+    """Digits are compared as the numbers that they stand for, at each limit and beside it, and most draws end at the first comparisons."""
+    import math
+
+    from quarrymill.operators.metrics import poisson_times
+
+    at = sorted({min(max(math.ceil(p * 2**48) + d, 0), 2**48 - 1) for p in POISSON for d in (-1, 0, 1)} | {0, 2**48 - 1})
+    got = spark.createDataFrame([(i, f"{i:012x}") for i in at], "i long, d string").withColumn("n", poisson_times(F.col("d"))).collect()
+    assert [(r["i"], r["n"]) for r in got] == [(i, sum(i / 2**48 >= p for p in POISSON)) for i in at]
