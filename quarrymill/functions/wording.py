@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -118,17 +119,24 @@ def headings_in_order(headings: Column, text: Column) -> Column:
     """The headings that stand in the text, each sought behind the one before, and from the start if it isn't there; a place counts once.
 
     The state of the pass is the place behind the last heading, the places taken, and the headings kept. Empty and null headings are passed over;
-    a null text has none.
+    a null text has none. On Arrow batches: Spark's arrays are copied and looked through at each step of a fold, and its ``locate`` counts from the
+    text's start each time, so that the time would grow with the square of a text.
     """
-    place = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
-    start = F.struct(F.lit(1).alias("cursor"), F.filter(F.array(place), lambda p: p["end"] < 0).alias("taken"), F.filter(F.array(F.lit("")), lambda x: x != "").alias("kept"))
-
-    def seek(s: Column, h: Column) -> Column:
-        ahead = F.call_function("locate", h, text, s["cursor"])
-        at = F.when(ahead > 0, ahead).otherwise(F.call_function("locate", h, text, F.lit(1)))
-        span = F.struct(at.alias("start"), (at + F.length(h)).alias("end"))
-        new = (F.length(h) > 0) & (at > 0) & ~F.exists(s["taken"], lambda p: (p["start"] == span["start"]) & (p["end"] == span["end"]))
-        taken, kept = F.concat(s["taken"], F.array(span)), F.concat(s["kept"], F.array(h))
-        return F.when(F.coalesce(new, F.lit(False)), F.struct(span["end"].alias("cursor"), taken.alias("taken"), kept.alias("kept"))).otherwise(s)
-
-    return F.aggregate(F.coalesce(headings, F.array().cast("array<string>")), start, seek)["kept"]
+
+    @F.pandas_udf("array<string>")
+    def run(lists: pd.Series, texts: pd.Series) -> pd.Series:
+        def one(names: object, whole: str | None) -> list[str]:
+            cursor, taken, kept = 0, set(), []
+            for h in names if names is not None and whole else ():
+                if h:
+                    at = whole.find(h, cursor)
+                    at = whole.find(h) if at < 0 else at
+                    if at >= 0 and (at, len(h)) not in taken:
+                        taken.add((at, len(h)))
+                        kept.append(h)
+                        cursor = at + len(h)
+            return kept
+
+        return pd.Series([one(a, b) for a, b in zip(lists, texts, strict=True)], dtype=object)
+
+    return run(headings, F.when(F.size(headings) > 0, text))
