@@ -24,8 +24,8 @@ def normalize_text(text: Column) -> Column:
 
 
 def folded(text: Column) -> Column:
-    """Single spaces, trimmed, lower case: the identity of short texts."""
-    return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\r\x0b\x0c]+", " ")))
+    """Single spaces, trimmed, lower case: the identity of short texts. A single space between words is passed over, not replaced."""
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\r\x0b\x0c]{2,}|[\t\n\r\x0b\x0c]", " ")))
 
 
 def tokens(text: Column) -> Column:
