@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import selection, text
 from quarrymill.functions.language import normalized_code
+from quarrymill.functions.wording import bound
 
 # Fixed values.
 PAIR_TASKS = ("document_text_pair", "image_text_pair", "audio_text_pair", "video_text_pair")
@@ -77,10 +78,11 @@ def filled(c: Column) -> Column:
 
 def generic_text(folded: Column) -> Column:
     """Of a folded text: empty, a stock phrase, two words of which one is stock, or more than 60 % of the words said before."""
-    words = F.split(folded, " ")
-    stock = F.exists(words, lambda w: w.isin(*GENERIC))
-    repeated = 1.0 - F.size(F.array_distinct(words)) / F.size(words) > 0.6
-    return (folded == "") | folded.isin(*GENERIC) | ((F.size(words) <= 2) & stock) | repeated
+
+    def of_words(words: Column) -> Column:
+        return ((F.size(words) <= 2) & F.exists(words, lambda w: w.isin(*GENERIC))) | (1.0 - F.size(F.array_distinct(words)) / F.size(words) > 0.6)
+
+    return (folded == "") | folded.isin(*GENERIC) | bound(F.split(folded, " "), of_words)
 
 
 def first_script(t: Column) -> Column:
@@ -120,12 +122,12 @@ def text_evidence(samples: DataFrame, shingle_width: int = 4) -> DataFrame:
     given stay. A null or empty text has no hashes of its own and is generic. No shuffle; profiles are made only where they are asked for.
     """
     body, given = F.coalesce("text", F.lit("")), lambda c: F.when(F.col(c) != "", F.col(c))
-    s = with_all_columns(samples).withColumn("_folded", text.folded(F.col("text")))
+    s = with_all_columns(samples).withColumns({"_folded": text.folded(F.col("text")), "_low": F.lower(body)})
     s = s.withColumn("_words", F.when(F.col("_folded") != "", F.split("_folded", " ")).otherwise(F.array().cast("array<string>")))
     layout = F.array_join(F.transform(F.coalesce("spans", F.array().cast(READ["spans"])), lambda x: F.concat(F.coalesce(x["page_number"], F.lit(0)).cast("string"), F.lit(":"), F.length(F.coalesce(x["text"], F.lit(""))).cast("string"))), "|")
     s = s.withColumns({
         "language_script": F.coalesce(given("language_script"), first_script(F.col("text"))),
-        "safety_labels": F.filter(F.array(*[F.when(F.contains(F.lower(body), F.lit(t)), t) for t in SAFETY_TERMS]), lambda x: x.isNotNull()),
+        "safety_labels": F.filter(F.array(*[F.when(F.contains("_low", F.lit(t)), t) for t in SAFETY_TERMS]), lambda x: x.isNotNull()),
         "content_hash": F.coalesce(given("content_hash"), F.sha2(F.concat_ws("\n", given("text"), given("object_id"), given("object_path"), given("source_url")), 256)),
         "emitted_text_sha256": F.when(body != "", F.sha2(body, 256)),
         "normalized_text_sha256": F.when(F.col("_folded") != "", F.sha2("_folded", 256)),

@@ -30,13 +30,17 @@ def query(sql: str | None = None):
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as samples: labels give quality and safety, a text's own words its licence, consent and personal data. What the texts tell is
     found before the labels are joined, so that no text is shuffled."""
-    t, low = F.col("text"), F.lower(F.coalesce("text", F.lit("")))
+    t, low = F.coalesce("text", F.lit("")), F.col("_low")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    found = (F.size(pii.emails(t)) > 0).cast("int") + (F.size(pii.ipv4(t)) > 0).cast("int")
-    d = table(spark, sf_dir, "documents").select(
+    # What patterns can't do without is sought first, and what is used more than once is a column, as Spark would compute an expression anew.
+    mail, address = t.contains("@") & (F.size(pii.emails(t)) > 0), t.rlike(r"[0-9]\.[0-9]") & (F.size(pii.ipv4(t)) > 0)
+    d = table(spark, sf_dir, "documents").withColumns({"_low": F.lower(t), "_found": mail.cast("int") + address.cast("int")})
+    worded = low.contains("token") | low.contains("secret") | low.contains("api") | low.contains("password")
+    secrets, found = F.when(worded, F.size(pii.secrets(t))).otherwise(0), F.col("_found")
+    d = d.select(
         "doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("document_id"), F.when(F.col("n_chars") > 5000, "document").otherwise("text").alias("modality"), F.lit("text_pretrain").alias("task"), "text",
         F.col("lang").alias("language"),
-        pii.outcome(F.size(pii.secrets(t)), F.lit(0), pii.sensitive(t), found, found).alias("pii_outcome"), (~low.contains("all rights reserved")).alias("allow_training"),
+        pii.outcome(secrets, F.lit(0), pii.sensitive(t), found, found).alias("pii_outcome"), (~low.contains("all rights reserved")).alias("allow_training"),
         F.when(low.contains("licensed under"), "stated").alias("license"), F.concat(F.lit("https://"), "source").alias("source_url"),
     )
     told = finalize.text_evidence(d).drop("text").join(labels, "doc_id", "left")

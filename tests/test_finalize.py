@@ -105,3 +105,12 @@ def test_language_by_script(spark):
     rows = [("Ж",), ("中",), ("ねこ",), ("क",), ("한",), ("ש",), ("abc",), ("",), (None,), ("مرحبا",)]
     got = [(r["x"]["language"], r["x"]["confidence"]) for r in spark.createDataFrame(rows, "t string").select(language.inferred(F.col("t")).alias("x")).collect()]
     assert got == [("ru", 0.65), ("zh", 0.65), ("ja", 0.5), ("hi", 0.65), ("ko", 0.65), (None, 0.0), (None, 0.0), (None, 0.0), (None, 0.0), ("ar", 1.0)]
+
+
+def test_patterns_are_looked_for_once(spark):
+    """Addresses count twice in an outcome, but each pattern stands in the plan once."""
+    from quarrymill.plans import release
+
+    plan = release.documents(spark, "/root/testdata/sf0.001").select("pii_outcome", "generic")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 3
+    assert plan.count("split(") == 2  # an address and the words
