@@ -10,6 +10,8 @@ from quarrymill.operators.lineage import Scratch
 
 #: Levels and values of a document beyond which it is set aside.
 MOST_DEPTH, MOST_NODES = 32, 100_000
+#: Levels that are walked in one pass.
+LEVELS = 4
 
 # Keys of JSON-LD whose values are media, by kind.
 MEDIA_KEYS = {
@@ -22,11 +24,15 @@ INHERITED_KEYS = ("contenturl", "embedurl", "encoding", "isbasedon")
 ADDRESS_KEYS = ("contentUrl", "contenturl", "embedUrl", "embedurl", "thumbnailUrl", "thumbnailurl", "url", "@id")
 
 
-def kind_of(value: Column) -> Column:
+def shape_of(value: Column) -> Column:
+    """OBJECT, ARRAY, or the type of a single value. ``schema_of_variant`` of objects and arrays would walk all that is inside, once at each level."""
+    shape = F.when(F.try_variant_get(value, "$", "struct<_:boolean>").isNotNull(), "OBJECT").when(F.try_variant_get(value, "$", "array<struct<_:boolean>>").isNotNull(), "ARRAY")
+    return shape.otherwise(F.schema_of_variant(value))
+
+
+def kind_of(shape: Column) -> Column:
     """object, array, string, number, boolean or null."""
-    schema = F.schema_of_variant(value)
-    first = F.regexp_extract(schema, r"^[A-Z]+", 0)
-    return F.when(value.isNull() | F.is_variant_null(value), "null").when(first.isin("OBJECT", "ARRAY", "STRING", "BOOLEAN"), F.lower(first)).otherwise("number")
+    return F.when(shape.isNull() | (shape == "VOID"), "null").when(shape.isin("OBJECT", "ARRAY", "STRING", "BOOLEAN"), F.lower(shape)).otherwise("number")
 
 
 def children(rows: DataFrame, value: str, *kept: str) -> DataFrame:
@@ -38,42 +44,63 @@ def children(rows: DataFrame, value: str, *kept: str) -> DataFrame:
     return out
 
 
+def scalar(value: Column, kind: Column) -> Column:
+    """A string, number or boolean as text."""
+    return F.when(kind.isin("string", "number", "boolean"), F.try_variant_get(value, "$", "string"))
+
+
+def unfolded(rows: DataFrame) -> DataFrame:
+    """Rows id, path, kind, value, inner, nodes with each object and array replaced by its members; all other rows stay.
+
+    ``inner`` is the object or array, else null, so that a leaf's row is carried on without any; ``nodes`` counts the row and those that were
+    replaced by rows of which it is the first. An empty object or array becomes a leaf.
+    """
+    rows.createOrReplaceTempView("_quarrymill_walk")
+    spark = rows.sparkSession
+    out = spark.sql("SELECT w.id, w.path, w.kind, w.value, w.nodes, e.pos, e.key, e.value AS child FROM _quarrymill_walk w, LATERAL variant_explode_outer(w.inner) e")
+    spark.catalog.dropTempView("_quarrymill_walk")
+    member, child = F.col("pos").isNotNull(), F.col("child")
+    step = F.when(F.col("kind") == "array", F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
+    path = F.when(member, F.concat("path", step)).otherwise(F.col("path"))
+    nodes = F.when(F.col("pos") > 0, F.lit(1)).when(member, F.col("nodes") + 1).otherwise(F.col("nodes"))
+    out = out.withColumn("shape", shape_of(child))
+    out = out.select("id", path.alias("path"), F.when(member, kind_of(F.col("shape"))).otherwise(F.col("kind")).alias("kind"), F.when(~member, F.col("value")).alias("value"), "child", nodes.alias("nodes"))
+    return out.select("id", "path", "kind", F.coalesce("value", scalar(child, F.col("kind"))).alias("value"), F.when(F.col("kind").isin("object", "array"), child).alias("inner"), "nodes")
+
+
 def walk(docs: DataFrame, ident: str, json: str, most_depth: int = MOST_DEPTH, most_nodes: int = MOST_NODES) -> tuple[DataFrame, DataFrame]:
     """Leaves (ident, path, kind, value), and what is set aside (ident, reason).
 
     A document is set aside whole if it is no JSON (malformed), has values below ``most_depth`` levels (too_deep), or more than ``most_nodes``
-    values (too_many). Null documents count as malformed. Each level is written and read again for the next one, so that a round works on the
-    members of all objects of one depth, however they are spread over documents; rounds end with the deepest document or the limit. Empty objects and
+    values (too_many). Null documents count as malformed. A round takes LEVELS levels in one pass, without a shuffle, and writes the leaves once, beside the
+    objects and arrays of its last level, which alone the next round reads; rounds end with the deepest document or the limit. Empty objects and
     arrays are leaves of their kind without a value. Rows of one ident count as one document's.
     """
     scratch = Scratch(docs.sparkSession)
-    parsed = docs.select(docs[f"`{ident}`"].alias("id"), F.try_parse_json(docs[f"`{json}`"]).alias("value"))
-    level = scratch.keep(parsed.select("id", F.lit("$").alias("path"), "value", F.when(F.col("value").isNull(), "malformed").otherwise(kind_of(F.col("value"))).alias("kind")))
-    levels = [level]
-    for _ in range(most_depth):
-        inner = level.where("kind in ('object', 'array')")
-        below = children(inner, "value", "id", "path", "kind")
-        step = F.when(F.col("kind") == "array", F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
-        below = below.select("id", F.concat("path", step).alias("path"), F.col("child").alias("value"), kind_of(F.col("child")).alias("kind"))
-        level = scratch.keep(below)
-        if level.isEmpty():
+    parsed = docs.select(docs[f"`{ident}`"].alias("id"), F.try_parse_json(docs[f"`{json}`"]).alias("v"))
+    v, kind = F.col("v"), F.col("kind")
+    rows = parsed.withColumn("shape", shape_of(v)).select("id", F.lit("$").alias("path"), F.when(v.isNull(), "malformed").otherwise(kind_of(F.col("shape"))).alias("kind"), "v")
+    rows = rows.select("id", "path", "kind", scalar(v, kind).alias("value"), F.when(kind.isin("object", "array"), v).alias("inner"), F.lit(1).alias("nodes"))
+    every, taken = None, 0
+    while True:
+        step = min(LEVELS, most_depth - taken)
+        for _ in range(step):
+            rows = unfolded(rows)
+        taken += step
+        held = scratch.keep(rows)
+        open_ = held.where("inner is not null")
+        last = taken >= most_depth or open_.isEmpty()
+        done = held if last else held.where("inner is null")
+        every = done if every is None else every.unionAll(done)
+        if last:
             break
-        levels.append(level)
-    else:
-        inner = level.where("kind in ('object', 'array')")
-        levels[-1] = level
-    every = levels[0]
-    for x in levels[1:]:
-        every = every.unionAll(x)
-    deep = children(levels[-1].where("kind in ('object', 'array')"), "value", "id").select("id").distinct().withColumn("reason", F.lit("too_deep"))
-    many = every.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > most_nodes).select("id", F.lit("too_many").alias("reason"))
-    bad = levels[0].where("kind = 'malformed'").select("id", F.lit("malformed").alias("reason"))
+        rows = open_
+    deep = children(open_, "inner", "id").select("id").distinct().withColumn("reason", F.lit("too_deep"))
+    many = every.groupBy("id").agg(F.sum("nodes").alias("n")).where(F.col("n") > most_nodes).select("id", F.lit("too_many").alias("reason"))
+    bad = every.where("kind = 'malformed'").select("id", F.lit("malformed").alias("reason"))
     aside = scratch.keep(bad.unionAll(deep).unionAll(many).groupBy("id").agg(F.min("reason").alias("reason")))
-    empty = F.col("kind").isin("object", "array") & F.to_json("value").isin("{}", "[]")
-    leaves = every.where(empty | F.col("kind").isin("string", "number", "boolean", "null"))
-    leaves = leaves.join(aside.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")), "left_anti")
-    value = F.when(F.col("kind").isin("string", "number", "boolean"), F.try_variant_get("value", "$", "string"))
-    return leaves.select(F.col("id").alias(ident), "path", "kind", value.alias("value")), aside.withColumnRenamed("id", ident)
+    leaves = every.where(kind != "malformed").join(aside.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")), "left_anti")
+    return leaves.select(F.col("id").alias(ident), "path", "kind", "value"), aside.withColumnRenamed("id", ident)
 
 
 def type_kind(kind: Column) -> Column:
@@ -104,7 +131,7 @@ def media_objects(docs: DataFrame, ident: str, json: str, most_depth: int = MOST
     out = None
     for _ in range(most_depth + 1):
         v = F.col("value")
-        level = level.withColumn("shape", kind_of(v))
+        level = level.withColumn("shape", shape_of(v)).withColumn("shape", kind_of(F.col("shape")))
         types = F.concat(F.array(F.try_variant_get(v, "$['@type']", "string")), F.coalesce(F.try_variant_get(v, "$['@type']", "array<string>"), F.array().cast("array<string>")))
         own = F.when(F.col("shape") == "object", F.get(F.filter(F.transform(types, type_kind), lambda x: x.isNotNull()), F.lit(0)))
         address = F.coalesce(*[F.when(string(v, f"$['{k}']") != "", string(v, f"$['{k}']")) for k in ADDRESS_KEYS])

@@ -149,6 +149,30 @@ def test_walk_of_nothing(spark):
     assert found.count() == 0 and aside.count() == 0
 
 
+def test_walk_writes_leaves_once(spark, monkeypatch):
+    """A table of four levels' leaves and one of what is set aside; before, each level was written with its values."""
+    written, keep = [], nested.Scratch.keep
+    monkeypatch.setattr(nested.Scratch, "keep", lambda self, df: written.append(df.columns) or keep(self, df))
+    found, aside = nested.walk(spark.createDataFrame([(1, '{"a": {"k": 1}, "b": [{"x": 1.5, "y": "2"}, {}]}')], "id long, j string"), "id", "j")
+    assert sorted((r["path"], r["kind"], r["value"]) for r in found.collect()) == [("$.a.k", "number", "1"), ("$.b[0].x", "number", "1.5"), ("$.b[0].y", "string", "2"), ("$.b[1]", "object", None)]
+    assert aside.count() == 0 and len(written) == 2
+
+
+def test_walk_in_rounds(spark):
+    """Documents that end inside, at the end and after rounds of levels; values are counted through all of them."""
+    chain = lambda n, end: "[1," * n + end + "]" * n
+    docs = [(10 * n + i, chain(n, end)) for n in (3, 4, 5, 8, 9) for i, end in enumerate(("[]", "{}", "null", '"s"'))]
+    aside = [(100, chain(10, "1")), (101, chain(9, "[2]")), (102, chain(9, "[" + "3," * 12 + "3]")), (103, chain(8, "[" + "3," * 12 + "3]")), (104, chain(3, "1")), (104, "[1")]
+    held = [(103 + 100, chain(8, "[" + "3," * 11 + "3]"))]
+    found, out = nested.walk(spark.createDataFrame(docs + held + aside, "id long, j string"), "id", "j", most_depth=9, most_nodes=29)
+    assert sorted(map(tuple, out.collect())) == [(100, "too_deep"), (101, "too_deep"), (102, "too_deep"), (103, "too_many"), (104, "malformed")]
+    expected = [(i, *x) for i, j in docs + held for x in leaves(json.loads(j))]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    twice = spark.createDataFrame([(1, chain(6, "1")), (1, chain(6, "1")), (2, chain(6, "1"))], "id long, j string")
+    found, out = nested.walk(twice, "id", "j", most_nodes=25)
+    assert [tuple(r) for r in out.collect()] == [(1, "too_many")] and {r["id"] for r in found.collect()} == {2}
+
+
 MEDIA = {
     "@type": "VideoObject", "name": " Film ", "contentUrl": "https://x.example/f.mp4", "thumbnailUrl": ["t.jpg", "u.png"], "embedUrl": "https://x.example/embed",
     "caption": {"@type": "ImageObject", "url": "c.vtt", "description": "D", "image": {"@id": "q"}}, "author": {"@type": "Person", "name": "P", "image": "p.jpg"}, "url": "no",
