@@ -33,7 +33,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, low = F.coalesce("text", F.lit("")), F.col("_low")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     # What patterns can't do without is sought first, and what is used more than once is a column, as Spark would compute an expression anew.
-    mail, address = t.contains("@") & (F.size(pii.emails(t)) > 0), t.rlike(r"[0-9]\.[0-9]") & (F.size(pii.ipv4(t)) > 0)
+    mail, address = t.contains("@") & (F.size(pii.emails(t)) > 0), t.rlike(r"[0-9]\.[0-9]") & (F.size(pii.ipv4(t, guarded=True)) > 0)
     d = table(spark, sf_dir, "documents").withColumns({"_low": F.lower(t), "_found": mail.cast("int") + address.cast("int")})
     worded = low.contains("token") | low.contains("secret") | low.contains("api") | low.contains("password")
     secrets, found = F.when(worded, F.size(pii.secrets(t))).otherwise(0), F.col("_found")
