@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import selection, text
@@ -27,12 +27,16 @@ def query(sql: str | None = None):
     return register
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as samples with the evidence that the tables have: labels give quality and safety, a text's own words its licence and usage."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+def text_evidence(d: DataFrame, *columns: str) -> DataFrame:
+    """The columns, and what a text's own words tell: closed, licensed, folded."""
     low = F.lower(F.coalesce("text", F.lit("")))
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", low.contains("by-nc").alias("closed"), low.contains("licensed under").alias("licensed"), text.folded(F.col("text")).alias("folded"))
-    return d.join(labels, "doc_id", "left").select(
+    return d.select(*columns, low.contains("by-nc").alias("closed"), low.contains("licensed under").alias("licensed"), text.folded(F.col("text")).alias("folded"))
+
+
+def labelled(spark: SparkSession, sf_dir: str, told: DataFrame) -> DataFrame:
+    """Documents with the evidence of their texts as samples: labels give quality and safety. Columns besides those stay."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return told.join(labels, "doc_id", "left").select(
         "doc_id",
         F.col("source").alias("domain"),
         F.concat(F.lit("https://"), "source", F.lit("/"), F.col("doc_id").cast("string")).alias("source_url"),
@@ -43,10 +47,15 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("licensed"), "stated").alias("license"),
         F.when(F.col("toxic") == 1, "blocked").otherwise("clear").alias("safety_status"),
         F.coalesce(F.col("quality").cast("double"), F.lit(0.5)).alias("quality_score"),
-        "folded",
+        *[c for c in told.columns if c not in ("doc_id", "source", "lang", "closed", "licensed")],
     )
 
 
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as samples with the evidence that the tables have: labels give quality and safety, a text's own words its licence and usage."""
+    return labelled(spark, sf_dir, text_evidence(table(spark, sf_dir, "documents"), "doc_id", "lang", "source"))
+
+
 SAMPLES_SQL = f"""
 samples AS (
   SELECT doc_id, source AS domain, 'https://' || source || '/' || doc_id::VARCHAR AS source_url, lang AS language, concat_ws('/', source, lang) AS domain_language, lang AS topic,
@@ -62,15 +71,19 @@ samples AS (
 )"""
 
 
+def generic(folded: Column) -> Column:
+    """Nothing, or over 60 % repetition."""
+    return (folded == "") | bound(F.split(folded, " "), lambda words: 1.0 - F.size(F.array_distinct(words)) / F.size(words) > 0.6)
+
+
 def with_reasons(s: DataFrame) -> DataFrame:
-    """The first reason of permission, else of quality; null if admitted."""
+    """The first reason of permission, else of quality; null if admitted. A column ``generic`` stands for the folded text."""
     permission = selection.permission_reject(F.col("source_url"), F.col("domain"), F.lit("allowed"), F.col("usage_rules"), F.lit(True), F.col("license"), require_license=False)
-    generic = (F.col("folded") == "") | bound(F.split("folded", " "), lambda words: 1.0 - F.size(F.array_distinct(words)) / F.size(words) > 0.6)
     quality = (
         F.when(F.col("quality_score") < 0.4, "low_modality_quality")
         .when(~selection.language_allowed(F.col("language"), F.lit(None).cast("double"), ["en", "de", "fr"], 0.5), "language_not_allowed")
         .when(F.col("safety_status") == "blocked", "safety_blocked")
-        .when(generic, "generic_caption")
+        .when(F.col("generic") if "generic" in s.columns else generic(F.col("folded")), "generic_caption")
     )
     return s.withColumn("reason", F.coalesce(permission, quality))
 
@@ -182,20 +195,26 @@ stages AS (
 SELECT stage, count(DISTINCT x.id)::BIGINT AS n_documents, count(DISTINCT i.id)::BIGINT AS n_items FROM stages x JOIN items i USING (s) GROUP BY stage
 """)
 def contamination_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In which stages of preparation benchmark items are found: documents that share a window of eight words with an item, and the items."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("raw"), text.folded(F.col("text")).alias("fold"))
-    items = leakage.window_keys(table(spark, sf_dir, "benchmark").select("item_id", F.lower(F.coalesce("text", F.lit(""))).alias("t")), "item_id", "t", 8)
-    words = F.split("fold", " ")
-    n = F.greatest(F.lit(0), F.ceil((F.size(words) - 128) / 96.0).cast("int"))
-    chunks = d.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), n), lambda c: F.array_join(F.slice(words, c * 96 + 1, 128), " "))).alias("t"))
-    stages = {
-        "raw": d.select("doc_id", F.col("raw").alias("t")),
-        "normalized": d.select("doc_id", F.col("fold").alias("t")),
-        "deduplicated": d.groupBy("fold").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.col("fold").alias("t")),
-        "chunked": chunks,
-        "admitted": with_reasons(samples(spark, sf_dir)).where("reason is null").select("doc_id", F.col("folded").alias("t")),
-    }
-    return leakage.contamination({k: leakage.window_keys(v, "doc_id", "t", 8) for k, v in stages.items()}, items, "doc_id", "item_id")
+    """In which stages of preparation benchmark items are found: documents that share a window of eight words with an item, and the items.
+
+    Texts are read once. A document without windows of items counts in no stage, so that all stages come from those with hits, which are written
+    without texts: copies have the same windows, and a sample is admitted by itself."""
+    scratch = Scratch(spark)
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower(F.coalesce("text", F.lit(""))).alias("t"))
+    windows = scratch.keep(leakage.window_keys(items, "item_id", "t", 8))
+    d = leakage.with_hits(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")), "text", windows, 8, chunk=(128, 96))
+    told = text_evidence(d, "doc_id", "lang", "source", "hits").withColumns({"fold_key": F.sha2("folded", 256), "generic": generic(F.col("folded"))})
+    met = scratch.keep(told.drop("folded"))
+    keys = lambda which: F.transform(F.filter("hits", which), lambda h: h["key"])
+    stage = lambda df, name, which=lambda h: F.lit(True): df.select(F.lit(name).alias("stage"), "doc_id", keys(which).alias("keys")).where(F.size("keys") > 0)
+    stages = (
+        stage(met, "raw", lambda h: h["raw"])
+        .union(stage(met, "normalized"))
+        .union(stage(met.groupBy("fold_key").agg(F.min("doc_id").alias("doc_id"), F.first("hits").alias("hits")), "deduplicated"))
+        .union(stage(met, "chunked", lambda h: h["chunked"]))
+        .union(stage(with_reasons(labelled(spark, sf_dir, met)).where("reason is null"), "admitted"))
+    )
+    return leakage.contamination(stages, windows, "doc_id", "item_id")
 
 
 @query("""
